@@ -1,0 +1,4 @@
+"""All registered queries."""
+
+from motorpool.catalog import ingestqueries, tripqueries  # noqa: F401
+from motorpool.catalog.registry import ORACLES, QUERIES  # noqa: F401

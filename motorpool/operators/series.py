@@ -98,10 +98,12 @@ class Series:
     def __init__(self, df, keys, order, target_rows: int = TARGET_ROWS, _state=None):
         self.keys, self.order, self.target_rows = list(keys), list(order), target_rows
         if _state is not None:
-            self.df, self.hot, self.n_chunks = df, *_state
+            self.df, self.hot, self.n_chunks, self.cold = df, *_state
             self.derived = True
         else:
             self.df, self.hot, self.n_chunks = self._split(df)
+            # Key sets known to have no heavy group; finer keys then have none either.
+            self.cold = frozenset() if self.hot else frozenset([frozenset(self.keys)])
             self.derived = False
         self.parts = [*self.keys, CHUNK] if self.hot else self.keys
 
@@ -143,7 +145,19 @@ class Series:
 
     def with_df(self, df: DataFrame) -> Series:
         """Same keys and chunks over a derived frame that kept all rows' key, order and chunk."""
-        return Series(df, self.keys, self.order, self.target_rows, _state=(df, self.hot, self.n_chunks)[1:])
+        return Series(df, self.keys, self.order, self.target_rows, _state=(self.hot, self.n_chunks, self.cold))
+
+    def is_cold(self, keys) -> bool:
+        return any(known <= set(keys) for known in self.cold)
+
+    def rekey(self, keys, order=None) -> Series:
+        """The same rows under other keys; measured again only if those could be heavy."""
+        order = order or self.order
+        if self.is_cold(keys):
+            return Series(self.result(), keys, order, self.target_rows, _state=(False, 0, self.cold))
+        fresh = Series(cut(self.result()), keys, order, self.target_rows)
+        fresh.cold = fresh.cold | self.cold
+        return fresh
 
     def result(self) -> DataFrame:
         return self.df.drop(CHUNK)
