@@ -183,7 +183,10 @@ def resolve_headers(columns: list[str], wanted: dict[str, str]) -> dict[str, str
 
 def resolve_header_rows(cols: Column, wanted: dict[str, str]) -> Column:
     """Column form of `resolve_headers`: map of canonical name to column, NULL if one is absent."""
-    hits = [F.get(F.filter(cols, lambda c, p=part: F.contains(F.lower(c), F.lit(p.lower()))), F.lit(0)) for part in wanted.values()]
+    def first_with(part):
+        return F.get(F.filter(cols, lambda c: F.lower(c).contains(part.lower())), F.lit(0))
+
+    hits = [first_with(part) for part in wanted.values()]
     found = F.map_from_arrays(_strings(wanted), F.array(*hits))
     complete = hits[0].isNotNull()
     for h in hits[1:]:

@@ -60,7 +60,7 @@ def discover_sources(listing: DataFrame, patterns: dict[str, str], enabled: Iter
         vehicles = wanted.join(vehicles, "vehicle", "left_semi")
     # The module list comes from the contract: a handful of rows.
     expected = vehicles.crossJoin(F.broadcast(modules))
-    matched = found.join(F.broadcast(modules), F.col("file").rlike(F.col("pattern"))).groupBy("vehicle", "module").agg(
+    matched = found.join(F.broadcast(modules), F.regexp_like("file", F.col("pattern"))).groupBy("vehicle", "module").agg(
         F.count("*").alias("n"), F.min("path").alias("path")
     )
     out = expected.join(matched, ["vehicle", "module"], "left").select(
@@ -129,8 +129,12 @@ def dead_letters(df: DataFrame, error_type: Column, message: Column, details: Co
     })
 
 
-def write_dead_letters(df: DataFrame, path: str, by: tuple[str, ...] = ("day", "source_id")) -> None:
-    df.write.mode("append").partitionBy(*by).json(path)
+def write_dead_letters(df: DataFrame, path: str, by: tuple[str, ...] = ("day",)) -> None:
+    """JSON lines by day; add ``source_id`` to ``by`` only while sources are few.
+
+    The rebalance hint gathers a day's rows into few files and still splits a huge day.
+    """
+    df.hint("rebalance", *by).write.mode("append").partitionBy(*by).json(path)
 
 
 _LOG = "struct<add:struct<path:string,stats:string>,remove:struct<path:string>>"

@@ -54,7 +54,7 @@ def compare(spark, con, name, sf_dir):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
