@@ -91,9 +91,9 @@ def _(t: Tables):
           max_by(event_id, (ts, event_id)) FILTER (module = 'transmission') AS trans FROM v_silver WHERE module IN ('engine', 'transmission') GROUP BY 1, 2),
         car AS (SELECT source_id, window_ts, last_value(engine IGNORE NULLS) OVER w AS engine, last_value(trans IGNORE NULLS) OVER w AS trans
           FROM win WINDOW w AS (PARTITION BY source_id ORDER BY window_ts)),
-        pool AS (SELECT c.source_id, window_ts, feature, val * 0.8::DOUBLE AS imp, 0 AS m FROM car c JOIN v_feat f ON f.event_id = c.engine
-          UNION ALL SELECT c.source_id, window_ts, feature, val * 0.2::DOUBLE, 1 FROM car c JOIN v_feat f ON f.event_id = c.trans),
-        top AS (SELECT *, row_number() OVER (PARTITION BY source_id, window_ts ORDER BY imp DESC, m) AS r FROM pool QUALIFY r <= 5),
+        pool AS (SELECT c.source_id, window_ts, feature, val * 0.8::DOUBLE AS imp, 0 AS m, o FROM car c JOIN v_feat f ON f.event_id = c.engine
+          UNION ALL SELECT c.source_id, window_ts, feature, val * 0.2::DOUBLE, 1, o FROM car c JOIN v_feat f ON f.event_id = c.trans),
+        top AS (SELECT *, row_number() OVER (PARTITION BY source_id, window_ts ORDER BY imp DESC, m, o) AS r FROM pool QUALIFY r <= 5),
         kept AS (SELECT * FROM top QUALIFY r = max(r) OVER (PARTITION BY source_id, window_ts, feature))
         SELECT source_id, window_ts AS gold_window_ts, feature, printf('%.4f', imp)::DOUBLE AS impact FROM kept""",
 )
@@ -140,10 +140,10 @@ def _(t: Tables):
 @query(
     "p16_weight_normalisation",
     sql="""SELECT user_id, event_type, round(w / s, 6) AS share, abs(s - 1) > 0.001 AS unbalanced, printf('%.3f', w / s)::DOUBLE AS rounded FROM (
-        SELECT *, sum(w) OVER (PARTITION BY user_id) AS s FROM (SELECT user_id, event_type, count(*) / 100.0::DOUBLE AS w FROM events GROUP BY ALL))""",
+        SELECT *, sum(w) OVER (PARTITION BY user_id) AS s FROM (SELECT user_id, event_type, count(*) / 128.0::DOUBLE AS w FROM events GROUP BY ALL))""",
 )
 def _(t: Tables):
-    w = t.events.groupBy("user_id", "event_type").agg((F.count("*") / F.lit(100.0)).alias("w"))
+    w = t.events.groupBy("user_id", "event_type").agg((F.count("*") / F.lit(128.0)).alias("w"))
     out = H.normalised_weights(w, "w", ["user_id"])
     return out.select("user_id", "event_type", r6(F.col("share")).alias("share"), "unbalanced", "rounded")
 
@@ -255,7 +255,7 @@ def top_k(features, k: int):
 
 @query(
     "p4_timestamp_parsing",
-    sql="""SELECT event_id, CASE WHEN event_id % 5 = 4 THEN NULL WHEN event_id % 5 IN (1, 2) THEN epoch_ms(ts) // 1000 * 1000 WHEN event_id % 5 = 3 THEN epoch_ms(ts) // 1000 * 1000 - 19800000 ELSE epoch_ms(ts) END AS ms,
+    sql="""SELECT event_id, CASE WHEN event_id % 5 = 4 THEN NULL WHEN event_id % 5 IN (1, 2) THEN (epoch_us(ts) // 1000000 * 1000) WHEN event_id % 5 = 3 THEN (epoch_us(ts) // 1000000 * 1000) - 19800000 ELSE (epoch_us(ts) // 1000) END AS ms,
         CASE WHEN event_id % 5 = 4 THEN NULL WHEN event_id % 5 = 3 THEN strftime(ts - INTERVAL 19800 SECOND, '%Y-%m-%dT%H:%M:%SZ') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS utc FROM events""",
 )
 def _(t: Tables):
@@ -295,8 +295,8 @@ def latencies(t: Tables):
 @query(
     "p6_latencies",
     sql=f"""WITH {_LAT} SELECT event_id, CASE WHEN event_id % 900 >= 100 THEN event_id % 900 - 100 END AS broker_ms,
-        greatest(epoch_ms(TIMESTAMP '2024-01-20') - epoch_ms(ts), 0) AS age_ms, epoch_ms(inference) - epoch_ms(ts) AS e2e_ms,
-        CASE WHEN writer IS NULL THEN epoch_ms(inference) - epoch_ms(ts) ELSE epoch_ms(inference) - epoch_ms(writer) END AS inference_ms FROM lat""",
+        greatest(1705708800000 - (epoch_us(ts) // 1000), 0) AS age_ms, (epoch_us(inference) // 1000) - (epoch_us(ts) // 1000) AS e2e_ms,
+        CASE WHEN writer IS NULL THEN (epoch_us(inference) // 1000) - (epoch_us(ts) // 1000) ELSE (epoch_us(inference) // 1000) - (epoch_us(writer) // 1000) END AS inference_ms FROM lat""",
 )
 def _(t: Tables):
     c = F.col
@@ -402,12 +402,12 @@ def _(t: Tables):
 
 
 def _fault_feats(t: Tables):
-    feats = F.to_json(F.struct((F.col("price") / 1000).alias("price"), F.col("disc"), F.col("tax")))
+    feats = F.to_json(F.struct((F.col("price") / 100).alias("price"), F.col("disc"), F.col("tax")))
     df = t.fault.select("source_id", *t.BRONZE_ORDER, "severity", "comp", feats.alias("top_features"))
     return Series(df, ["source_id"], t.BRONZE_ORDER)
 
 
-_FEATSUM = f"""WITH {_FSM}, e AS (SELECT x.source_id, x.excursion, unnest(['price', 'disc', 'tax']) AS feature, unnest([f.price / 1000, f.disc, f.tax]) AS v
+_FEATSUM = f"""WITH {_FSM}, e AS (SELECT x.source_id, x.excursion, unnest(['price', 'disc', 'tax']) AS feature, unnest([f.price / 100, f.disc, f.tax]) AS v
     FROM x JOIN f USING (source_id, rn) JOIN al USING (source_id, excursion) WHERE score > 0)"""
 
 
@@ -523,7 +523,7 @@ _ATTR = f"""{_TRACE}, pr AS (SELECT *, source_id || '-' || excursion AS alert, {
     (SELECT alert, back, P00, P01, P02 FROM pr) UNPIVOT (p FOR code IN (P00, P01, P02))),
     ev AS (SELECT *, power(greatest(p - median(p) OVER (PARTITION BY alert, code), 0.0), 2) AS e FROM lg),
     bu AS (SELECT *, sum(e) OVER (PARTITION BY alert, code ORDER BY back DESC) AS b FROM ev),
-    at AS (SELECT *, least(b * CASE WHEN g > 1e-6 THEN 1 / g ELSE 0.0 END, 1.0) AS risk FROM (SELECT *, max(b) OVER (PARTITION BY alert) AS g FROM bu))"""
+    att AS (SELECT *, least(b * CASE WHEN g > 1e-6 THEN 1 / g ELSE 0.0 END, 1.0) AS risk FROM (SELECT *, max(b) OVER (PARTITION BY alert) AS g FROM bu))"""
 
 
 def _attributed(t: Tables):
@@ -533,7 +533,7 @@ def _attributed(t: Tables):
 
 @query(
     "w14_smart_attribution", views=["v_fault"], recursive=True,
-    sql=f"WITH {_FSM}, {_ATTR} SELECT alert, code, count(*) AS n, round(sum(risk), 4) AS area, round(max(risk), 6) AS peak FROM at GROUP BY ALL",
+    sql=f"WITH {_FSM}, {_ATTR} SELECT alert, code, count(*) AS n, round(sum(risk), 4) AS area, round(max(risk), 6) AS peak FROM att GROUP BY ALL",
 )
 def _(t: Tables):
     return _attributed(t).groupBy("alert", "code").agg(
@@ -544,7 +544,7 @@ def _(t: Tables):
 @query(
     "m8_code_triggers", views=["v_fault"], recursive=True,
     sql=f"""WITH {_FSM}, {_ATTR}, {_DTC} SELECT t.alert, t.code, CASE WHEN coalesce(d.severity, 'critical') = 'critical' THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
-        coalesce(d.message, 'Unknown Critical Error') AS message FROM (SELECT alert, code FROM at GROUP BY ALL HAVING max(risk) >= 0.99) t LEFT JOIN dtc d ON d.dtc_code = t.code""",
+        coalesce(d.message, 'Unknown Critical Error') AS message FROM (SELECT alert, code FROM att GROUP BY ALL HAVING max(risk) >= 0.99) t LEFT JOIN dtc d ON d.dtc_code = t.code""",
 )
 def _(t: Tables):
     return D.triggers(_attributed(t), dtc_catalog(t), "alert")

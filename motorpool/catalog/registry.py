@@ -32,7 +32,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_feat": (
         ("v_silver",),
         """SELECT event_id, source_id, module, ts, 'f' || ((k + o) % 10) AS feature,
-            CASE o WHEN 0 THEN value / 10 WHEN 3 THEN k / 10.0 ELSE value * k / 1000 END AS val
+            CASE o WHEN 0 THEN value / 10 WHEN 3 THEN k / 10.0 ELSE value * k / 1000 END AS val, o
             FROM v_silver, (VALUES (0), (3), (7)) AS offs(o)""",
     ),
     "v_bronze": (

@@ -51,21 +51,25 @@ def carried_windows(windows: DataFrame, modules, target_rows: int | None = None)
     return s.running(**{m: last_valid(F.col(m)) for m in modules}).result()
 
 
-def fused(fusion: Fusion) -> dict[str, Column]:
-    """Score, contributions and flags from one struct column per module."""
-    h = {m: F.coalesce(F.col(f"{m}.health"), F.lit(SILENT_HEALTH)) for m in fusion.weights}
+def fused(rows: DataFrame, fusion: Fusion) -> DataFrame:
+    """Add contributions, total and score to rows with one struct column per module.
+
+    Each stage works on the columns of the one before, so no expression is repeated.
+    """
+    weights = fusion.weights
+    rows = rows.withColumns({f"_h_{m}": F.coalesce(F.col(f"{m}.health"), F.lit(SILENT_HEALTH)) for m in weights})
     total = F.lit(0.0)
-    for m, w in fusion.weights.items():
-        total = total + h[m] * w
-    contrib = {m: round_py(h[m], 2) for m in h}
-    clamped = total
-    for m, limit in fusion.penalties.items():
-        if m in contrib:
-            clamped = F.when(contrib[m] < limit, F.least(clamped, contrib[m])).otherwise(clamped)
-    return {
-        "raw_total": total, "vehicle_health_score": round_py(clamped, 2), "penalised": clamped < total,
-        **{f"{m}_contrib": c for m, c in contrib.items()},
-    }
+    for m, w in weights.items():
+        total = total + F.col(f"_h_{m}") * w
+    rows = rows.withColumns({"raw_total": total, **{f"{m}_contrib": round_py(F.col(f"_h_{m}"), 2) for m in weights}})
+    limits = [
+        F.when(F.col(f"{m}_contrib") < limit, F.col(f"{m}_contrib")) for m, limit in fusion.penalties.items() if m in weights
+    ]
+    rows = rows.withColumn("_clamped", F.least(F.col("raw_total"), *limits) if limits else F.col("raw_total"))
+    rows = rows.withColumns({
+        "vehicle_health_score": round_py(F.col("_clamped"), 2), "penalised": F.col("_clamped") < F.col("raw_total"),
+    })
+    return rows.drop("_clamped", *[f"_h_{m}" for m in weights])
 
 
 def top_features(fusion: Fusion, k: int = 5) -> Column:
@@ -95,10 +99,10 @@ def gold_health(silver: DataFrame, fusion: Fusion | None = None, seconds: int =
     """``silver(source_id, module, ts, event_id, health, features)`` to one health row per vehicle and window."""
     fusion = fusion or Fusion()
     rows = carried_windows(module_windows(silver, fusion.weights, seconds), fusion.weights)
-    cols = fused(fusion)
+    rows = fused(rows, fusion)
     return rows.select(
-        "source_id", F.col("window_ts").alias("gold_window_ts"), *[c.alias(n) for n, c in cols.items()],
-        top_features(fusion).alias("top_5_features"), (now if now is not None else F.current_timestamp()).alias("gold_write_ts"),
+        "source_id", F.col("window_ts").alias("gold_window_ts"), "raw_total", "vehicle_health_score", "penalised",
+        *[f"{m}_contrib" for m in fusion.weights], top_features(fusion).alias("top_5_features"), (now if now is not None else F.current_timestamp()).alias("gold_write_ts"),
     )
 
 
@@ -128,11 +132,12 @@ def what_if(gold: DataFrame, weights: dict[str, float], penalties: dict[str, flo
             hit = F.when(raws[m] < limit, raws[m]).otherwise(100.0)
             worst = hit if worst is None else F.least(worst, hit)
     worst = worst if worst is not None else F.lit(100.0)
-    flag = (worst < 100) & (worst < sim)
-    return gold.select(
-        "*", round_py(F.when(flag, worst).otherwise(sim), 2).alias("simulated_health"), flag.alias("penalty_active"),
-        *[round_py(c, 2).alias(f"{m}_raw") for m, c in raws.items()],
-    )
+    staged = gold.withColumns({"_sim": sim, "_worst": worst, **{f"{m}_raw": c for m, c in raws.items()}})
+    flag = (F.col("_worst") < 100) & (F.col("_worst") < F.col("_sim"))
+    staged = staged.withColumns({"penalty_active": flag, "_sim": F.when(flag, F.col("_worst")).otherwise(F.col("_sim"))})
+    return staged.withColumns({
+        "simulated_health": round_py(F.col("_sim"), 2), **{f"{m}_raw": round_py(F.col(f"{m}_raw"), 2) for m in raws},
+    }).drop("_sim", "_worst")
 
 
 def fleet_by_time(simulated: DataFrame, modules) -> DataFrame:
