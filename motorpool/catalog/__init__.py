@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from motorpool.catalog import goldqueries, ingestqueries, tripqueries  # noqa: F401
+from motorpool.catalog import goldqueries, ingestqueries, tripqueries, windowqueries  # noqa: F401
 from motorpool.catalog.registry import ORACLES, QUERIES  # noqa: F401
