@@ -1,4 +1,10 @@
 """All registered queries."""
 
-from motorpool.catalog import goldqueries, ingestqueries, tripqueries, windowqueries  # noqa: F401
+from motorpool.catalog import (  # noqa: F401
+    goldqueries,
+    ingestqueries,
+    streamqueries,
+    tripqueries,
+    windowqueries,
+)
 from motorpool.catalog.registry import ORACLES, QUERIES  # noqa: F401

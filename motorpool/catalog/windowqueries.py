@@ -218,8 +218,8 @@ def _(t: Tables):
 
 @query(
     "a3_latency_histogram",
-    sql=f"""WITH {_LAT}, l AS (SELECT event_type, event_id % 2000 + 700 AS ms FROM lat), e(le) AS (VALUES {", ".join(f"({x}::DOUBLE)" for x in O.LATENCY_EDGES)}, ('Infinity'::DOUBLE))
-        SELECT event_type, le, count(*) FILTER (ms <= le) AS bucket, sum(ms)::BIGINT AS sum, count(*) AS count FROM l, e GROUP BY ALL""",
+    sql=f"""WITH {_LAT}, l AS (SELECT event_type, event_id % 2000 + 700 AS ms FROM lat), e(le) AS (VALUES {", ".join(f"('{x}')" for x in O.LATENCY_EDGES)}, ('+Inf'))
+        SELECT event_type, le, count(*) FILTER (le = '+Inf' OR ms <= TRY_CAST(le AS BIGINT)) AS bucket, sum(ms)::BIGINT AS sum, count(*) AS count FROM l, e GROUP BY ALL""",
 )
 def _(t: Tables):
     df = latencies(t).select("event_type", timefmt.millis_between(F.col("ts"), F.col("inference")).alias("ms"))
@@ -307,12 +307,12 @@ PROBS = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99, "p99_5": 0.995, "max"
 
 @query(
     "a9_calibration_percentiles", views=["v_bronze"],
-    sql="SELECT module, " + ", ".join(f"round(quantile_cont(price, {p}), 4) AS {n}" for n, p in PROBS.items())
-    + ", round(quantile_cont(price, 0.05), 4) AS p05, min(price) AS lowest FROM v_bronze GROUP BY module",
+    sql="SELECT module, " + ", ".join(f"round(quantile_cont(price, {p}), 6) AS {n}" for n, p in PROBS.items())
+    + ", round(quantile_cont(price, 0.05), 6) AS p05, min(price) AS lowest FROM v_bronze GROUP BY module",
 )
 def _(t: Tables):
     q = exact_percentiles(t.bronze.select("module", "price"), ["module"], "price", {**PROBS, "p05": 0.05, "lowest": 0.0})
-    return q.select("module", *[r4(F.col(c)).alias(c) for c in (*PROBS, "p05")], "lowest")
+    return q.select("module", *[r6(F.col(c)).alias(c) for c in (*PROBS, "p05")], "lowest")
 
 
 @query(

@@ -43,7 +43,7 @@ def histogram(df: DataFrame, keys: list[str], value: str, edges=LATENCY_EDGES) -
     upto, acc = [], F.lit(0).cast("long")
     for i in range(len(edges) + 1):
         acc = acc + F.col(f"_{i}")
-        label = F.lit(float(edges[i])) if i < len(edges) else F.lit(float("inf"))
+        label = F.lit(str(edges[i]) if i < len(edges) else "+Inf")
         upto.append(F.struct(label.alias("le"), acc.alias("bucket")))
     return per.select(*keys, "sum", "count", F.explode(F.array(*upto)).alias("b")).select(*keys, "b.le", "b.bucket", "sum", "count")
 
