@@ -90,12 +90,10 @@ def _(t: Tables):
 
 @query("s5_bronze_sink", sql="SELECT user_id AS source_id, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY user_id")
 def _(t: Tables):
+    """Bronze is laid out by source bucket: pruning as with one folder per source, without its many small files."""
     src = streams.file_source(t.spark, t.dir, t.table("events").schema, glob="events.parquet")
-    # Clustering by the partition column keeps the number of files per micro-batch low;
-    # four writers per source keep a dominant one from being a single task.
-    rows = src.select(F.col("user_id").alias("source_id"), "event_id")
-    rows = rows.repartition("source_id", F.pmod(F.xxhash64("event_id"), F.lit(4)))
-    back = streams.drain(rows, "s5", ("source_id",))
+    rows = streams.by_source(src.select(F.col("user_id").alias("source_id"), "event_id"), "source_id", "event_id", 16)
+    back = streams.drain(rows, "s5", ("source_bucket",))
     return back.groupBy("source_id").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
@@ -176,8 +174,7 @@ def _(t: Tables):
         FROM v_env WHERE b IN (1, 2, 3, 4, 5, 6)""",
 )
 def _(t: Tables):
-    err = V.row_error(CONTRACT, F.col("module"), F.col("data"))
-    _, bad = V.split_valid(t.envelopes.select("vehicle", "module", "data", "ts"), err)
+    _, bad = V.split_valid(V.with_row_error(t.envelopes.select("vehicle", "module", "data", "ts"), CONTRACT))
     rows = files.dead_letters(
         bad.withColumn("source_id", F.col("vehicle")), F.lit("schema_validation"), F.col("error.message"),
         F.col("error.details"), F.col("data"), F.col("ts"),
@@ -290,19 +287,18 @@ _MSG = """CASE WHEN b = 5 THEN 'Unknown module' WHEN b IN (2, 3, 4) THEN 'Column
 
 @query("c3_strict_row_validation", views=["v_env"], sql=f"SELECT event_id, {_MSG} AS message FROM v_env")
 def _(t: Tables):
-    err = V.row_error(CONTRACT, F.col("module"), F.col("data"))
-    return t.envelopes.select("event_id", err.getField("message").alias("message"))
+    checked = V.with_row_error(t.envelopes.select("event_id", "module", "data"), CONTRACT)
+    return checked.select("event_id", "error.message")
 
 
 @query(
     "c3_unordered_row_validation", views=["v_env"],
     sql="""SELECT event_id, CASE b WHEN 5 THEN 'hull' WHEN 3 THEN '["spare"]' WHEN 2 THEN '["k: missing or null"]'
-        WHEN 1 THEN '["cents: not float64"]' ELSE '["cents: missing or null"]' END AS details FROM v_env WHERE b IN (1, 2, 3, 5, 6)""",
+        WHEN 1 THEN '["cents: not double"]' ELSE '["cents: missing or null"]' END AS details FROM v_env WHERE b IN (1, 2, 3, 5, 6)""",
 )
 def _(t: Tables):
     free = Contract(CONTRACT.modules, {**CONTRACT.rules, "enforce_column_order": False})
-    err = V.row_error(free, F.col("module"), F.col("data"))
-    _, bad = V.split_valid(t.envelopes.select("event_id", "module", "data"), err)
+    _, bad = V.split_valid(V.with_row_error(t.envelopes.select("event_id", "module", "data"), free))
     return bad.select("event_id", "error.details")
 
 
@@ -311,8 +307,8 @@ def _(t: Tables):
     sql="SELECT event_id, CASE b WHEN 8 THEN 'malformed envelope' ELSE 'unknown module' END AS problem FROM v_env WHERE b IN (5, 8)",
 )
 def _(t: Tables):
-    e = V.envelope_error(CONTRACT, F.col("raw"))
-    return t.envelopes.select("event_id", e.alias("problem")).filter("problem IS NOT NULL")
+    checked = V.with_envelope_error(t.envelopes.select("event_id", "raw"), CONTRACT, "raw")
+    return checked.select("event_id", "problem").filter("problem IS NOT NULL")
 
 
 @query(

@@ -71,7 +71,7 @@ def _(t: Tables):
 def _(t: Tables):
     b = t.bronze.select(*_BID, *_FEATS)
     scaler = M.fit_scaler(b, _FEATS)
-    scaled = scaler.apply(b)
+    scaled = scaler.apply(M.even_out(b, scaler.rows))
     mix = M.fit_mixture(scaled, scaler.features)
     return scaled.select(*_BID, r6(M.log_density(mix, scaler.features)).alias("log_density"))
 

@@ -209,11 +209,12 @@ def _(t: Tables):
 )
 def _(t: Tables):
     from motorpool.catalog.ingestqueries import CONTRACT
-    from motorpool.operators.validate import row_error
+    from motorpool.operators.validate import with_row_error
 
-    bad = row_error(CONTRACT, F.col("module"), F.col("data")).isNotNull()
+    bad = F.col("error").isNotNull()
     outcome = F.when(bad, "invalid").when(F.col("row_hash") != F.concat(F.lit("h"), "event_id"), "duplicate").otherwise("accepted")
-    return O.counters(t.envelopes.withColumn("outcome", outcome), "outcome", ["module"])
+    checked = with_row_error(t.envelopes.select("event_id", "module", "data", "row_hash"), CONTRACT)
+    return O.counters(checked.withColumn("outcome", outcome), "outcome", ["module"])
 
 
 @query(

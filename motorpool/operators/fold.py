@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BLOCK = 256
+_BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -57,8 +57,12 @@ class Affine:
         return m["a"] * state + m["b"]
 
 
-def replay(rows: Column, monoid, start: Column) -> Column:
-    """States after each element of ``rows``; blocks keep the array appends short."""
+def chained_states(rows: Column, monoid, start: Column) -> Column:
+    """States after each element of ``rows``, as blocks whose first element repeats the state before.
+
+    Appending to one long array would copy it for every row; blocks keep the appends short.
+    Use `unrolled` on a column that holds the result, so that the fold is evaluated once.
+    """
 
     def block_states(seed, block):
         grow = lambda acc, r: F.concat(acc, F.array(monoid.act(F.element_at(acc, -1), r["_m"])))
@@ -66,13 +70,16 @@ def replay(rows: Column, monoid, start: Column) -> Column:
 
     starts = F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / _BLOCK).cast("int"))
     blocks = F.transform(starts, lambda i: F.slice(rows, i * _BLOCK + 1, F.lit(_BLOCK)))
-    chained = F.aggregate(
+    return F.aggregate(
         blocks,
         F.array(F.array(start)),
         lambda acc, b: F.concat(acc, F.array(block_states(F.element_at(F.element_at(acc, -1), -1), b))),
     )
-    # The first element of each block repeats the seed.
-    return F.flatten(F.transform(F.slice(chained, 2, F.size(chained)), lambda b: F.slice(b, 2, F.size(b))))
+
+
+def unrolled(chained: Column) -> Column:
+    tail = lambda a: F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0)))
+    return F.flatten(F.transform(tail(chained), tail))
 
 
 def summarise(rows: Column, monoid) -> Column:
@@ -84,7 +91,9 @@ def apply_fold(series, out: str, monoid, start: Column, inputs: dict[str, Column
     step = F.struct(*[inputs[f].cast("double").alias(f) for f in monoid.fields])
     rest = [c for c in series.df.columns if c not in series.parts and c not in series.order]
     row = F.struct(*[F.col(c) for c in series.order], step.alias("_m"), *[F.col(c) for c in rest])
-    parts = series.df.groupBy(*series.parts).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    # Rows are shuffled as they are: a partial collect_list would only build lists twice.
+    spread = series.df.repartition(*series.parts)
+    parts = spread.groupBy(*series.parts).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
     if series.hot:
         from motorpool.operators.series import CHUNK
 
@@ -93,15 +102,15 @@ def apply_fold(series, out: str, monoid, start: Column, inputs: dict[str, Column
         per_key = sums.groupBy(*series.keys).agg(
             F.sort_array(F.collect_list(F.struct(CHUNK, "_m"))).alias("_chunks")
         )
-        after = replay(F.col("_chunks"), monoid, start)
-        begin = F.concat(F.array(start), after)
+        per_key = per_key.withColumn("_s", chained_states(F.col("_chunks"), monoid, start))
+        begin = F.slice(F.concat(F.array(start), unrolled(F.col("_s"))), 1, F.size("_chunks"))
         carried = per_key.select(
-            *series.keys,
-            F.explode(F.arrays_zip(F.col("_chunks")[CHUNK].alias("c"), F.slice(begin, 1, F.size("_chunks")).alias("s"))).alias("z"),
+            *series.keys, F.explode(F.arrays_zip(F.col("_chunks")[CHUNK].alias("c"), begin.alias("s"))).alias("z")
         ).select(*series.keys, F.col("z.c").alias(CHUNK), F.col("z.s").alias("_start"))
         parts = parts.join(carried, series.parts)
         start = F.col("_start")
-    zipped = F.arrays_zip(F.col("_rows").alias("r"), replay(F.col("_rows"), monoid, start).alias("s"))
+    parts = parts.withColumn("_s", chained_states(F.col("_rows"), monoid, start))
+    zipped = F.arrays_zip(F.col("_rows").alias("r"), unrolled(F.col("_s")).alias("s"))
     flat = parts.select(*series.parts, F.explode(zipped).alias("z"))
     return flat.select(
         *series.parts, *[F.col(f"z.r.{c}").alias(c) for c in (*series.order, *rest)], F.col("z.s").alias(out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from motorpool.contract import DTYPES, METADATA, Contract
 
-_TEXT_MAP = "map<string,string>"
+_SPEC = "map<string,array<struct<name:string,kind:string,nullable:boolean>>>"
 
 
 def _strings(values: Iterable[str]) -> Column:
@@ -17,83 +18,78 @@ def _strings(values: Iterable[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
-def _per_module(contract: Contract, module: Column, build) -> Column:
-    out = F.lit(None)
-    for m, cols in contract.modules.items():
-        out = F.when(module == m, build(cols)).otherwise(out)
-    return out
-
-
-def _type_ok(value: Column, shown_type: Column, dtype: str, strict_text: bool) -> Column:
-    kind = DTYPES.get(dtype, "string")
-    if kind == "string":
-        return shown_type == "STRING" if strict_text else value.isNotNull()
-    if kind == "double":
-        return F.trim(value).try_cast("double").isNotNull() | F.lower(value).isin("true", "false")
-    return F.trim(value).try_cast(kind).isNotNull()
+def _specs(contract: Contract) -> Column:
+    """The whole contract as one constant map, so the plan does not grow with its columns."""
+    spec = {
+        m: [{"name": c.name, "kind": DTYPES.get(c.dtype, "string"), "nullable": c.nullable} for c in cols]
+        for m, cols in contract.modules.items()
+    }
+    return F.from_json(F.lit(json.dumps(spec)), _SPEC)
 
 
-def row_error(contract: Contract, module: Column, data_json: Column) -> Column:
-    """First broken rule of a JSON row as ``struct(message, details)``, NULL when the row is valid.
+def with_row_error(df: DataFrame, contract: Contract, module: str = "module", data: str = "data", out: str = "error") -> DataFrame:
+    """Add the first broken rule of a JSON row as ``struct(message, details)``, NULL for valid rows.
 
-    Order: unknown module, column order, extra, missing or NULL, type.
+    Order: malformed, unknown module, column order, extra, missing or NULL, type. The row is
+    parsed once; numbers may come as text, as lenient as a cast, but text must be text.
     """
     rules = contract.rules
-    keys = F.json_object_keys(data_json)
-    values = F.from_json(data_json, _TEXT_MAP)
-    shown = F.try_parse_json(data_json)
-    expected = _per_module(contract, module, lambda cols: _strings(c.name for c in cols))
-
-    def failed(cols):
-        checks = []
-        for c in cols:
-            v = F.try_element_at(values, F.lit(c.name))
-            t = F.schema_of_variant(F.try_variant_get(shown, f"$.{c.name}", "variant"))
-            problems = []
-            if not c.nullable and rules["reject_null_violations"]:
-                problems.append(F.when(v.isNull(), F.lit(f"{c.name}: missing or null")))
-            if rules["enforce_dtypes"]:
-                problems.append(F.when(v.isNotNull() & ~_type_ok(v, t, c.dtype, True), F.lit(f"{c.name}: not {c.dtype}")))
-            checks.append(F.coalesce(*problems, F.lit(None).cast("string")))
-        return F.array_compact(F.array(*checks))
+    df = df.withColumns({
+        "_spec": F.try_element_at(_specs(contract), F.col(module)), "_keys": F.json_object_keys(data),
+        "_vals": F.from_json(data, "map<string,variant>"),
+    }).withColumn("_expected", F.transform("_spec", lambda c: c["name"]))
+
+    def problem(c):
+        v = F.try_element_at(F.col("_vals"), c["name"])
+        absent = v.isNull() | F.is_variant_null(v)
+        fits = (
+            F.when(c["kind"] == "double", v.try_cast("double").isNotNull()).when(c["kind"] == "bigint", v.try_cast("bigint").isNotNull())
+            .when(c["kind"] == "boolean", v.try_cast("boolean").isNotNull()).when(c["kind"] == "timestamp", v.try_cast("timestamp").isNotNull())
+            .otherwise(F.schema_of_variant(v) == "STRING")
+        )
+        lost = F.when(absent & ~c["nullable"], F.concat(c["name"], F.lit(": missing or null"))) if rules["reject_null_violations"] else None
+        wrong = F.when(~absent & ~fits, F.concat(c["name"], F.lit(": not "), c["kind"])) if rules["enforce_dtypes"] else None
+        return F.coalesce(*[x for x in (lost, wrong) if x is not None], F.lit(None).cast("string"))
+
+    df = df.withColumns({
+        "_extra": F.array_except("_keys", "_expected"), "_bad": F.array_compact(F.transform("_spec", problem)),
+    })
 
     def err(message, details):
-        return F.struct(F.lit(message).alias("message"), details.cast("string").alias("details"))
+        return F.struct(F.lit(message).alias("message"), details.alias("details"))
 
-    steps = [(expected.isNull(), err("Unknown module", module))]
+    found = F.when(F.col("_keys").isNull(), err("Malformed row", F.col(data)))
+    found = found.when(F.col("_spec").isNull(), err("Unknown module", F.col(module)))
     if rules["enforce_column_order"]:
-        steps.append((keys != expected, err("Column order mismatch", F.to_json(F.struct(expected.alias("expected"), keys.alias("actual"))))))
+        order = F.to_json(F.struct(F.col("_expected").alias("expected"), F.col("_keys").alias("actual")))
+        found = found.when(F.col("_keys") != F.col("_expected"), err("Column order mismatch", order))
     if not rules["allow_extra_fields"]:
-        extra = F.array_except(keys, expected)
-        steps.append((F.size(extra) > 0, err("Schema validation failed", F.to_json(extra))))
-    bad = _per_module(contract, module, failed)
-    steps.append((F.size(bad) > 0, err("Schema validation failed", F.to_json(bad))))
-    out = F.when(keys.isNull(), err("Malformed row", data_json))
-    for cond, e in steps:
-        out = out.when(F.coalesce(cond, F.lit(False)), e)
-    return out
-
-
-def envelope_error(contract: Contract, raw: Column) -> Column:
-    """Problem with the envelope itself: unreadable JSON, missing or empty metadata, extra keys."""
-    meta_json = F.get_json_object(raw, "$.metadata")
-    meta = F.from_json(meta_json, _TEXT_MAP)
-    lacking = F.filter(_strings(METADATA), lambda m: F.coalesce(F.length(F.try_element_at(meta, m)), F.lit(0)) == 0)
-    extra = F.array_except(F.json_object_keys(meta_json), _strings((*METADATA, "ingest_ts")))
-    top = F.array_except(F.json_object_keys(raw), _strings(("metadata", "data")))
-    unknown = ~F.try_element_at(meta, F.lit("module")).isin(*contract.modules)
-    return (
-        F.when(F.try_parse_json(raw).isNull() | meta.isNull(), "malformed envelope")
-        .when(F.size(lacking) > 0, F.concat(F.lit("metadata missing: "), F.array_join(lacking, ",")))
-        .when((F.size(extra) > 0) | (F.size(top) > 0), "unexpected envelope fields")
-        .when(unknown, "unknown module")
+        found = found.when(F.size("_extra") > 0, err("Schema validation failed", F.to_json("_extra")))
+    found = found.when(F.size("_bad") > 0, err("Schema validation failed", F.to_json("_bad")))
+    return df.withColumn(out, found).drop("_spec", "_keys", "_vals", "_expected", "_extra", "_bad")
+
+
+def with_envelope_error(df: DataFrame, contract: Contract, raw: str, out: str = "problem") -> DataFrame:
+    """Add what is wrong with the envelope itself: unreadable JSON, missing or empty metadata, extra keys."""
+    df = df.withColumn("_m", F.get_json_object(raw, "$.metadata")).withColumns({
+        "_meta": F.from_json("_m", "map<string,string>"), "_top": F.json_object_keys(raw), "_mk": F.json_object_keys("_m"),
+    })
+    lacking = F.filter(_strings(METADATA), lambda m: F.coalesce(F.length(F.try_element_at(F.col("_meta"), m)), F.lit(0)) == 0)
+    df = df.withColumn("_lacking", lacking)
+    extra = F.size(F.array_except("_mk", _strings((*METADATA, "ingest_ts")))) > 0
+    top = F.size(F.array_except("_top", _strings(("metadata", "data")))) > 0
+    unknown = ~F.try_element_at(F.col("_meta"), F.lit("module")).isin(*contract.modules)
+    problem = (
+        F.when(F.col("_top").isNull() | F.col("_meta").isNull() | F.get_json_object(raw, "$.data").isNull(), "malformed envelope")
+        .when(F.size("_lacking") > 0, F.concat(F.lit("metadata missing: "), F.array_join("_lacking", ",")))
+        .when(extra | top, "unexpected envelope fields").when(unknown, "unknown module")
     )
+    return df.withColumn(out, problem).drop("_m", "_meta", "_top", "_mk", "_lacking")
 
 
-def split_valid(df: DataFrame, error: Column) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejects with ``error``); both branches filter the same single-pass column."""
-    tagged = df.withColumn("error", error)
-    return tagged.filter("error IS NULL").drop("error"), tagged.filter("error IS NOT NULL")
+def split_valid(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejects) by the error column of a single pass."""
+    return df.filter(F.col(error).isNull()).drop(error), df.filter(F.col(error).isNotNull())
 
 
 def schema_profile(df: DataFrame) -> DataFrame:

@@ -30,6 +30,7 @@ class Scaler:
     features: list[str]
     mean: dict[str, float]
     std: dict[str, float]
+    rows: int = 0
 
     def scaled(self, f: str) -> Column:
         return numeric.standard_scale(F.col(f), F.lit(float(self.mean[f])), F.lit(float(self.std[f])))
@@ -47,8 +48,18 @@ def scaler_stats(df: DataFrame, module: str, features: list[str]) -> DataFrame:
 
 def fit_scaler(df: DataFrame, features: list[str]) -> Scaler:
     names = sorted(features)
-    row = df.agg(*[F.avg(f).alias(f"m_{f}") for f in names], *[F.stddev_pop(f).alias(f"s_{f}") for f in names]).first()
-    return Scaler(names, {f: row[f"m_{f}"] or 0.0 for f in names}, {f: row[f"s_{f}"] or 0.0 for f in names})
+    row = df.agg(F.count("*").alias("n"), *[F.avg(f).alias(f"m_{f}") for f in names], *[F.stddev_pop(f).alias(f"s_{f}") for f in names]).first()
+    return Scaler(names, {f: row[f"m_{f}"] or 0.0 for f in names}, {f: row[f"s_{f}"] or 0.0 for f in names}, row["n"])
+
+
+# Training rows below this many per core are dealt out evenly before an iterative fit.
+_FEW_ROWS = 250_000
+
+
+def even_out(df: DataFrame, rows: int) -> DataFrame:
+    """Small inputs often sit in one split; a large input is left in its own partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if rows <= cores * _FEW_ROWS else df
 
 
 # -- reconstruction error -----------------------------------------------------------------
@@ -170,7 +181,8 @@ def raw_scores(s: Series, model: ModuleModel, masked: tuple[str, ...] = ()) -> S
 def fit_module(s: Series, features: list[str], k: int = 2, mixture_k: int = 3, seed: int = 42) -> ModuleModel:
     """Scaler, components, mixture, then a calibration pass over the training rows."""
     scaler = fit_scaler(s.df, features)
-    scaled = scaler.apply(s.df.select(*scaler.features).na.fill(scaler.mean))
+    train = even_out(s.df.select(*scaler.features).na.fill(scaler.mean), scaler.rows)
+    scaled = scaler.apply(train)
     model = ModuleModel(scaler, fit_components(scaled, scaler.features, k), fit_mixture(scaled, scaler.features, mixture_k, seed))
     return calibrate(s, model)
 
@@ -219,9 +231,9 @@ def fit_code(df: DataFrame, code: str, features: list[str], target: str = "targe
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    edge = df.agg(*[F.min(f).alias(f"lo_{f}") for f in features], *[F.max(f).alias(f"hi_{f}") for f in features]).first()
+    edge = df.agg(F.count("*").alias("n"), *[F.min(f).alias(f"lo_{f}") for f in features], *[F.max(f).alias(f"hi_{f}") for f in features]).first()
     lo, hi = [float(edge[f"lo_{f}"]) for f in features], [float(edge[f"hi_{f}"]) for f in features]
-    unit = df.select(
+    unit = even_out(df.select(target, *features), edge["n"]).select(
         F.col(target).alias("_y"), *[numeric.minmax_scale(F.col(f), F.lit(a), F.lit(b)).alias(f) for f, a, b in zip(features, lo, hi)]
     )
     both = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("_y").alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("_y")).alias("w"))))

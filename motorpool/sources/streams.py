@@ -37,6 +37,18 @@ def to_broker_rows(df: DataFrame, topics: dict[str, str], value: Column, module:
     return good, tagged.filter(F.col("_topic").isNull()).drop("_topic")
 
 
+def by_source(df: DataFrame, source: str, row_key: str, buckets: int = 64, writers: int = 4) -> DataFrame:
+    """Add ``source_bucket`` and spread rows for writing: all rows of a bucket go to a few tasks, so a
+    micro-batch writes ``buckets * writers`` files at most, and a dominant source is still shared by ``writers`` tasks."""
+    tagged = df.withColumn("source_bucket", source_bucket(source, buckets))
+    return tagged.repartition("source_bucket", F.pmod(F.xxhash64(row_key), F.lit(writers)))
+
+
+def source_bucket(source: str | Column, buckets: int = 64) -> Column:
+    """Bucket of a source; filter on it as well as on the source to prune folders."""
+    return F.pmod(F.xxhash64(source), F.lit(buckets)).cast("int")
+
+
 def append_sink(df: DataFrame, path: str, checkpoint: str, name: str, partition_by: tuple[str, ...] = (),
                 fmt: str = "parquet", trigger: dict | None = None):
     """Append sink with a checkpoint; 1 s micro-batches unless told otherwise."""
