@@ -27,6 +27,15 @@ def _specs(contract: Contract) -> Column:
     return F.from_json(F.lit(json.dumps(spec)), _SPEC)
 
 
+# A filter on the error column would be pushed below the parsing and copy it several times over.
+# Filters do not move below a stage with a partition id, so the last parsing stage carries one.
+_PIN = "_pin"
+
+
+def _pinned(cond: Column) -> Column:
+    return F.when(F.col(_PIN) >= 0, cond)
+
+
 def with_row_error(df: DataFrame, contract: Contract, module: str = "module", data: str = "data", out: str = "error") -> DataFrame:
     """Add the first broken rule of a JSON row as ``struct(message, details)``, NULL for valid rows.
 
@@ -53,6 +62,7 @@ def with_row_error(df: DataFrame, contract: Contract, module: str = "module", da
 
     df = df.withColumns({
         "_extra": F.array_except("_keys", "_expected"), "_bad": F.array_compact(F.transform("_spec", problem)),
+        _PIN: F.spark_partition_id(),
     })
 
     def err(message, details):
@@ -66,7 +76,7 @@ def with_row_error(df: DataFrame, contract: Contract, module: str = "module", da
     if not rules["allow_extra_fields"]:
         found = found.when(F.size("_extra") > 0, err("Schema validation failed", F.to_json("_extra")))
     found = found.when(F.size("_bad") > 0, err("Schema validation failed", F.to_json("_bad")))
-    return df.withColumn(out, found).drop("_spec", "_keys", "_vals", "_expected", "_extra", "_bad")
+    return df.withColumn(out, _pinned(found)).drop("_spec", "_keys", "_vals", "_expected", "_extra", "_bad", _PIN)
 
 
 def with_envelope_error(df: DataFrame, contract: Contract, raw: str, out: str = "problem") -> DataFrame:
@@ -75,16 +85,16 @@ def with_envelope_error(df: DataFrame, contract: Contract, raw: str, out: str =
         "_meta": F.from_json("_m", "map<string,string>"), "_top": F.json_object_keys(raw), "_mk": F.json_object_keys("_m"),
     })
     lacking = F.filter(_strings(METADATA), lambda m: F.coalesce(F.length(F.try_element_at(F.col("_meta"), m)), F.lit(0)) == 0)
-    df = df.withColumn("_lacking", lacking)
+    df = df.withColumns({"_lacking": lacking, "_data": F.get_json_object(raw, "$.data"), _PIN: F.spark_partition_id()})
     extra = F.size(F.array_except("_mk", _strings((*METADATA, "ingest_ts")))) > 0
     top = F.size(F.array_except("_top", _strings(("metadata", "data")))) > 0
     unknown = ~F.try_element_at(F.col("_meta"), F.lit("module")).isin(*contract.modules)
     problem = (
-        F.when(F.col("_top").isNull() | F.col("_meta").isNull() | F.get_json_object(raw, "$.data").isNull(), "malformed envelope")
+        F.when(F.col("_top").isNull() | F.col("_meta").isNull() | F.col("_data").isNull(), "malformed envelope")
         .when(F.size("_lacking") > 0, F.concat(F.lit("metadata missing: "), F.array_join("_lacking", ",")))
         .when(extra | top, "unexpected envelope fields").when(unknown, "unknown module")
     )
-    return df.withColumn(out, problem).drop("_m", "_meta", "_top", "_mk", "_lacking")
+    return df.withColumn(out, _pinned(problem)).drop("_m", "_meta", "_top", "_mk", "_lacking", "_data", _PIN)
 
 
 def split_valid(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
