@@ -60,8 +60,8 @@ def _(t: Tables):
         GROUP BY ALL HAVING count(x.event_id) < 10""",
 )
 def _(t: Tables):
-    kinds = t.spark.createDataFrame([(e,) for e in MODULE_OF], "event_type string")
-    expected = t.events.select("user_id").distinct().crossJoin(F.broadcast(kinds))
+    kinds = F.explode(F.array(*[F.lit(e) for e in MODULE_OF]))
+    expected = t.events.select("user_id").distinct().select("user_id", kinds.alias("event_type"))
     actual = t.events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
     joined = expected.join(actual, ["user_id", "event_type"], "left")
     return joined.select("user_id", "event_type", F.coalesce("n", F.lit(0)).alias("n")).filter("n < 10")
@@ -479,8 +479,7 @@ def _(t: Tables):
     sql="SELECT event_id, row_hash FROM v_env WHERE row_hash NOT IN (SELECT row_hash FROM v_env WHERE event_id % 3 = 0)",
 )
 def _(t: Tables):
-    seen = t.envelopes.filter("event_id % 3 = 0").select("row_hash")
-    return t.envelopes.select("event_id", "row_hash").join(seen, "row_hash", "left_anti").select("event_id", "row_hash")
+    return tables.unseen(t.envelopes.select("event_id", "row_hash"), t.envelopes.filter("event_id % 3 = 0"), ["row_hash"])
 
 
 @query("u3_exact_dedup", views=["v_env"], sql="SELECT min(event_id) AS event_id, row_hash FROM v_env GROUP BY row_hash")

@@ -39,6 +39,19 @@ def _(t: Tables):
     return T.number_trips(log, "ts", 8).result().select("event_id", "user_id", "trip")
 
 
+@query(
+    "w2_sessionise_whole_log",
+    sql="""SELECT event_id, 1 + sum(g) OVER (ORDER BY ts, event_id)::BIGINT AS trip FROM (
+        SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (ORDER BY ts, event_id) > 720000000 THEN 1 ELSE 0 END AS g FROM events)""",
+)
+def _(t: Tables):
+    """One session numbering over the whole log: a single series, cut into chunks once it is large."""
+    from motorpool.operators.series import Series
+
+    log = Series(t.events.select(F.lit(0).alias("log"), "ts", "event_id"), ["log"], ["ts", "event_id"])
+    return T.number_trips(log, "ts", 0.2).result().select("event_id", "trip")
+
+
 @query("w3_trip_segments", views=["v_trips"], sql=f"WITH {_SEG} SELECT event_id, trip, segment FROM seg")
 def _(t: Tables):
     return T.segments(t.trip_series()).result().select("event_id", "trip", "segment")

@@ -96,6 +96,8 @@ class Series:
     """
 
     def __init__(self, df, keys, order, target_rows: int = TARGET_ROWS, _state=None):
+        if not keys:
+            raise ValueError("a series needs a key; use a constant column for one global series")
         self.keys, self.order, self.target_rows = list(keys), list(order), target_rows
         if _state is not None:
             self.df, self.hot, self.n_chunks, self.cold = df, *_state
@@ -141,7 +143,14 @@ class Series:
     @staticmethod
     def _attach(df, side, on, rows):
         side = small_side(side, rows)
-        return df.join(side, on, "left") if on else df.crossJoin(side)
+        return df.join(side, on, "left")
+
+    @classmethod
+    def bounded(cls, df, keys, order, max_rows: int, target_rows: int = TARGET_ROWS) -> Series:
+        """Series whose keys hold ``max_rows`` rows at most by construction; measured only if that is too many."""
+        if max_rows > target_rows:
+            return cls(df, keys, order, target_rows)
+        return cls(df, keys, order, target_rows, _state=(False, 0, frozenset([frozenset(keys)])))
 
     def with_df(self, df: DataFrame) -> Series:
         """Same keys and chunks over a derived frame that kept all rows' key, order and chunk."""

@@ -150,6 +150,7 @@ def traceback(alerts: DataFrame, bronze: DataFrame, key: str, alert: str, peak:
     spans = ends.withColumn(
         "_block", F.explode(F.sequence(F.floor(F.greatest(F.col("_end") - rows, F.lit(0)) / rows), F.floor(F.greatest(F.col("_end") - 1, F.lit(0)) / rows)))
     )
+    spans = small_side(spans, 2 * alerts.count())
     placed = Series(bronze, [key], order, **kw).indexed("_pos").result().withColumn("_block", F.floor(F.col("_pos") / rows))
     hit = placed.join(spans, [key, "_block"]).filter((F.col("_pos") < F.col("_end")) & (F.col("_pos") >= F.col("_end") - rows))
     return hit.withColumn("pos", F.col("_pos") - F.greatest(F.col("_end") - rows, F.lit(0))).drop("_block", "_pos", "_end")

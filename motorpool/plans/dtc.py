@@ -71,7 +71,6 @@ def with_messages(codes: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def magnify(long: DataFrame, value: str = "p") -> DataFrame:
     """Min-max over all codes together; flat data (range under 1e-9) is left alone."""
-    edge = long.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    span = F.col("_hi") - F.col("_lo")
-    scaled = F.when(span < 1e-9, F.col(value)).otherwise((F.col(value) - F.col("_lo")) / span)
-    return long.crossJoin(F.broadcast(edge)).withColumn(value, scaled).drop("_lo", "_hi")
+    edge = long.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    span = edge["hi"] - edge["lo"]
+    return long.withColumn(value, F.when(span < 1e-9, F.col(value)).otherwise((F.col(value) - edge["lo"]) / span))

@@ -44,10 +44,22 @@ def module_windows(silver: DataFrame, modules, seconds: int = WINDOW_SECONDS, wo
     return rows.groupBy("source_id", floor_seconds(F.col("ts"), seconds).alias("window_ts")).agg(*picks)
 
 
-def carried_windows(windows: DataFrame, modules, target_rows: int | None = None) -> DataFrame:
-    """Modules silent in a window keep the state of the vehicle's last window that had one."""
+def windows_in(silver: DataFrame, seconds: int = WINDOW_SECONDS) -> int:
+    """How many windows the data's time range holds: no vehicle can have more (reads one column)."""
+    span = silver.agg((F.max(F.unix_seconds("ts")) - F.min(F.unix_seconds("ts"))).alias("s")).first()["s"]
+    return (span or 0) // seconds + 2
+
+
+def carried_windows(windows: DataFrame, modules, target_rows: int | None = None, max_windows: int | None = None) -> DataFrame:
+    """Modules silent in a window keep the state of the vehicle's last window that had one.
+
+    ``max_windows`` is a known bound on the windows of a vehicle; without one they are counted.
+    """
     kw = {"target_rows": target_rows} if target_rows else {}
-    s = Series(windows, ["source_id"], ["window_ts"], **kw)
+    if max_windows is None:
+        s = Series(windows, ["source_id"], ["window_ts"], **kw)
+    else:
+        s = Series.bounded(windows, ["source_id"], ["window_ts"], max_windows, **kw)
     return s.running(**{m: last_valid(F.col(m)) for m in modules}).result()
 
 
@@ -98,7 +110,8 @@ def _pool(entries: Column, weight: float, module_pos: int) -> Column:
 def gold_health(silver: DataFrame, fusion: Fusion | None = None, seconds: int = WINDOW_SECONDS, now: Column | None = None) -> DataFrame:
     """``silver(source_id, module, ts, event_id, health, features)`` to one health row per vehicle and window."""
     fusion = fusion or Fusion()
-    rows = carried_windows(module_windows(silver, fusion.weights, seconds), fusion.weights)
+    windows = module_windows(silver, fusion.weights, seconds)
+    rows = carried_windows(windows, fusion.weights, max_windows=windows_in(silver, seconds))
     rows = fused(rows, fusion)
     return rows.select(
         "source_id", F.col("window_ts").alias("gold_window_ts"), "raw_total", "vehicle_health_score", "penalised",
@@ -150,7 +163,7 @@ def fleet_by_time(simulated: DataFrame, modules) -> DataFrame:
 def normalised_weights(df: DataFrame, weight: str, group: list[str]) -> DataFrame:
     """``share`` of each weight, whether the given weights are out of balance, and shares on 3 decimals."""
     total = df.groupBy(*group).agg(F.sum(weight).alias("_t"))
-    out = df.join(total, group) if group else df.crossJoin(F.broadcast(total))
+    out = df.join(total, group) if group else df.withColumn("_t", total.scalar())
     bad = F.raise_error(F.lit("weights must add up to more than 0"))
     share = F.when(F.col("_t") > 0, F.col(weight) / F.col("_t")).otherwise(bad.cast("double"))
     return out.select(

@@ -79,8 +79,8 @@ def trailing(df: DataFrame, ts: str, seconds: int = 300, anchor: Column | None =
     """Rows of the last ``seconds`` before the newest row ("virtual now") or before ``anchor``."""
     if anchor is not None:
         return df.filter(F.col(ts) >= anchor - F.make_dt_interval(secs=F.lit(seconds)))
-    newest = df.agg(F.max(ts).alias("_now"))
-    return df.crossJoin(F.broadcast(newest)).filter(F.col(ts) >= F.col("_now") - F.make_dt_interval(secs=F.lit(seconds))).drop("_now")
+    newest = df.agg(F.max(ts)).scalar()
+    return df.filter(F.col(ts) >= newest - F.make_dt_interval(secs=F.lit(seconds)))
 
 
 def module_latency(df: DataFrame, module: str, e2e: str, inference: str) -> tuple[DataFrame, DataFrame]:

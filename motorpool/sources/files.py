@@ -59,7 +59,7 @@ def discover_sources(listing: DataFrame, patterns: dict[str, str], enabled: Iter
         unknown = wanted.join(vehicles, "vehicle", "left_anti")
         vehicles = wanted.join(vehicles, "vehicle", "left_semi")
     # The module list comes from the contract: a handful of rows.
-    expected = vehicles.crossJoin(F.broadcast(modules))
+    expected = vehicles.select("vehicle", F.explode(F.array(*[F.lit(m) for m in patterns])).alias("module"))
     matched = found.join(F.broadcast(modules), F.regexp_like("file", F.col("pattern"))).groupBy("vehicle", "module").agg(
         F.count("*").alias("n"), F.min("path").alias("path")
     )

@@ -12,6 +12,11 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 
+def unseen(df: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key was not seen before; repeats of a seen key are combined before the shuffle."""
+    return df.join(seen.select(*keys).distinct(), keys, "left_anti").select(*df.columns)
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Update-all / insert-all: updates win, untouched rows stay. ``updates`` has unique keys."""
     kept = target.join(updates.select(*keys), keys, "left_anti")
