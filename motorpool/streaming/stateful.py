@@ -135,12 +135,15 @@ def health_windows(df: DataFrame, fusion: Fusion | None = None, seconds: int = 3
         rows = _ordered(batches, ["ts", "event_id"])
         cache = json.loads(state.get[0]) if state.exists else {}
         wins, seqs, caches = [], [], []
-        for win, part in rows.groupby("window_ts", sort=True):
-            for m, h, f, eid in part[["module", "health", "features", "event_id"]].itertuples(index=False):
-                cache[m] = [h, f, eid]
-            wins.append(win)
-            seqs.append(int(part["event_id"].max()))
-            caches.append(json.dumps(cache))
+        for win, m, h, f, eid in rows[["window_ts", "module", "health", "features", "event_id"]].itertuples(index=False):
+            cache[m] = [h, f, eid]
+            # Rows come in time order: the last one of a window leaves the window's final states.
+            if wins and wins[-1] == win:
+                seqs[-1], caches[-1] = max(seqs[-1], eid), json.dumps(cache)
+            else:
+                wins.append(win)
+                seqs.append(eid)
+                caches.append(json.dumps(cache))
         state.update((json.dumps(cache),))
         yield pd.DataFrame({"source_id": key[0], "window_ts": wins, "seq": seqs, "cache": caches})
 
