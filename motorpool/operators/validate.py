@@ -51,10 +51,12 @@ def with_row_error(df: DataFrame, contract: Contract, module: str = "module", da
     def problem(c):
         v = F.try_element_at(F.col("_vals"), c["name"])
         absent = v.isNull() | F.is_variant_null(v)
+        shown = F.schema_of_variant(v)
+        numeric = shown.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | shown.startswith("DECIMAL")
         fits = (
-            F.when(c["kind"] == "double", v.try_cast("double").isNotNull()).when(c["kind"] == "bigint", v.try_cast("bigint").isNotNull())
+            F.when((c["kind"] == "double") & numeric, True).when(c["kind"] == "double", v.try_cast("double").isNotNull()).when(c["kind"] == "bigint", v.try_cast("bigint").isNotNull())
             .when(c["kind"] == "boolean", v.try_cast("boolean").isNotNull()).when(c["kind"] == "timestamp", v.try_cast("timestamp").isNotNull())
-            .otherwise(F.schema_of_variant(v) == "STRING")
+            .otherwise(shown == "STRING")
         )
         lost = F.when(absent & ~c["nullable"], F.concat(c["name"], F.lit(": missing or null"))) if rules["reject_null_violations"] else None
         wrong = F.when(~absent & ~fits, F.concat(c["name"], F.lit(": not "), c["kind"])) if rules["enforce_dtypes"] else None

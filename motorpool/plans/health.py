@@ -84,8 +84,8 @@ def fused(rows: DataFrame, fusion: Fusion) -> DataFrame:
     return rows.drop("_clamped", *[f"_h_{m}" for m in weights])
 
 
-def top_features(fusion: Fusion, k: int = 5) -> Column:
-    """The ``k`` strongest weighted features over all modules, 4 decimals.
+def with_top_features(rows: DataFrame, fusion: Fusion, out: str = "top_5_features", k: int = 5) -> DataFrame:
+    """Add the ``k`` strongest weighted features over all modules, 4 decimals.
 
     A name that appears twice among them keeps its later, smaller value.
     """
@@ -93,9 +93,12 @@ def top_features(fusion: Fusion, k: int = 5) -> Column:
     for i, (m, w) in enumerate(fusion.weights.items()):
         entries = F.map_entries(F.coalesce(F.col(f"{m}.features"), F.create_map().cast("map<string,double>")))
         pools.append(_pool(entries, w, i))
-    ranked = F.slice(F.sort_array(F.concat(*pools), asc=False), 1, k)
-    last = F.filter(ranked, lambda e, i: ~F.exists(F.slice(ranked, i + 2, F.lit(k)), lambda x: x["name"] == e["name"]))
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["name"], round_py(e["impact"], 4))))
+    # The ranking is a column of its own: inside the lambda below it would be sorted again per entry.
+    rows = rows.withColumn("_ranked", F.slice(F.sort_array(F.concat(*pools), asc=False), 1, k))
+    later = lambda e, i: F.exists(F.slice("_ranked", i + 2, F.lit(k)), lambda x: x["name"] == e["name"])
+    rows = rows.withColumn("_ranked", F.filter("_ranked", lambda e, i: ~later(e, i)))
+    best = F.transform("_ranked", lambda e: F.struct(e["name"], round_py(e["impact"], 4)))
+    return rows.withColumn(out, F.map_from_entries(best)).drop("_ranked")
 
 
 def _pool(entries: Column, weight: float, module_pos: int) -> Column:
@@ -112,10 +115,10 @@ def gold_health(silver: DataFrame, fusion: Fusion | None = None, seconds: int =
     fusion = fusion or Fusion()
     windows = module_windows(silver, fusion.weights, seconds)
     rows = carried_windows(windows, fusion.weights, max_windows=windows_in(silver, seconds))
-    rows = fused(rows, fusion)
+    rows = with_top_features(fused(rows, fusion), fusion)
     return rows.select(
         "source_id", F.col("window_ts").alias("gold_window_ts"), "raw_total", "vehicle_health_score", "penalised",
-        *[f"{m}_contrib" for m in fusion.weights], top_features(fusion).alias("top_5_features"), (now if now is not None else F.current_timestamp()).alias("gold_write_ts"),
+        *[f"{m}_contrib" for m in fusion.weights], "top_5_features", (now if now is not None else F.current_timestamp()).alias("gold_write_ts"),
     )
 
 

@@ -15,7 +15,7 @@ from motorpool.functions.numeric import round_py
 from motorpool.functions.scoring import EMA_ALPHA, SCORE_DELTAS, SCORE_MAX, SCORE_MIN
 from motorpool.functions.timefmt import floor_seconds
 from motorpool.plans.alerts import TOP_FEATURES, alert_id
-from motorpool.plans.health import Fusion, fused, top_features
+from motorpool.plans.health import Fusion, fused, with_top_features
 from motorpool.sources.tables import latest_per_key
 
 
@@ -156,9 +156,9 @@ def health_windows(df: DataFrame, fusion: Fusion | None = None, seconds: int = 3
         got = F.try_element_at(cache, F.lit(m))
         state = F.struct(got[0].cast("double").alias("health"), F.from_json(got[1], "map<string,double>").alias("features"))
         rows = rows.withColumn(m, F.when(got.isNotNull(), state))
-    return fused(rows, fusion).select(
+    return with_top_features(fused(rows, fusion), fusion).select(
         "source_id", F.col("window_ts").alias("gold_window_ts"), "vehicle_health_score", *[f"{m}_contrib" for m in mods],
-        top_features(fusion).alias("top_5_features"), "seq",
+        "top_5_features", "seq",
     )
 
 

@@ -103,7 +103,7 @@ def test_health_fusion_is_the_loop(spark, target):
     wins = H.carried_windows(H.module_windows(df, fusion.weights), fusion.weights, target)
     got = {
         (r.source_id, r.window_ts): (r.vehicle_health_score, r.engine_contrib, r.f)
-        for r in H.fused(wins, fusion).withColumn("f", H.top_features(fusion)).collect()
+        for r in H.with_top_features(H.fused(wins, fusion), fusion, "f").collect()
     }
     cache, want = {}, {}
     for s, m, ts, _i, h, f in sorted(rows, key=lambda r: r[2]):
@@ -183,3 +183,30 @@ def test_nearest_road_is_brute_force(spark):
     for i, lon, lat in pts:
         best = min((dist(lon, lat, *roads[3 * r + s][3:], *roads[3 * r + s + 1][3:]), r) for r in range(12) for s in range(2))
         assert got[i] == ((best[1], f"c{best[1] % 3}") if best[0] <= 0.01 else (None, "unknown"))
+
+
+@pytest.mark.parametrize("target", [60])
+def test_trip_pipeline_with_a_hot_vehicle(spark, target):
+    """Numbering, segments, distances, grade, yaw and scores agree between plain and chunked series."""
+    rnd = random.Random(13)
+    rows, clock = [], 0.0
+    for i in range(260):
+        clock += rnd.choice([4.0, 4.0, 4.0, 40.0, 90000.0 if i % 60 == 59 else 4.0])
+        rows.append((
+            "hot" if rnd.random() < 0.8 else "cold", datetime.fromtimestamp(1.7e9 + clock), i, clock, float(rnd.randrange(0, 4) * 30), rnd.uniform(-0.6, 0.6),
+            rnd.uniform(-0.6, 0.6), 1.0, 200.0 + rnd.randrange(9), 28 + rnd.random() / 100, 77 + rnd.random() / 100,
+        ))
+    df = spark.createDataFrame(
+        rows, "vehicle string, ts timestamp, event_id long, t double, speed double, ax double, ay double, az double, alt double, lat double, lon double"
+    )
+
+    def go(n):
+        s = T.trip_deltas(T.number_trips(Series(df, ["vehicle"], ["ts", "event_id"], n), "ts", 8), dt=("t", None))
+        s = T.yaw_rate(T.heading(T.grade(T.with_distance(T.segments(T.level(s))))))
+        s = T.trip_deltas(s, ("trip", "segment"), dv=("speed", None))
+        s = s.with_df(s.df.withColumn("ax_true", F.col("ax_cal") + F.sin("grade")))
+        s = T.driver_score(s.with_df(s.df.withColumns(T.harsh_events(F.lit("primary")))))
+        cols = ["event_id", "trip", "segment", *[F.round(c, 9) for c in ("dt", "dist", "grade", "heading", "yaw", "ax_cal", "dv")], "braking", "accel", "cornering", "score"]
+        return sorted(map(tuple, s.result().select(*cols).collect()))
+
+    assert go(target) == go(10**9)
