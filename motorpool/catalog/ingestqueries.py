@@ -253,7 +253,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     p = F.from_json("raw", CONTRACT.envelope_schema("engine"))
-    rows = t.envelopes.filter("b <> 8 AND module = 'engine'").select("event_id", p.alias("p"))
+    rows = t.envelopes.filter(F.try_parse_json("raw").isNotNull() & (F.col("module") == "engine")).select("event_id", p.alias("p"))
     return rows.select("event_id", F.col("p.metadata.vehicle_id").alias("vehicle"), "p.data.cents", "p.data.k")
 
 
@@ -455,7 +455,7 @@ def _(t: Tables):
         CASE WHEN b = 2 THEN NULL ELSE k::DOUBLE END AS k FROM v_env WHERE b <> 8 AND module = 'tyre'""",
 )
 def _(t: Tables):
-    rows, _bad = B.split_unreadable(B.flatten(t.envelopes.filter("module = 'tyre' AND b <> 8"), CONTRACT, "tyre", value="raw"))
+    rows, _bad = B.split_unreadable(B.flatten(t.envelopes.filter("module = 'tyre'"), CONTRACT, "tyre", value="raw"))
     return rows.select("row_hash", "source_id", "timestamp", "cents", "k")
 
 
@@ -476,10 +476,10 @@ def _(t: Tables):
 
 @query(
     "j6_seen_before", views=["v_env"],
-    sql="SELECT event_id, row_hash FROM v_env WHERE row_hash NOT IN (SELECT row_hash FROM v_env WHERE event_id % 3 = 0)",
+    sql="SELECT event_id, row_hash FROM v_env WHERE row_hash NOT IN (SELECT row_hash FROM v_env WHERE ts < TIMESTAMP '2024-01-10')",
 )
 def _(t: Tables):
-    return tables.unseen(t.envelopes.select("event_id", "row_hash"), t.envelopes.filter("event_id % 3 = 0"), ["row_hash"])
+    return tables.unseen(t.envelopes.select("event_id", "row_hash"), t.envelopes.filter(F.col("ts") < F.lit("2024-01-10").cast("timestamp")), ["row_hash"])
 
 
 @query("u3_exact_dedup", views=["v_env"], sql="SELECT min(event_id) AS event_id, row_hash FROM v_env GROUP BY row_hash")

@@ -203,7 +203,7 @@ def _(t: Tables):
 
 
 @query(
-    "a2_pipeline_counters", views=["v_env"],
+    "a2_ingest_counters", views=["v_env"],
     sql="""SELECT module, count(*) AS attempted, count(*) FILTER (b NOT IN (1, 2, 3, 4, 5, 6, 7)) AS accepted,
         count(*) FILTER (b BETWEEN 1 AND 6) AS failed_validation, count(*) FILTER (b BETWEEN 1 AND 7) AS rejected FROM v_env GROUP BY module""",
 )

@@ -29,7 +29,9 @@ def stamp(df: DataFrame, column: str, now: Column | None = None) -> DataFrame:
 
 def flatten(raw: DataFrame, contract: Contract, module: str, value: str = "value", writer_ts: Column | None = None) -> DataFrame:
     """Bronze layout of one module's envelopes; unreadable ones keep a NULL ``row_hash``."""
-    parsed = raw.withColumn("_p", F.from_json(value, contract.envelope_schema(module)))
+    # Cut-off JSON would still parse in part; a wrong field in good JSON is only a NULL field.
+    whole = F.try_parse_json(value).isNotNull()
+    parsed = raw.withColumn("_p", F.when(whole, F.from_json(value, contract.envelope_schema(module))))
     cols = [c for c in contract.columns(module) if c != "source_id"]
     return parsed.select(
         F.col("_p.metadata.row_hash").alias("row_hash"), parse_iso(F.col("_p.metadata.ingest_ts")).alias("ingest_ts"),
