@@ -74,9 +74,8 @@ def fault_stream(t: Tables):
     """The fault view as a stream; ``event_id`` numbers rows in the batch order."""
     q = F.col("l_quantity")
     sev = F.when(q >= 38, "CRITICAL").when(q >= 28, "WARNING").otherwise("NORMAL")
-    eid = F.struct(F.col("l_orderkey").alias("okey"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("pkey"), F.col("l_extendedprice").alias("price"))
     # (order, line, part) as one sortable number.
-    num = eid["okey"] * 100_000_000 + eid["line"] * 10_000_000 + eid["pkey"]
+    num = F.col("l_orderkey") * 100_000_000_000 + F.col("l_linenumber") * 10_000_000_000 + F.col("l_partkey")
     return stream_of(t, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("source_id"), F.lit("fleet").alias("module"), F.col("l_shipdate").cast("timestamp").alias("ts"),
         num.alias("event_id"), sev.alias("severity"), (q / 50.0).alias("comp"),

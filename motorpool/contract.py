@@ -90,12 +90,12 @@ def contract_violations(document: DataFrame, text: str = "value") -> DataFrame:
     return d.select(text, F.explode(F.concat(*checks)).alias("violation"))
 
 
-def build_contract(columns: DataFrame, spark_version: str = "v1") -> DataFrame:
+def build_contract(columns: DataFrame, version: str = "v1") -> DataFrame:
     """One merged JSON document with its SHA-256 from ``(module, ordinal, column, dtype, nullable)`` rows."""
     col = F.struct("ordinal", "column", "dtype", "nullable")
     per_module = columns.groupBy("module").agg(F.sort_array(F.collect_list(col)).alias("columns"))
     doc = per_module.groupBy().agg(
         F.sort_array(F.collect_list(F.struct("module", F.size("columns").alias("column_count"), "columns"))).alias("modules")
     )
-    body = doc.select(F.to_json(F.struct(F.lit(spark_version).alias("contract_version"), "modules")).alias("document"))
+    body = doc.select(F.to_json(F.struct(F.lit(version).alias("contract_version"), "modules")).alias("document"))
     return body.withColumn("checksum", F.sha2("document", 256))
