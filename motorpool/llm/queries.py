@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorpool.llm import bpe, nearcopies, toxicity
+from motorpool.llm import bpe, chunks, leaks, nearcopies, toxicity
 from motorpool.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=False)
 
@@ -38,7 +46,9 @@ def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op4_line_chunks": op4_line_chunks,
+    "op5_benchmark_leaks": op5_benchmark_leaks,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_near_copies": op9_near_copies,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_line_chunks": chunks.ORACLE}
