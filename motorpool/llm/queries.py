@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorpool.llm import bpe, chat, chunks, leaks, lmscore, nearcopies, personal, toxicity, urls
+from motorpool.llm import bpe, chat, chunks, leaks, lmscore, nearcopies, neighbours, personal, toxicity, urls
 from motorpool.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,10 @@ def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.near_copies(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0", k=20)
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_lm_difference": op2_lm_difference,
@@ -85,5 +89,6 @@ QUERIES: dict[str, Query] = {
     "op7_chat_format": op7_chat_format,
     "op8_personal_data": op8_personal_data,
     "op9_near_copies": op9_near_copies,
+    "op10_nearest": op10_nearest,
 }
 ORACLES: dict[str, str] = {"op4_line_chunks": chunks.ORACLE}
