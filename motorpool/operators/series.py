@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from motorpool.session import cut
 
@@ -23,6 +22,8 @@ CHUNK = "_chunk"
 TARGET_ROWS = 500_000
 # Tables of measured size up to this many rows are broadcast, larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
+# Sampled rows per chunk that the cut points are taken from, and points looked through at once.
+_PER_CHUNK, _STEP = 64, 32
 _BEFORE = (Window.unboundedPreceding, -1)
 _AFTER = (1, Window.unboundedFollowing)
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
@@ -81,18 +82,11 @@ def next_valid(expr: Column) -> Run:
     return Run("bfill", expr)
 
 
-def _clock(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    return F.col(name).cast("timestamp").cast("double")
-
-
 class Series:
     """A DataFrame with keys and a unique order inside each key.
 
-    Keys and the first order column must not be NULL; the first order column must be
-    a timestamp, date or number, because chunks are cut along it.
+    Keys and order columns must not be NULL. Keys above ``target_rows`` are cut into chunks
+    along the full order.
     """
 
     def __init__(self, df, keys, order, target_rows: int = TARGET_ROWS, _state=None):
@@ -110,40 +104,39 @@ class Series:
         self.parts = [*self.keys, CHUNK] if self.hot else self.keys
 
     def _split(self, df: DataFrame):
-        clock = _clock(df, self.order[0])
-        stats = (
-            df.groupBy(*self.keys)
-            .agg(F.count("*").alias("_n"), F.min(clock).alias("_lo"), F.max(clock).alias("_hi"))
-            .filter(F.col("_n") > self.target_rows)
-        )
+        stats = df.groupBy(*self.keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > self.target_rows)
         # At most (all rows / target_rows) keys can be this large, so the list is short.
         heavy = stats.collect()
         if not heavy:
             return df, False, 0
-        spark = df.sparkSession
-        grid = F.greatest(F.ceil(F.col("_n") / self.target_rows) * 8, F.lit(1))
-        heavy_df = spark.createDataFrame(heavy, stats.schema).select(
-            *self.keys, "_lo", ((F.col("_hi") - F.col("_lo")) / grid).alias("_step")
+        n = sum(-(-r["_n"] // self.target_rows) for r in heavy)
+        heavy_df = df.sparkSession.createDataFrame(heavy, stats.schema)
+        # Cut points at measured quantiles of the full order: a clock that jumps, or many rows at one
+        # instant, do not matter. They come from a hash sample of some dozens of rows per chunk.
+        m = F.ceil(F.col("_n") / self.target_rows)
+        some = self._attach(df.select(*self.keys, *self.order), heavy_df, self.keys, len(heavy), "inner").filter(
+            F.pmod(F.xxhash64(*self.order), F.greatest(F.floor(F.col("_n") / (m * _PER_CHUNK)), F.lit(1))) == 0
+        ).select(*self.keys, m.alias("_m"), F.struct(*self.order).alias("_o"))
+        w = Window.partitionBy(*self.keys)
+        share = lambda r: F.floor(r * F.col("_m") / F.col("_all"))
+        placed = some.withColumns({"_all": F.count("*").over(w), "_r": F.row_number().over(w.orderBy("_o"))})
+        points = placed.filter((share(F.col("_r") - 1) != share(F.col("_r"))) & (F.col("_r") < F.col("_all")))
+        cuts = cut(
+            points.groupBy(*self.keys).agg(F.sort_array(F.collect_set("_o")).alias("_cuts"))
+            .withColumn("_coarse", F.filter("_cuts", lambda _, i: i % _STEP == 0))
         )
-        slot = F.when(F.col("_step") > 0, F.floor((clock - F.col("_lo")) / F.col("_step"))).otherwise(F.lit(0))
-        tagged = self._attach(df, heavy_df, self.keys, len(heavy)).withColumn("_slot", slot)
-        # Histogram of the heavy keys, packed into chunks of about target_rows each.
-        filled = tagged.filter(F.col("_lo").isNotNull()).groupBy(*self.keys, "_slot").agg(F.count("*").alias("_c"))
-        w = Window.partitionBy(*self.keys).orderBy("_slot").rowsBetween(*_UP_TO)
-        plan = cut(
-            filled.withColumn(
-                CHUNK, F.floor((F.sum("_c").over(w) - F.col("_c")) / self.target_rows).cast("long")
-            ).select(*self.keys, "_slot", CHUNK)
+        out = self._attach(df.withColumn("_o", F.struct(*self.order)), cuts, self.keys, n)
+        below = lambda points: F.size(F.filter(points, lambda c: c < F.col("_o")))
+        group = F.greatest(below(F.col("_coarse")) - 1, F.lit(0))
+        out = out.withColumn("_g", group).withColumn(
+            CHUNK, F.coalesce(F.col("_g") * _STEP + below(F.slice("_cuts", F.col("_g") * _STEP + 1, F.lit(_STEP))), F.lit(0)).cast("long")
         )
-        n = plan.count()
-        out = self._attach(tagged, plan, [*self.keys, "_slot"], n)
-        out = out.withColumn(CHUNK, F.coalesce(CHUNK, F.lit(0).cast("long"))).drop("_lo", "_step", "_slot")
-        return out, True, n
+        return out.drop("_o", "_g", "_cuts", "_coarse"), True, n
 
     @staticmethod
-    def _attach(df, side, on, rows):
+    def _attach(df, side, on, rows, how="left"):
         side = small_side(side, rows)
-        return df.join(side, on, "left")
+        return df.join(side, on, how)
 
     @classmethod
     def bounded(cls, df, keys, order, max_rows: int, target_rows: int = TARGET_ROWS) -> Series:

@@ -43,10 +43,15 @@ def test_hot_keys_equal_plain_windows(spark, target):
     assert go(target) == go(10**9)
 
 
-def test_one_instant_holding_every_row_stays_whole(spark):
-    df = spark.range(300).select(F.lit("k").alias("k"), F.lit(1).alias("t"), F.col("id").alias("i"))
-    s = Series(df, ["k"], ["t", "i"], 50).running(n=run_sum(F.lit(1)))
-    assert [r.n for r in s.result().orderBy("i").collect()] == list(range(1, 301))
+@pytest.mark.parametrize("outlier", [False, True])
+def test_one_instant_and_a_wrong_clock_are_split(spark, outlier):
+    t = F.when(F.lit(outlier) & (F.col("id") == 0), -10**9).otherwise(1)
+    df = spark.range(6000).select(F.lit("k").alias("k"), t.alias("t"), F.col("id").alias("i"))
+    s = Series(df, ["k"], ["t", "i"], 500)
+    sizes = [r["count"] for r in s.df.groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 1000
+    s = s.running(n=run_sum(F.lit(1)))
+    assert [r.n for r in s.result().orderBy("i").collect()] == list(range(1, 6001))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
