@@ -180,12 +180,14 @@ _ROADS = """roads AS (SELECT s_suppkey AS road_id, CASE s_nationkey % 4 WHEN 0 T
     77.19 + ((s_suppkey * 37 + p * 11) % 700) / 10000.0 AS lon, 28.59 + ((s_suppkey * 53 + p * 17) % 700) / 10000.0 AS lat
     FROM supplier, (VALUES (0), (1), (2)) AS pts(p))"""
 _NEAR = f"""{_ROADS}, rs AS (SELECT road_id, fclass, lon AS x1, lat AS y1, lead(lon) OVER w AS x2, lead(lat) OVER w AS y2
-    FROM roads WINDOW w AS (PARTITION BY road_id ORDER BY seq)),
+    FROM roads WHERE road_id IN (SELECT road_id FROM roads, (SELECT min(lon) - 0.01 AS a, max(lon) + 0.01 AS b, min(lat) - 0.01 AS c, max(lat) + 0.01 AS d FROM v_log) AS box
+      GROUP BY road_id HAVING max(lon) >= min(a) AND min(lon) <= min(b) AND max(lat) >= min(c) AND min(lat) <= min(d))
+    WINDOW w AS (PARTITION BY road_id ORDER BY seq)),
     spots AS (SELECT DISTINCT lon, lat FROM v_log),
     pd AS (SELECT lon, lat, road_id, fclass, min(sqrt(power(lon - (x1 + u * (x2 - x1)), 2) + power(lat - (y1 + u * (y2 - y1)), 2))) AS d FROM (
       SELECT *, least(greatest(((lon - x1) * (x2 - x1) + (lat - y1) * (y2 - y1)) / (power(x2 - x1, 2) + power(y2 - y1, 2)), 0.0), 1.0) AS u
       FROM spots, rs WHERE x2 IS NOT NULL) z GROUP BY ALL),
-    near AS (SELECT lon, lat, min(d) AS d FROM pd WHERE d <= 0.01 GROUP BY ALL)"""
+    near AS (SELECT lon, lat, min(d) AS d FROM pd GROUP BY ALL)"""
 
 
 def _roads(t: Tables):
@@ -230,21 +232,23 @@ def road_aware_events(t: Tables):
     s = T.yaw_rate(T.heading(T.grade(T.with_distance(T.segments(T.level(t.trip_series()))))))
     s = T.trip_deltas(s, ("trip", "segment"), dv=("speed", None))
     s = s.with_df(s.df.withColumn("ax_true", F.col("ax_cal") + F.sin("grade")))
-    # One class per road hash: the class column is what the rules need.
-    road = F.element_at(F.array(*map(F.lit, ("motorway", "primary", "residential", "service"))), (F.col("event_id") % 4 + 1).cast("int"))
-    return s.with_df(s.df.withColumns(T.harsh_events(road)))
+    near = T.nearest_road(t.log, _roads(t), ["event_id"]).groupBy("event_id").agg(F.min("road_type").alias("road_type"))
+    s = s.with_df(s.df.join(near, "event_id", "left"))
+    return s.with_df(s.df.withColumns(T.harsh_events(F.coalesce("road_type", F.lit("unknown")))))
 
 
-_EVENTS = f"""{_SEG}, {_LEVEL.format(src='seg')},
+_EVENTS = f"""{_NEAR}, cls AS (SELECT event_id, coalesce(min(fclass), 'unknown') AS road FROM v_log LEFT JOIN near USING (lon, lat)
+    LEFT JOIN pd ON pd.lon = v_log.lon AND pd.lat = v_log.lat AND abs(pd.d - near.d) < 1e-12 GROUP BY event_id),
+    {_SEG}, {_LEVEL.format(src='seg')},
     {_GRADE.replace('FROM seg', 'FROM lev')}, {_HEAD.format(src='grade')}, {_YAW},
     ev AS (SELECT *, ax_true < -0.35 AS braking, ax_true > 0.25 AND dv > 0 AS accel,
-      abs(ay_cal) > (CASE WHEN event_id % 4 IN (0, 1) AND yaw < 5 THEN 0.25 ELSE 0.45 END) AND speed > 20 AS cornering FROM (
+      abs(ay_cal) > (CASE WHEN road IN ('motorway', 'primary') AND yaw < 5 THEN 0.25 ELSE 0.45 END) AND speed > 20 AS cornering FROM (
       SELECT *, ax_cal + sin(grade) AS ax_true,
-      speed - coalesce(lag(speed) OVER (PARTITION BY vehicle, trip, segment ORDER BY ts, event_id), speed) AS dv FROM yaw) q)"""
+      speed - coalesce(lag(speed) OVER (PARTITION BY vehicle, trip, segment ORDER BY ts, event_id), speed) AS dv FROM yaw LEFT JOIN cls USING (event_id)) q)"""
 
 
 @query(
-    "p21_harsh_events_road_aware", views=["v_trips"],
+    "p21_harsh_events_road_aware", views=["v_trips", "v_log"],
     sql=f"WITH {_EVENTS} SELECT event_id, braking, accel, cornering FROM ev",
 )
 def _(t: Tables):
@@ -252,7 +256,7 @@ def _(t: Tables):
 
 
 @query(
-    "p14_event_label", views=["v_trips"],
+    "p14_event_label", views=["v_trips", "v_log"],
     sql=f"""WITH {_EVENTS} SELECT event_id, CASE WHEN braking THEN 'Harsh Braking' WHEN accel THEN 'Harsh Accel'
         WHEN cornering THEN 'Harsh Cornering' ELSE 'Normal' END AS label FROM ev""",
 )
@@ -262,7 +266,7 @@ def _(t: Tables):
 
 
 @query(
-    "a17_events_per_100km", views=["v_trips"],
+    "a17_events_per_100km", views=["v_trips", "v_log"],
     sql=f"""WITH {_EVENTS} SELECT vehicle, {", ".join(
         f"round(CASE WHEN sum(dist) > 0 THEN count(*) FILTER ({c}) / (sum(dist) / 1000.0) * 100 ELSE 0.0 END, 4) AS {c}_rate"
         for c in ("braking", "accel", "cornering"))} FROM ev GROUP BY vehicle""",
@@ -273,7 +277,7 @@ def _(t: Tables):
 
 
 @query(
-    "w22_driver_score", views=["v_trips"], recursive=True,
+    "w22_driver_score", views=["v_trips", "v_log"], recursive=True,
     sql=f"""WITH {_EVENTS},
     o AS MATERIALIZED (SELECT vehicle, event_id, dist, 5 * braking::INT + 3 * accel::INT + 5 * cornering::INT AS hit,
         row_number() OVER (PARTITION BY vehicle ORDER BY ts, event_id) AS rn FROM ev),

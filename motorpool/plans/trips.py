@@ -188,33 +188,54 @@ def events_per_100km(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*[rate(c).alias(f"{c}_rate") for c in PENALTIES])
 
 
-def nearest_road(points: DataFrame, roads: DataFrame, id_cols: list[str], cell: float = 0.01) -> DataFrame:
-    """Nearest road of each point within ``cell`` degrees, ``unknown`` beyond; ties keep all roads.
+def nearest_road(points: DataFrame, roads: DataFrame, id_cols: list[str], cell: float = 0.01, margin: float = 0.01) -> DataFrame:
+    """Nearest road of each point at any distance; ties keep all roads, without any road the type is ``unknown``.
 
-    ``roads(road_id, fclass, seq, lon, lat)``. Each segment is entered into all grid cells
-    within ``cell`` of its bounding box, so a point needs only its own cell: one equi-join,
-    no pairwise search. Points that share position are matched once.
+    ``roads(road_id, fclass, seq, lon, lat)``; roads whose box lies outside the box of all points widened by
+    ``margin`` take no part. Segments are entered into all grid cells within ``cell`` of their box, so a point needs
+    only its own cell: one equi-join, no pairwise search. Points that no segment is near enough to are tried again
+    with cells four times as wide, until all have a road. Points that share a position are matched once.
     """
-    seg = Series(roads, ["road_id"], ["seq"]).running(
-        _next=following(F.struct("lon", "lat"))
-    ).result().filter(F.col("_next").isNotNull())
+    box = points.agg(*[f(c).alias(f"{n}_{c}") for c in ("lon", "lat") for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    if box.lo_lon is None:
+        near = roads.limit(0)
+    else:
+        inside = roads.groupBy("road_id").agg(
+            *[f(c).alias(f"{n}_{c}") for c in ("lon", "lat") for n, f in (("lo", F.min), ("hi", F.max))]
+        ).filter(
+            (F.col("hi_lon") >= box.lo_lon - margin) & (F.col("lo_lon") <= box.hi_lon + margin)
+            & (F.col("hi_lat") >= box.lo_lat - margin) & (F.col("lo_lat") <= box.hi_lat + margin)
+        )
+        near = roads.join(inside.select("road_id"), "road_id", "left_semi")
+    seg = cut(
+        Series(near, ["road_id"], ["seq"]).running(_next=following(F.struct("lon", "lat"))).result().filter(F.col("_next").isNotNull())
+        .select("road_id", "fclass", F.col("lon").alias("x1"), F.col("lat").alias("y1"), F.col("_next.lon").alias("x2"), F.col("_next.lat").alias("y2"))
+    )
+    left = points.select("lon", "lat").where("lon is not null and lat is not null").distinct()
+    won, some = None, bool(seg.head(1))
+    while some:
+        found = cut(_within(left, seg, cell))
+        won = found if won is None else won.unionByName(found)
+        left = cut(left.join(found.select("lon", "lat").distinct(), ["lon", "lat"], "left_anti"))
+        some, cell = bool(left.head(1)), 4 * cell
+    if won is None:
+        won = seg.select(F.col("x1").alias("lon"), F.col("y1").alias("lat"), F.lit(0.0).alias("d"), "road_id", "fclass").limit(0)
+    out = points.select(*id_cols, "lon", "lat").join(won, ["lon", "lat"], "left")
+    return out.select(*id_cols, "road_id", F.coalesce("fclass", F.lit("unknown")).alias("road_type"), F.col("d").alias("road_dist"))
+
+
+def _within(spots: DataFrame, seg: DataFrame, cell: float) -> DataFrame:
+    """Nearest roads of the spots that have one within ``cell``; a segment lies in every cell within ``cell`` of its box."""
     lo = lambda a, b: F.floor((F.least(a, b) - cell) / cell)
     hi = lambda a, b: F.floor((F.greatest(a, b) + cell) / cell)
-    nx, ny = F.col("_next.lon"), F.col("_next.lat")
-    cells = (
-        seg.select("road_id", "fclass", F.col("lon").alias("x1"), F.col("lat").alias("y1"), nx.alias("x2"), ny.alias("y2"))
-        .withColumn("cx", F.explode(F.sequence(lo(F.col("x1"), F.col("x2")), hi(F.col("x1"), F.col("x2")))))
-        .withColumn("cy", F.explode(F.sequence(lo(F.col("y1"), F.col("y2")), hi(F.col("y1"), F.col("y2")))))
-    )
-    spots = points.select("lon", "lat").distinct().withColumns(
-        {"cx": F.floor(F.col("lon") / cell), "cy": F.floor(F.col("lat") / cell)}
+    cells = seg.withColumn("cx", F.explode(F.sequence(lo(F.col("x1"), F.col("x2")), hi(F.col("x1"), F.col("x2"))))).withColumn(
+        "cy", F.explode(F.sequence(lo(F.col("y1"), F.col("y2")), hi(F.col("y1"), F.col("y2"))))
     )
+    placed = spots.withColumns({"cx": F.floor(F.col("lon") / cell), "cy": F.floor(F.col("lat") / cell)})
     d = geo.segment_distance(*[F.col(c) for c in ("lon", "lat", "x1", "y1", "x2", "y2")])
     per_road = (
-        spots.join(cells, ["cx", "cy"]).withColumn("d", d).filter(F.col("d") <= cell)
+        placed.join(cells, ["cx", "cy"]).withColumn("d", d).filter(F.col("d") <= cell)
         .groupBy("lon", "lat", "road_id", "fclass").agg(F.min("d").alias("d"))
     )
     best = per_road.groupBy("lon", "lat").agg(F.min("d").alias("d"))
-    won = per_road.join(best, ["lon", "lat", "d"])
-    out = points.select(*id_cols, "lon", "lat").join(won, ["lon", "lat"], "left")
-    return out.select(*id_cols, "road_id", F.coalesce("fclass", F.lit("unknown")).alias("road_type"), F.col("d").alias("road_dist"))
+    return per_road.join(best, ["lon", "lat", "d"]).select("lon", "lat", "d", "road_id", "fclass")

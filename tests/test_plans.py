@@ -182,7 +182,14 @@ def test_nearest_road_is_brute_force(spark):
 
     for i, lon, lat in pts:
         best = min((dist(lon, lat, *roads[3 * r + s][3:], *roads[3 * r + s + 1][3:]), r) for r in range(12) for s in range(2))
-        assert got[i] == ((best[1], f"c{best[1] % 3}") if best[0] <= 0.01 else (None, "unknown"))
+        assert got[i] == (best[1], f"c{best[1] % 3}")
+
+
+def test_far_points_have_a_road_too(spark):
+    p = spark.createDataFrame([(1, 77.0, 28.0), (2, 77.05, 28.0), (3, 79.5, 28.0), (4, None, 28.0)], "id long, lon double, lat double")
+    rd = spark.createDataFrame([(7, "a", 0, 77.0, 28.0), (7, "a", 1, 77.0, 28.001), (8, "b", 0, 95.0, 28.0), (8, "b", 1, 95.0, 28.1)], "road_id long, fclass string, seq int, lon double, lat double")
+    assert {r.id: r.road_id for r in T.nearest_road(p, rd, ["id"]).collect()} == {1: 7, 2: 7, 3: 7, 4: None}
+    assert {r.road_type for r in T.nearest_road(p, rd.limit(0), ["id"]).collect()} == {"unknown"}
 
 
 @pytest.mark.parametrize("target", [60])
