@@ -107,6 +107,16 @@ def _(t: Tables):
     return files.newer_than(raw, "ts", mark, 500, ("event_id",)).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+@query(
+    "s6_incremental_capped_reads",
+    sql="SELECT event_id, CAST(ts AS DATE) AS day FROM events WHERE ts >= TIMESTAMP '2024-01-11 00:00:00'",
+)
+def _(t: Tables):
+    """Whole days as the time column, so that every cap cuts through rows of one time."""
+    days = t.events.select("event_id", F.to_date("ts").alias("day"))
+    return files.read_capped(days, "day", ("event_id",), F.lit("2024-01-10").cast("date"), 5_000, scratch_path(t.spark, "s6"))
+
+
 @query(
     "s6_incremental_read_per_vehicle",
     sql="""WITH m AS (SELECT user_id, max(ts) AS t, max_by(event_id, (ts, event_id)) AS h FROM events WHERE ts < TIMESTAMP '2024-01-12' GROUP BY user_id)
@@ -231,9 +241,16 @@ def _(t: Tables):
     return files.explode_metrics(per.select(doc.alias("value"))).select("stream", "total_rows", "backlog")
 
 
-@query("s13_recent_files", sql="SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+@query("s13_recent_files", sql="SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('purchase', 'signup', 'view') GROUP BY event_type")
 def _(t: Tables):
-    return files.recent_files(t.table("events"), 3).groupBy("event_type").agg(F.count("*").alias("n"))
+    """One file per event type, written in order of name; the three newest are read."""
+    path = scratch_path(t.spark, "s13")
+    kinds = [r.event_type for r in t.events.select("event_type").distinct().orderBy("event_type").collect()]
+    for i, kind in enumerate(kinds):
+        t.events.filter(F.col("event_type") == kind).coalesce(1).write.parquet(f"{path}/{kind}")
+        files.set_modified(t.spark, f"{path}/{kind}/*.parquet", 1_700_000_000_000 + 1000 * i)
+    every = t.spark.read.option("recursiveFileLookup", "true").parquet(path)
+    return files.recent_files(every, 3).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 @query("s14_export_csv", sql="SELECT event_type, count(*)::VARCHAR AS n FROM events GROUP BY event_type")
@@ -249,12 +266,17 @@ def _(t: Tables):
 @query(
     "c1_contract_schema", views=["v_env"],
     sql="""SELECT event_id, vehicle, CASE WHEN b IN (1, 6) THEN NULL ELSE cents::DOUBLE END AS cents, CASE WHEN b = 2 THEN NULL ELSE k::DOUBLE END AS k
-        FROM v_env WHERE b <> 8 AND module = 'engine'""",
+        FROM v_env WHERE b NOT IN (5, 8)""",
 )
 def _(t: Tables):
-    p = F.from_json("raw", CONTRACT.envelope_schema("engine"))
-    rows = t.envelopes.filter(F.try_parse_json("raw").isNotNull() & (F.col("module") == "engine")).select("event_id", p.alias("p"))
-    return rows.select("event_id", F.col("p.metadata.vehicle_id").alias("vehicle"), "p.data.cents", "p.data.k")
+    """Every module's rows under its own schema; rows of unknown modules have none."""
+    out = None
+    for module in MODULE_OF.values():
+        p = F.from_json("raw", CONTRACT.envelope_schema(module))
+        rows = t.envelopes.filter(F.try_parse_json("raw").isNotNull() & (F.col("module") == module)).select("event_id", p.alias("p"))
+        rows = rows.select("event_id", F.col("p.metadata.vehicle_id").alias("vehicle"), "p.data.cents", "p.data.k")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query(
@@ -358,7 +380,7 @@ def _(t: Tables):
 DTC_ROWS = [
     (m, f"P{i}{j}", "critical" if j % 2 == 0 else "non_critical", [f"f{(i + j) % 10}", f"f{(i + 3 * j + 1) % 12}"], f"Check {m} {j}")
     for i, m in enumerate(MODULE_OF.values()) for j in range(4)
-]
+] + [("tyre", "P00", "non_critical", ["f1", "f2"], "Check the code two modules share")]
 
 
 def dtc_catalog(t: Tables):
@@ -395,14 +417,14 @@ def _(t: Tables):
 
 @query(
     "c9_sensor_policy", views=["v_silver"],
-    sql="""SELECT source_id, CASE WHEN len(m) > 3 THEN 'abort' WHEN len(m) > 0 THEN 'mask' ELSE 'ok' END AS action, len(m) AS n_missing FROM (
-        SELECT source_id, list_filter(['f0', 'f1', 'f2', 'f3', 'f4', 'f5', 'f6', 'f7', 'f8', 'f9'], lambda x: NOT list_contains(list('f' || (k % 10)), x)) AS m
-        FROM v_silver WHERE module = 'engine' GROUP BY source_id)""",
+    sql="""SELECT source_id, module, CASE WHEN len(m) > 3 THEN 'abort' WHEN len(m) > 0 THEN 'mask' ELSE 'ok' END AS action, len(m) AS n_missing FROM (
+        SELECT source_id, module, list_filter(['f0', 'f1', 'f2', 'f3', 'f4', 'f5', 'f6', 'f7', 'f8', 'f9'], lambda x: NOT list_contains(list('f' || (k % 10)), x)) AS m
+        FROM v_silver GROUP BY source_id, module)""",
 )
 def _(t: Tables):
-    seen = t.silver.filter("module = 'engine'").groupBy("source_id").agg(F.collect_set(F.concat(F.lit("f"), F.col("k") % 10)).alias("cols"))
+    seen = t.silver.groupBy("source_id", "module").agg(F.collect_set(F.concat(F.lit("f"), F.col("k") % 10)).alias("cols"))
     action, missing = V.sensor_policy(F.array(*[F.lit(f"f{i}") for i in range(10)]), F.col("cols"))
-    return seen.select("source_id", action.alias("action"), F.size(missing).alias("n_missing"))
+    return seen.select("source_id", "module", action.alias("action"), F.size(missing).alias("n_missing"))
 
 
 @query(
@@ -452,11 +474,15 @@ def _(t: Tables):
 @query(
     "p1_flatten_envelope", views=["v_env"],
     sql="""SELECT row_hash, vehicle AS source_id, stamp AS timestamp, CASE WHEN b IN (1, 6) THEN NULL ELSE cents::DOUBLE END AS cents,
-        CASE WHEN b = 2 THEN NULL ELSE k::DOUBLE END AS k FROM v_env WHERE b <> 8 AND module = 'tyre'""",
+        CASE WHEN b = 2 THEN NULL ELSE k::DOUBLE END AS k FROM v_env WHERE b NOT IN (5, 8)""",
 )
 def _(t: Tables):
-    rows, _bad = B.split_unreadable(B.flatten(t.envelopes.filter("module = 'tyre'"), CONTRACT, "tyre", value="raw"))
-    return rows.select("row_hash", "source_id", "timestamp", "cents", "k")
+    out = None
+    for module in MODULE_OF.values():
+        rows, _bad = B.split_unreadable(B.flatten(t.envelopes.filter(F.col("module") == module), CONTRACT, module, value="raw"))
+        rows = rows.select("row_hash", "source_id", "timestamp", "cents", "k")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query(
@@ -490,12 +516,17 @@ def _(t: Tables):
 @query(
     "u1_union_modules",
     sql="""SELECT event_id AS id, 'engine' AS module, value AS rpm, NULL::BIGINT AS volts FROM events WHERE event_type = 'click'
-        UNION ALL SELECT event_id, 'battery', NULL, user_id FROM events WHERE event_type = 'purchase'""",
+        UNION ALL SELECT event_id, 'battery', NULL, user_id FROM events WHERE event_type = 'purchase'
+        UNION ALL SELECT event_id, CASE event_type WHEN 'view' THEN 'transmission' WHEN 'signup' THEN 'body' ELSE 'tyre' END, NULL, NULL
+        FROM events WHERE event_type IN ('view', 'signup', 'error')""",
 )
 def _(t: Tables):
     eng = t.events.filter("event_type = 'click'").select(F.col("event_id").alias("id"), F.lit("engine").alias("module"), F.col("value").alias("rpm"))
     bat = t.events.filter("event_type = 'purchase'").select(F.col("event_id").alias("id"), F.lit("battery").alias("module"), F.col("user_id").alias("volts"))
-    return files.union_merged(eng, bat)
+    rest = [
+        t.events.filter(F.col("event_type") == e).select(F.col("event_id").alias("id"), F.lit(m).alias("module")) for e, m in MODULE_OF.items() if m not in ("engine", "battery")
+    ]
+    return files.union_merged(eng, bat, *rest)
 
 
 @query(

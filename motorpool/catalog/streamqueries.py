@@ -34,6 +34,35 @@ def _(t: Tables):
     return drain(DD.dedup(env, within=None).select("row_hash"), "x1u")
 
 
+@query("x1_late_first_occurrences", views=["v_env"], sql="SELECT DISTINCT row_hash FROM v_env")
+def _(t: Tables):
+    """Three micro-batches, the oldest rows in the last one: late keys come out all the same."""
+    base = scratch_path(t.spark, "x1late")
+    env = t.envelopes.select("row_hash", "ts")
+    third = F.floor(F.dayofmonth("ts") / 11)
+    for part in (2, 1, 0):
+        env.filter(third == part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    src = file_source(t.spark, f"{base}/in", env.schema, max_files=1)
+    DD.dedup_sink(src, f"{base}/out", f"{base}/state", ts="ts").awaitTermination()
+    return t.spark.read.schema(env.schema).parquet(f"{base}/out/v*").select("row_hash")
+
+
+@query(
+    "x2_ttl_return",
+    sql="SELECT event_id * 4 + c AS copy, c IN (0, 2) AS accepted FROM events, (VALUES (0), (1), (2), (3)) AS v(c)",
+)
+def _(t: Tables):
+    """Every event again after 20, 70 and 100 minutes: the hour makes the second one a repeat, the third is new, the fourth repeats it."""
+    copies = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.lit(m).alias("m")) for c, m in enumerate((0, 20, 70, 100))]))
+    rows = t.events.select("event_id", "ts", copies.alias("x")).select(
+        F.concat(F.lit("h"), "event_id").alias("row_hash"), (F.col("event_id") * 4 + F.col("x.c")).alias("copy"),
+        F.timestamp_seconds(F.unix_timestamp("ts") + F.col("x.m") * 60).alias("ts"),
+    )
+    base = scratch_path(t.spark, "x2ttl")
+    rows.write.parquet(f"{base}/in")
+    return drain(DD.outcomes(file_source(t.spark, f"{base}/in", rows.schema), "row_hash", "ts", "copy", 3600), "x2").select("copy", "accepted")
+
+
 @query(
     "x2_ttl_idempotency", views=["v_env"],
     sql="SELECT row_hash, count(*) AS seen, 1::BIGINT AS accepted, count(*) - 1 AS duplicates FROM v_env GROUP BY row_hash",
@@ -125,7 +154,7 @@ def _(t: Tables):
     return t.spark.read.parquet(f"{base}/out").groupBy("part").agg(F.count("*").alias("n"))
 
 
-@query("x9_progress_metrics", sql="SELECT 'RUNNING' AS state, count(*) AS total_rows, 0::BIGINT AS backlog FROM events")
+@query("x9_progress_metrics", sql="SELECT 'STOPPED' AS state, count(*) AS total_rows, 0::BIGINT AS backlog FROM events")
 def _(t: Tables):
     listener = R.ProgressMetrics()
     base = scratch_path(t.spark, "x9")
@@ -134,12 +163,11 @@ def _(t: Tables):
     try:
         q = append_sink(stream_of(t, "events").select("event_id"), f"{base}/out", f"{base}/state", name, trigger={"availableNow": True})
         q.awaitTermination()
-        _await(lambda: listener.streams.get(name, {}).get("total_rows"))
+        _await(lambda: listener.streams.get(name, {}).get("total_rows") and listener.streams[name]["status"] == "STOPPED")
     finally:
         t.spark.streams.removeListener(listener)
-    listener.streams[name]["status"] = "RUNNING"
     doc = t.spark.createDataFrame([(listener.document(),)], "value string")
-    return explode_metrics(doc).select(F.col("status").alias("state"), "total_rows", F.coalesce("backlog", F.lit(0)).alias("backlog"))
+    return explode_metrics(doc).select(F.col("status").alias("state"), "total_rows", "backlog")
 
 
 def _await(ready, seconds: float = 20.0):
@@ -166,6 +194,23 @@ def _(t: Tables):
     return kept.select("source_id", "gold_window_ts", "vehicle_health_score")
 
 
+@query(
+    "x11_upsert_after_reset",
+    sql="SELECT user_id, max(event_id) AS event_id, 'second' AS run FROM events WHERE event_id % 2 = 1 GROUP BY user_id UNION ALL "
+        "SELECT user_id, max(event_id), 'first' FROM events WHERE event_id % 2 = 0 AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 2 = 1) GROUP BY user_id",
+)
+def _(t: Tables):
+    """A second run after the checkpoint was set aside starts at batch 0 again; its updates win, the others stay."""
+    base = scratch_path(t.spark, "x11")
+    table = UpsertTable(t.spark, f"{base}/table", ["user_id"])
+    for rest, run in ((0, "first"), (1, "second")):
+        rows = t.events.filter(F.col("event_id") % 2 == rest).select("user_id", "event_id", F.lit(run).alias("run"))
+        rows.write.parquet(f"{base}/in-{run}")
+        R.upsert_sink(file_source(t.spark, f"{base}/in-{run}", rows.schema), table, f"{base}/state", order="event_id").awaitTermination()
+        R.archive_checkpoint(t.spark, f"{base}/state")
+    return table.read()
+
+
 @query("x12_query_per_module", views=["v_silver"], sql="SELECT module, count(*) AS n FROM v_silver GROUP BY module")
 def _(t: Tables):
     base = scratch_path(t.spark, "x12")
@@ -175,8 +220,10 @@ def _(t: Tables):
         rows = silver_view(stream_of(t, "events")).filter(F.col("module") == module).select("event_id", "module")
         return append_sink(rows, f"{base}/{module}", f"{base}/state/{module}", f"x12-{module}-{base[-6:]}", trigger={"availableNow": True})
 
-    running = R.per_module(list(MODULE_OF.values()), start)
+    running, failed = R.per_module(list(MODULE_OF.values()), start)
     R.in_pool(t.spark, None)
+    if failed:
+        raise RuntimeError(f"modules that did not start: {failed}")
     for q in running.values():
         q.awaitTermination()
     out = None

@@ -17,6 +17,7 @@ def build_session(app: str = "motorpool", master: str | None = None, **conf: str
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.scheduler.mode": "FAIR",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -34,12 +34,6 @@ def resume_rows(rows: DataFrame, checkpoints: DataFrame, key: str = "source_file
     return joined.filter(F.col("row_index") > F.coalesce("last_row_index", F.lit(-1))).drop("last_row_index")
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """Paths below ``root``; file contents are pruned, so nothing is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    return files.load(root).select("path")
-
-
 def discover_sources(listing: DataFrame, patterns: dict[str, str], enabled: Iterable[str] | None = None) -> DataFrame:
     """One row per expected (vehicle, module): its path when exactly one file matches, else an error.
 
@@ -76,10 +70,36 @@ def discover_sources(listing: DataFrame, patterns: dict[str, str], enabled: Iter
     return out
 
 
-def newer_than(df: DataFrame, column: str, last, limit: int | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
-    """Incremental read; the comparison with a literal reaches the Parquet scan."""
-    fresh = df.filter(F.col(column) > F.lit(last))
-    return fresh if limit is None else fresh.orderBy(column, *ties).limit(limit)
+def newer_than(df: DataFrame, column: str, last, limit: int | None = None, ties: tuple[str, ...] = (), last_ties: tuple = ()) -> DataFrame:
+    """Incremental read; the comparison with a literal reaches the Parquet scan.
+
+    ``last_ties`` are the values of ``ties`` in the last row read so far. With them the mark is the whole order, so
+    rows of the same time after that row are still to come; without them all rows of that time count as read.
+    """
+    mark = F.lit(last)
+    fresh = F.col(column) > mark
+    if last_ties:
+        seen = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(ties, last_ties, strict=True)])
+        df = df.filter(F.col(column) >= mark)
+        fresh = fresh | ((F.col(column) == mark) & (F.struct(*ties) > seen))
+    rows = df.filter(fresh)
+    return rows if limit is None else rows.orderBy(column, *ties).limit(limit)
+
+
+def read_capped(df: DataFrame, column: str, ties: tuple[str, ...], last, limit: int, path: str) -> DataFrame:
+    """Capped reads one after another, each from the mark the one before left, until nothing is newer.
+
+    Every read is one folder below ``path``; the driver only sees the last row of each. ``column`` and ``ties``
+    together must order the rows uniquely and hold no NULL.
+    """
+    spark, rest, part = df.sparkSession, (), 0
+    while True:
+        at = f"{path}/part={part}"
+        newer_than(df, column, last, limit, ties, rest).write.mode("overwrite").parquet(at)
+        end = spark.read.schema(df.schema).parquet(at).agg(F.count("*").alias("n"), F.max(F.struct(column, *ties)).alias("end")).first()
+        if not end.n:
+            return spark.read.schema(df.schema).parquet(*[f"{path}/part={i}" for i in range(part + 1)])
+        last, rest, part = end.end[column], tuple(end.end[c] for c in ties), part + 1
 
 
 def newer_per_key(df: DataFrame, marks: DataFrame, keys: list[str], column: str, tie: str, cap: int | None = None) -> DataFrame:
@@ -169,6 +189,14 @@ def explode_metrics(lines: DataFrame, line: str = "value") -> DataFrame:
     return parsed.select(F.explode("m.streams").alias("stream", "s")).select("stream", "s.*")
 
 
+def set_modified(spark: SparkSession, glob: str, at_ms: int) -> None:
+    """Stamp files with a modification time, as a copy that keeps times would."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.globStatus(pattern) or []:
+        fs.setTimes(f.getPath(), at_ms, -1)
+
+
 def recent_files(df: DataFrame, newest: int) -> DataFrame:
     """Rows of the ``newest`` most recently modified files (name breaks ties)."""
     meta = df.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_modification_time").alias("_m"))

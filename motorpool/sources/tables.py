@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,21 +33,45 @@ def upsert_split(target: DataFrame, updates: DataFrame, keys: list[str]) -> Data
     return t.join(u, keys, "full_outer").select(*keys, action.alias("action"))
 
 
+#: Versions of one streaming run: batch ids start at 0 again after a checkpoint reset, run numbers do not.
+RUN = 1_000_000_000
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed versions ``v<number>`` below a folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = fs.globStatus(root.suffix("/v*/_SUCCESS")) or []
+    return sorted(int(f.getPath().getParent().getName()[1:]) for f in done)
+
+
+def run_number(spark: SparkSession, checkpoint: str, path: str) -> int:
+    """Number of the run that owns a checkpoint, noted in its folder; a fresh checkpoint comes after all versions."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(checkpoint)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    noted = fs.globStatus(root.suffix("/run-*")) or []
+    if noted:
+        return max(int(f.getPath().getName()[4:]) for f in noted)
+    known = versions(spark, path)
+    number = known[-1] // RUN + 1 if known else 0
+    fs.mkdirs(root)
+    fs.create(root.suffix(f"/run-{number}")).close()
+    return number
+
+
 class UpsertTable:
     """Versioned Parquet folder: an upsert writes the next version beside the current one.
 
     The current version is the highest one whose job committed, so a job that dies half way
-    changes nothing, and a micro-batch that is replayed rewrites only its own version.
+    changes nothing, and a micro-batch that is replayed rewrites only its own version. The
+    ``keep`` newest versions stay for readers that are still at one, older ones are removed.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], keep: int = 5):
+        self.spark, self.path, self.keys, self.keep = spark, path.rstrip("/"), keys, keep
 
     def versions(self) -> list[int]:
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        done = fs.globStatus(root.suffix("/v*/_SUCCESS")) or []
-        return sorted(int(f.getPath().getParent().getName()[1:]) for f in done)
+        return versions(self.spark, self.path)
 
     def read(self, before: int | None = None) -> DataFrame | None:
         known = [v for v in self.versions() if before is None or v < before]
@@ -57,12 +83,29 @@ class UpsertTable:
         current = self.read(before=version)
         merged = updates if current is None else upsert(current, updates, self.keys)
         merged.write.mode("overwrite").parquet(f"{self.path}/v{version}")
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for old in [v for v in self.versions() if v <= version][: -self.keep]:
+            fs.delete(root.suffix(f"/v{old}"), True)
+
+
+class MergeTable:
+    """The same for a catalog table whose format supports row-level updates."""
+
+    def __init__(self, spark: SparkSession, name: str, keys: list[str]):
+        self.spark, self.path, self.keys = spark, name, keys
+
+    def upsert(self, updates: DataFrame, version: int | None = None) -> None:
+        merge_into(self.spark, self.path, updates, self.keys)
 
 
 def merge_into(spark: SparkSession, table: str, updates: DataFrame, keys: list[str]) -> None:
     """MERGE for catalogs whose table format supports row-level updates."""
-    updates.createOrReplaceTempView("_updates")
+    view = f"_updates_{uuid.uuid4().hex}"
+    updates.createOrReplaceTempView(view)
     on = " AND ".join(f"t.{k} = u.{k}" for k in keys)
-    updates.sparkSession.sql(
-        f"MERGE INTO {table} t USING _updates u ON {on} WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    session = updates.sparkSession
+    session.sql(
+        f"MERGE INTO {table} t USING {view} u ON {on} WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
     )
+    session.catalog.dropTempView(view)

@@ -5,15 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from motorpool.sources.tables import RUN, latest_per_key, run_number, unseen, versions
+
 
 def dedup(df: DataFrame, key: str = "row_hash", ts: str = "ingest_ts", within: str | None = "1 hour") -> DataFrame:
-    """First row per key. State is dropped ``within`` after the watermark passes the row;
-    ``within=None`` keeps every key for ever."""
+    """First row per key. State is dropped ``within`` after the watermark passes the row, and rows later than
+    that are dropped with it; `dedup_sink` keeps them. ``within=None`` keeps every key for ever."""
     if within is None:
         return df.dropDuplicates([key])
     return df.withWatermark(ts, within).dropDuplicatesWithinWatermark([key])
 
 
+def dedup_sink(df: DataFrame, path: str, checkpoint: str, key: str = "row_hash", ts: str = "ingest_ts", trigger: dict | None = None):
+    """Append the first row of every key, however late it comes.
+
+    Each micro-batch keeps its earliest row per key and joins the keys written before; it is written under the number
+    of run and batch, so a replay rewrites itself. Nothing is forgotten, as no watermark is involved.
+    """
+    spark, schema = df.sparkSession, df.schema
+    run = run_number(spark, checkpoint, path)
+
+    def write(batch: DataFrame, batch_id: int):
+        version = run * RUN + batch_id
+        first = latest_per_key(batch, [key], [F.col(ts).asc()])
+        known = [f"{path}/v{v}" for v in versions(spark, path) if v < version]
+        fresh = unseen(first, spark.read.schema(schema).parquet(*known), [key]) if known else first
+        fresh.write.mode("overwrite").parquet(f"{path}/v{version}")
+
+    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def outcomes(df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int = 3600) -> DataFrame:
     """Every row with ``accepted`` true or false; a key is fresh again ``ttl_seconds`` after it was accepted.
 
@@ -55,10 +76,3 @@ def tolerant(df: DataFrame, schema: str, value: str = "value") -> tuple[DataFram
     parsed = df.withColumn("_p", F.from_json(value, f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
     bad = F.col("_p").isNull() | F.col("_p._corrupt").isNotNull()
     return parsed.filter(~bad).withColumn("_p", F.col("_p").dropFields("_corrupt")), parsed.filter(bad).drop("_p")
-
-
-def late_policy(df: DataFrame, ts: str, delay: str, policy: str = "restate") -> DataFrame:
-    """``drop`` lets the watermark discard late rows; ``restate`` lets them through, and readers keep the last write."""
-    if policy not in ("drop", "restate"):
-        raise ValueError(policy)
-    return df.withWatermark(ts, delay) if policy == "drop" else df

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from motorpool.sources.tables import UpsertTable, latest_per_key
+from motorpool.sources.tables import RUN, MergeTable, UpsertTable, latest_per_key, run_number
 
 
 class ProgressMetrics(StreamingQueryListener):
@@ -55,35 +55,40 @@ class ProgressMetrics(StreamingQueryListener):
         return json.dumps({"streams": self.streams})
 
 
-def per_module(modules: list[str], start: Callable[[str], object]) -> dict[str, object]:
-    """One isolated query per module: a failing start of one does not stop the others."""
-    running = {}
+def per_module(modules: list[str], start: Callable[[str], object]) -> tuple[dict[str, object], dict[str, Exception]]:
+    """One isolated query per module: (running queries, failures); a failing start of one does not stop the others."""
+    running, failed = {}, {}
     for m in modules:
         try:
             running[m] = start(m)
         except Exception as e:  # noqa: BLE001
-            running[m] = e
-    return running
+            failed[m] = e
+    return running, failed
 
 
 def in_pool(spark: SparkSession, pool: str) -> None:
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
 
 
-def upsert_sink(df: DataFrame, table: UpsertTable, checkpoint: str, order: str = "seq", trigger: dict | None = None):
-    """Collapse each micro-batch to the last payload per key, then upsert; a replayed batch rewrites its own version."""
+def upsert_sink(df: DataFrame, table: UpsertTable | MergeTable, checkpoint: str, order: str = "seq", trigger: dict | None = None):
+    """Collapse each micro-batch to the last payload per key, then upsert; a replayed batch rewrites its own version.
+
+    A version is the number of the run and the batch, so a run after a checkpoint reset goes on above the old ones.
+    """
+    run = run_number(df.sparkSession, checkpoint, table.path) if isinstance(table, UpsertTable) else 0
 
     def write(batch: DataFrame, batch_id: int):
-        table.upsert(latest_per_key(batch, table.keys, [order]), version=batch_id)
+        table.upsert(latest_per_key(batch, table.keys, [order]), version=run * RUN + batch_id)
 
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def snapshot_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    """Complete-mode aggregates as versions ``v<batch>``; readers take the newest."""
+    """Complete-mode aggregates as versions of run and batch; readers take the newest."""
+    run = run_number(df.sparkSession, checkpoint, path)
 
     def write(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(f"{path}/v{batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/v{run * RUN + batch_id}")
 
     return (
         df.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
