@@ -544,19 +544,21 @@ def _(t: Tables):
 @query(
     "m8_code_triggers", views=["v_fault"], recursive=True,
     sql=f"""WITH {_FSM}, {_ATTR}, {_DTC} SELECT t.alert, t.code, CASE WHEN coalesce(d.severity, 'critical') = 'critical' THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
-        coalesce(d.message, 'Unknown Critical Error') AS message FROM (SELECT alert, code FROM att GROUP BY ALL HAVING max(risk) >= 0.99) t LEFT JOIN dtc d ON d.dtc_code = t.code""",
+        coalesce(d.message, 'Unknown Critical Error') AS message FROM (SELECT alert, code FROM att GROUP BY ALL HAVING max(risk) >= 0.99) t LEFT JOIN dtc d ON d.dtc_code = t.code AND d.module = 'engine'""",
 )
 def _(t: Tables):
-    return D.triggers(_attributed(t), dtc_catalog(t), "alert")
+    return D.triggers(_attributed(t), dtc_catalog(t), "alert", "engine")
 
 
 @query(
     "j1_code_messages",
-    sql=f"""WITH {_DTC}, c AS (SELECT event_id, 'P' || (event_id % 6) || (event_id % 5) AS code FROM events)
-        SELECT event_id, code, coalesce(message, 'Unknown Critical Error') AS message FROM c LEFT JOIN dtc ON dtc_code = code""",
+    sql=f"""WITH {_DTC}, c AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'tyre' ELSE 'engine' END AS module, 'P' || (event_id % 6) || (event_id % 5) AS code FROM events)
+        SELECT event_id, code, coalesce(message, CASE WHEN coalesce(severity, 'critical') = 'critical' THEN 'Unknown Critical Error' END) AS message
+        FROM c LEFT JOIN dtc ON dtc_code = code AND dtc.module = c.module""",
 )
 def _(t: Tables):
-    codes = t.events.select("event_id", F.concat(F.lit("P"), F.col("event_id") % 6, F.col("event_id") % 5).alias("code"))
+    module = F.when(F.col("event_id") % 3 == 0, "tyre").otherwise("engine")
+    codes = t.events.select("event_id", module.alias("module"), F.concat(F.lit("P"), F.col("event_id") % 6, F.col("event_id") % 5).alias("code"))
     return D.with_messages(codes, dtc_catalog(t)).select("event_id", "code", "message")
 
 

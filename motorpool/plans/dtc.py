@@ -54,17 +54,21 @@ def attribute(long: DataFrame, slice_key: str, pos: str = "pos") -> DataFrame:
     return df.withColumn("risk", F.least(F.col("_b") * scale, F.lit(1.0))).drop("_floor", "_e", "_b")
 
 
-def triggers(attributed: DataFrame, catalog: DataFrame, slice_key: str) -> DataFrame:
-    """Codes whose risk reaches the trigger, with severity and message (defaults per severity)."""
+def triggers(attributed: DataFrame, catalog: DataFrame, slice_key: str, module: str) -> DataFrame:
+    """Codes of a module whose risk reaches the trigger, with severity and message (defaults per severity)."""
     top = attributed.groupBy(slice_key, "code").agg(F.max("risk").alias("risk")).filter(F.col("risk") >= TRIGGER_RISK)
+    top = top.withColumn("module", F.lit(module))
     return with_messages(top, catalog).select(slice_key, "code", "severity", "message")
 
 
 def with_messages(codes: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Equi lookup in the fault catalogue, which is a fixed contract of a few dozen rows."""
-    cat = F.broadcast(catalog.select(F.col("dtc_code").alias("code"), F.col("severity").alias("_s"), F.col("message").alias("_t")))
+    """Equi lookup by (module, code) in the fault catalogue, which is a fixed contract of a few dozen rows.
+
+    A code may stand in several modules with different texts.
+    """
+    cat = F.broadcast(catalog.select("module", F.col("dtc_code").alias("code"), F.col("severity").alias("_s"), F.col("message").alias("_t")))
     pick = lambda table: F.element_at(F.create_map(*[F.lit(v) for kv in table.items() for v in kv]), F.coalesce("_s", F.lit("critical")))
-    return codes.join(cat, "code", "left").withColumns(
+    return codes.join(cat, ["module", "code"], "left").withColumns(
         {"severity": pick(SEVERITY_TEXT), "message": F.coalesce("_t", pick(DEFAULT_TEXT))}
     ).drop("_s", "_t")
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,14 +53,14 @@ def fit_scaler(df: DataFrame, features: list[str]) -> Scaler:
     return Scaler(names, {f: row[f"m_{f}"] or 0.0 for f in names}, {f: row[f"s_{f}"] or 0.0 for f in names}, row["n"])
 
 
-# Training rows below this many per core are dealt out evenly before an iterative fit.
-_FEW_ROWS = 250_000
+# Training rows in a partition; a table of any size has at least so many partitions.
+_PART_ROWS, _PARTS = 250_000, 8
 
 
 def even_out(df: DataFrame, rows: int) -> DataFrame:
-    """Small inputs often sit in one split; a large input is left in its own partitions."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if rows <= cores * _FEW_ROWS else df
+    """Rows dealt out by their values and sorted: a fit starts from the same partitions whatever the cores or files."""
+    parts = max(_PARTS, -(-rows // _PART_ROWS))
+    return df.repartition(parts, *df.columns).sortWithinPartitions(*df.columns)
 
 
 # -- reconstruction error -----------------------------------------------------------------
@@ -222,6 +223,10 @@ def score_silver(s: Series, model: ModuleModel, module: str, masked: tuple[str,
 # -- fault classifiers --------------------------------------------------------------------
 
 
+class Untrainable(ValueError):
+    """The rows of a code cannot teach a classifier."""
+
+
 def fit_code(df: DataFrame, code: str, features: list[str], target: str = "target", max_iter: int = 50) -> dict:
     """Soft-label classifier on min-max scaled features.
 
@@ -231,7 +236,11 @@ def fit_code(df: DataFrame, code: str, features: list[str], target: str = "targe
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    edge = df.agg(F.count("*").alias("n"), *[F.min(f).alias(f"lo_{f}") for f in features], *[F.max(f).alias(f"hi_{f}") for f in features]).first()
+    edge = df.agg(F.count("*").alias("n"), *[F.min(f).alias(f"lo_{f}") for f in features], *[F.max(f).alias(f"hi_{f}") for f in features], F.min(target).alias("_lo"), F.max(target).alias("_hi")).first()
+    if not edge["n"] or any(edge[f"lo_{f}"] is None for f in features):
+        raise Untrainable(f"{code}: no rows with values in every feature")
+    if edge["_lo"] is None or edge["_hi"] <= 0 or edge["_lo"] >= 1:
+        raise Untrainable(f"{code}: targets of one class")
     lo, hi = [float(edge[f"lo_{f}"]) for f in features], [float(edge[f"hi_{f}"]) for f in features]
     unit = even_out(df.select(target, *features), edge["n"]).select(
         F.col(target).alias("_y"), *[numeric.minmax_scale(F.col(f), F.lit(a), F.lit(b)).alias(f) for f, a, b in zip(features, lo, hi)]
@@ -244,13 +253,17 @@ def fit_code(df: DataFrame, code: str, features: list[str], target: str = "targe
 
 
 def fit_codes(data_for: Callable[[str, list[str]], DataFrame], catalog: list[dict]) -> tuple[list[dict], dict[str, str]]:
-    """All codes of a module; a code that cannot be trained is reported and skipped."""
+    """All codes of a module; one that lacks a feature, rows or one of the classes is reported and skipped.
+
+    Any other failure is raised: a lost executor does not make a code untrainable.
+    """
     models, failed = [], {}
     for entry in catalog:
+        code, features = entry["dtc_code"], entry["features"]
         try:
-            models.append(fit_code(data_for(entry["dtc_code"], entry["features"]), entry["dtc_code"], entry["features"]))
-        except Exception as e:  # noqa: BLE001
-            failed[entry["dtc_code"]] = str(e)
+            models.append(fit_code(data_for(code, features), code, features))
+        except (AnalysisException, Untrainable) as e:
+            failed[code] = str(e)
     return models, failed
 
 

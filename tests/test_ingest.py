@@ -127,5 +127,5 @@ def test_kafka_needs_its_connector(spark):
 
 def test_default_messages(spark):
     cat = spark.createDataFrame([("m", "P1", "non_critical", ["a"], None)], "module string, dtc_code string, severity string, features array<string>, message string")
-    got = {r.code: (r.severity, r.message) for r in D.with_messages(spark.createDataFrame([("P1",), ("P2",)], "code string"), cat).collect()}
+    got = {r.code: (r.severity, r.message) for r in D.with_messages(spark.createDataFrame([("m", "P1"), ("m", "P2"), ("n", "P1")], "module string, code string").where("module = 'm'"), cat).collect()}
     assert got == {"P1": ("WARNING", "Unknown Warning"), "P2": ("CRITICAL", "Unknown Critical Error")}
