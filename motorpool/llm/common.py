@@ -85,18 +85,8 @@ def slices(edges: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, i
         first = last
 
 
-def word_hashes(data: np.ndarray, edges: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each maximal run of bytes that are not ASCII white space, and each row's place in that list (n+1).
-
-    ``edges`` may begin anywhere in ``data``. A-Z are lower-cased first if asked. The hash is a polynomial over
-    random byte codes taken from prefix sums, so a slice costs a few array passes whatever its word lengths.
-    """
-    base = edges[0]
-    text, local = data[base : edges[-1]], edges - base
-    if not len(text):
-        return np.zeros(0, np.uint64), np.zeros(len(edges), np.int64)
-    if lower:
-        text = _LOWER[text]
+def word_spans(text: np.ndarray, local: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each maximal run of bytes that are not ASCII white space; runs end at the rows' edges ``local``."""
     solid = ~_SPACE[text]
     cut = np.zeros(len(text) + 1, bool)
     cut[local] = True
@@ -104,9 +94,25 @@ def word_hashes(data: np.ndarray, edges: np.ndarray, lower: bool = True) -> tupl
     begins[1:] &= ~solid[:-1] | cut[1:-1]
     ends = solid.copy()
     ends[:-1] &= ~solid[1:] | cut[1:-1]
-    start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def span_hasher(text: np.ndarray):
+    """A function that hashes many byte ranges of ``text`` at once: a polynomial over random byte codes taken from
+    prefix sums, so a slice costs a few array passes whatever the lengths of its words."""
     up, down = _powers(len(text) + 1)
     total = np.zeros(len(text) + 1, np.uint64)
     np.cumsum(_BYTE_CODE[text] * up[: len(text)], out=total[1:])
-    hashes = mix((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
-    return hashes, np.searchsorted(start, local)
+    return lambda start, stop: mix((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
+
+
+def word_hashes(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word (run without ASCII white space, A-Z lower-cased) and each row's place in that list (n+1).
+
+    ``edges`` may begin anywhere in ``data``.
+    """
+    text, local = _LOWER[data[edges[0] : edges[-1]]], edges - edges[0]
+    if not len(text):
+        return np.zeros(0, np.uint64), np.zeros(len(edges), np.int64)
+    start, stop = word_spans(text, local)
+    return span_hasher(text)(start, stop), np.searchsorted(start, local)

@@ -13,19 +13,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorpool.llm.common import _LOWER, bound_batches, mix, slices, stream, utf8, word_hashes
+from motorpool.llm.common import _LOWER, bound_batches, mix, slices, span_hasher, stream, utf8, word_spans
 
 #: Labelled documents the model is fitted on, at most; those with the smallest hash of their id are taken.
 FIT_ROWS = 8_000
-#: Hashed word features.
+#: Hashed features: each word, and its first bytes, so that the forms of one stem share evidence.
+STEMS = (4, 5, 6)
 BUCKETS = 1 << 18
-#: A word counts as a feature if it stands in so many of the fitted documents.
+#: A feature is used if it stands in so many of the fitted documents.
 MIN_DOCS = 8
 _END = np.zeros(256, bool)
 _END[[10, 33, 46, 63]] = True  # line feed ! . ?
 _MARK = _END.copy()
 _MARK[[34, 39, 40, 41, 44, 45, 58, 59]] = True  # " ' ( ) , - : ;
-_SALT = stream(29, 1)[0]
+_SALT = stream(29, 1 + len(STEMS))
 
 
 def sentence_words(data: np.ndarray, edges: np.ndarray, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -41,34 +42,31 @@ def sentence_words(data: np.ndarray, edges: np.ndarray, buckets: int = BUCKETS)
     number = np.cumsum(closes) - closes  # of the sentence each byte belongs to
     row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     clean = np.where(_MARK[text], np.uint8(32), _LOWER[text])
-    words, at = word_hashes(clean, local, lower=False)
-    if not len(words):
+    from_, to = word_spans(clean, local)
+    if not len(from_):
         none = np.zeros(0, np.int64)
         return none, none, none, none, none
-    from_ = _word_starts(clean, local)
     key = number[from_] + row[from_]  # rows split sentences too: the sum rises at every border of either kind
     fresh = np.ones(len(key), bool)
     fresh[1:] = key[1:] != key[:-1]
     sentence = np.cumsum(fresh) - 1
     heads = np.flatnonzero(fresh)
-    tails = np.append(heads[1:], len(key)) - 1
+    tails = np.append(heads[1:], len(from_)) - 1
     where = row[from_[heads]]
     start = from_[heads] - local[where]
     stops = np.flatnonzero(_END[text])
     after = np.searchsorted(stops, from_[tails])
     end = np.where(after < len(stops), stops[np.minimum(after, max(len(stops) - 1, 0))] + 1 if len(stops) else 0, len(text))
     end = np.minimum(end, local[where + 1]) - local[where]
-    bucket = (mix(words ^ _SALT) % np.uint64(buckets)).astype(np.int64)
-    return bucket, sentence, where, start, end
-
-
-def _word_starts(text: np.ndarray, local: np.ndarray) -> np.ndarray:
-    solid = (text != 32) & ~((text >= 9) & (text <= 13))
-    cut = np.zeros(len(text) + 1, bool)
-    cut[local] = True
-    begins = solid.copy()
-    begins[1:] &= ~solid[:-1] | cut[1:-1]
-    return np.flatnonzero(begins)
+    hashes = span_hasher(clean)
+    kinds, owners = [mix(hashes(from_, to) ^ _SALT[0])], [sentence]
+    for k, size in enumerate(STEMS, 1):
+        longer = to - from_ >= size
+        kinds.append(mix(hashes(from_[longer], from_[longer] + size) ^ _SALT[k]))
+        owners.append(sentence[longer])
+    bucket = (np.concatenate(kinds) % np.uint64(buckets)).astype(np.int64)
+    pair = np.unique(np.concatenate(owners) * np.int64(buckets) + bucket)  # presence, not count
+    return pair % buckets, pair // buckets, where, start, end
 
 
 @dataclass(frozen=True)
@@ -91,15 +89,17 @@ def noisy_or(logits: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(-np.bincount(row, _softplus(logits), n))
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "label", id_col: str = "doc_id", rows: int = FIT_ROWS, steps: int = 150) -> Model:
-    """Fit on a bounded sample of the labelled rows (the ``rows`` smallest hashes of the id), by Adam on the driver.
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "toxic", rows: int = FIT_ROWS, steps: int = 150) -> Model:
+    """Fit on a bounded sample of the labelled ids (the ``rows`` smallest hashes), by Adam on the driver.
 
-    Rows with a null text or label are not used. With one class only, or none, the model scores everything the same:
-    close to that class, or 0.5 without any row. Ties and repeated rows are harmless: the order is by hash, id and label.
+    An id with several labels has the greater. Null ids, labels and texts are not used. With one class only, or none,
+    the model scores everything the same: close to that class, or 0.5 without any row. The sample of ids has at most
+    ``rows`` rows and is broadcast to the scan of the texts, which are not shuffled.
     """
-    usable = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(F.col(id_col).alias("i"), text, F.col(label).cast("int").alias("y"))
-    sample = usable.orderBy(F.xxhash64("i"), "i", "y").limit(rows)
-    bound_batches(labelled.sparkSession)
+    one = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_i")).agg(F.max(label).cast("int").alias("_y"))
+    chosen = F.broadcast(one.orderBy(F.xxhash64("_i"), "_i").limit(rows))
+    sample = docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("_i"), F.col(text).alias("_t")).join(chosen, "_i")
+    bound_batches(docs.sparkSession)
 
     def features(batches):
         for batch in batches:
@@ -110,32 +110,40 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", id_col: s
                 cuts = np.searchsorted(of, np.arange(last - first + 1))
                 yield pa.RecordBatch.from_arrays(
                     [
+                        batch.column(0).slice(first, last - first),
                         batch.column(2).slice(first, last - first),
                         pa.array([bucket[i:j].astype("<i4").tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
                         pa.array([sentence[i:j].astype("<i4").tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
                     ],
-                    names=["y", "bucket", "sentence"],
+                    names=["i", "y", "bucket", "sentence"],
                 )
 
-    table = sample.mapInArrow(features, "y int, bucket binary, sentence binary").toArrow()
+    kind = docs.schema[id_col].dataType.simpleString()
+    table = sample.select("_i", "_t", "_y").mapInArrow(features, f"i {kind}, y int, bucket binary, sentence binary").toArrow().sort_by("i")
     y = table.column("y").to_numpy().astype(np.float64)
     if not len(y) or len(np.unique(y)) < 2:
         return Model(np.zeros(BUCKETS), 0.0 if not len(y) else (4.0 if y[0] else -12.0))
-    bucket = np.concatenate([np.frombuffer(x.as_buffer(), "<i4") for x in table.column("bucket")])
-    parts = [np.frombuffer(x.as_buffer(), "<i4") for x in table.column("sentence")]
-    row_of_word = np.repeat(np.arange(len(y)), [len(p) for p in parts])
-    _, sentence = np.unique(np.concatenate(parts).astype(np.int64) + (row_of_word << 32), return_inverse=True)
-    row = np.zeros(int(sentence.max()) + 1, np.int64)
-    row[sentence] = row_of_word
-    # words seen in few documents teach nothing about others
-    docs = np.bincount(np.unique(row_of_word * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS)
-    used = docs >= MIN_DOCS
-    slot = np.cumsum(used) - 1
-    keep = used[bucket]
-    pair = np.unique(sentence[keep] * np.int64(BUCKETS) + slot[bucket[keep]])  # presence, not count
-    s, f = pair // BUCKETS, pair % BUCKETS
-    n, m = len(row), int(used.sum())
-    # start from the log-odds of each word over documents, which already points the right way
+    # features seen in few documents teach nothing about others; they go before the rows are put together
+    seen = np.zeros(BUCKETS, np.int64)
+    for x in table.column("bucket"):
+        seen[np.unique(np.frombuffer(x.as_buffer(), "<i4"))] += 1
+    used = seen >= MIN_DOCS
+    slot = (np.cumsum(used) - 1).astype(np.int32)
+    f_parts, s_parts, row_parts, n = [], [], [], 0
+    for r, (x, z) in enumerate(zip(table.column("bucket"), table.column("sentence"), strict=True)):
+        x, z = np.frombuffer(x.as_buffer(), "<i4"), np.frombuffer(z.as_buffer(), "<i4")
+        if len(x):
+            names, place = np.unique(z, return_inverse=True)
+            keep = used[x]
+            f_parts.append(slot[x[keep]])
+            s_parts.append((place[keep] + n).astype(np.int32))
+            row_parts.append(np.full(len(names), r, np.int32))
+            n += len(names)
+    if not n:
+        return Model(np.zeros(BUCKETS), 0.0)
+    f, s, row = np.concatenate(f_parts), np.concatenate(s_parts), np.concatenate(row_parts)
+    m = int(used.sum())
+    del table, f_parts, s_parts
     w, b = np.zeros(m), -6.0
     moment, square = np.zeros(m + 1), np.zeros(m + 1)
     for step in range(1, steps + 1):
@@ -155,11 +163,23 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", id_col: s
     return Model(weights, float(b))
 
 
+def _scored(batch: pa.RecordBatch, column: int, model: Model):
+    """Per slice of the batch: its first row, scores, and the sentences' row, start, end and logit."""
+    data, edges = utf8(batch.column(column))
+    empty = -np.expm1(-_softplus(np.array(model.bias)))
+    for first, last in slices(edges):
+        bucket, sentence, where, start, end = sentence_words(data, edges[first : last + 1])
+        n = last - first
+        logits = model.sentences(bucket, sentence, len(where))
+        has = np.bincount(where, minlength=n) > 0
+        yield first, np.where(has, noisy_or(logits, where, n), empty), where, start, end, logits
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id", limit: float = 0.5) -> DataFrame:
     """Every row of ``docs``: the id, ``score`` (0 to 1) and ``spans``: the sentences with p >= ``limit``.
 
     A span has the byte places ``start`` and ``end`` in the UTF-8 text and ``p``. Null and empty texts and texts
-    without words have no sentence; they score as the model's empty sentence alone. Whole texts are read.
+    without words have no sentence; they score as one sentence without features. Whole texts are read.
     """
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))
@@ -168,16 +188,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_
     def run(batches):
         own = Model(*shared.value)
         for batch in batches:
-            data, edges = utf8(batch.column(1))
-            for first, last in slices(edges):
-                bucket, sentence, where, start, end = sentence_words(data, edges[first : last + 1])
-                n = last - first
-                if len(sentence):
-                    pair = np.unique(sentence * np.int64(BUCKETS) + bucket)
-                    logits = own.sentences(pair % BUCKETS, pair // BUCKETS, len(where))
-                else:
-                    logits = np.zeros(0)
-                scores = np.where(np.bincount(where, minlength=n) > 0, noisy_or(logits, where, n), -np.expm1(-_softplus(np.array(own.bias))))
+            for first, scores, where, start, end, logits in _scored(batch, 1, own):
+                n = len(scores)
                 p = 1 / (1 + np.exp(-logits))
                 hot = np.flatnonzero(p >= limit)
                 offsets = np.searchsorted(where[hot], np.arange(n + 1)).astype(np.int32)
@@ -189,8 +201,21 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_
     return docs.select(id_col, text).mapInArrow(run, f"{id_col} {kind}, score double, spans array<struct<start:bigint,end:bigint,p:double>>")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents of the training fold: crc32 of the id as text, modulo 4, is not 2. One label each, the greater."""
-    fold = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
-    one = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    return docs.select("doc_id", "text").where(fold).join(one, "doc_id")
+def accept(docs: DataFrame, model: Model, below: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score below ``below``."""
+    bound_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))
+    column = docs.columns.index(text)
+
+    def run(batches):
+        own = Model(*shared.value)
+        for batch in batches:
+            scores = [s for _, s, *_ in _scored(batch, column, own)]
+            yield batch.filter(pa.array(np.concatenate(scores) < below if scores else np.zeros(0, bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def training_labels(labels: DataFrame) -> DataFrame:
+    """Labels of the training fold: crc32 of the id as text, modulo 4, is not 2."""
+    return labels.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
