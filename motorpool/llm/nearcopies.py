@@ -17,6 +17,8 @@ from motorpool.llm.common import bound_batches, mix, slices, stream, utf8, word_
 from motorpool.llm.components import components
 
 BANDS, ROWS = 24, 4
+#: Shingles in a block of documents that are compared with another block, on average.
+BLOCK_SHINGLES = 200_000
 _WORD = stream(11, 64) | np.uint64(1)
 _RANK = stream(13, 512)
 _BAND = stream(17, 128)
@@ -162,6 +164,59 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "left", "right").mapInArrow(_verify(percent), "a bigint, b bigint")
 
 
+def _between(percent: int):
+    """Links between two blocks of one group, one for each left document and other component."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: tuple[list[int], list[int]] = ([], [])
+        if left.num_rows and right.num_rows:
+            sides = [left, right]
+            ids = [t.column("doc").to_numpy() for t in sides]
+            parts = [t.column("part").to_numpy() for t in sides]
+            sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles")] for t in sides]
+            sizes = [np.array([len(x) for x in own]) for own in sets]
+            every = [np.concatenate(own) for own in sets]
+            shared = np.intersect1d(*every)  # a shingle of one side only counts for no pair
+            both = np.zeros((len(ids[0]), len(ids[1])), np.int64)
+            rows = [np.repeat(np.arange(len(x)), x) for x in sizes]
+            for first in range(0, len(shared), 4096):
+                some = shared[first : first + 4096]
+                grids = []
+                for k in (0, 1):
+                    at = np.minimum(np.searchsorted(some, every[k]), len(some) - 1)
+                    hit = some[at] == every[k]
+                    grid = np.zeros((len(ids[k]), len(some)), np.float32)
+                    grid[rows[k][hit], at[hit]] = 1
+                    grids.append(grid)
+                both += (grids[0] @ grids[1].T).astype(np.int64)
+            union = sizes[0][:, None] + sizes[1][None, :] - both
+            x, y = np.nonzero((100 * both >= percent * union) & (parts[0][:, None] != parts[1][None, :]))
+            _, one = np.unique(np.stack([ids[0][x], parts[1][y]]), axis=1, return_index=True)
+            found = (ids[0][x[one]], ids[1][y[one]])
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+
+    return run
+
+
+def between_parts(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between documents of one group (``lead``) that are in different components so far.
+
+    Of two such documents one at least is outside the component of the group's leader; only these are compared, in
+    blocks of bounded size, with all members of the group. Pairs stay inside a block; only links leave it.
+    """
+    rest = grouped.where("part <> lead_part")
+    block = lambda rows, name: rows.groupBy("lead").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias(name))
+    sizes = block(rest, "q").join(block(grouped, "m"), "lead")
+    full = grouped.join(sizes, "lead").join(sets, "doc")
+    spot = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
+    asked = full.where("part <> lead_part").select("lead", spot("q").alias("qb"), every("m").alias("mb"), "doc", "part", "shingles")
+    member = full.select("lead", every("q").alias("qb"), spot("m").alias("mb"), "doc", "part", "shingles")
+    member = member.toDF(*member.columns)  # fresh names: both sides come from one table
+    keys = ["lead", "qb", "mb"]
+    return asked.groupBy(*keys).cogroup(member.groupBy(*keys)).applyInArrow(_between(percent), "a bigint, b bigint")
+
+
 def near_copies(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -171,8 +226,8 @@ def near_copies(
     link is confirmed on whole sets. A pair at the limit shares no band with probability (1 - 0.8^4)^24 < 4e-6.
 
     Equal sets are folded into one representative first. In each bucket all members are compared with the member
-    that meets most others over all bands; what stays apart then is compared across the components found, so a big
-    group of copies costs about one comparison per copy and no link between different components is passed over.
+    that meets most others over all bands, its leader. What is not in the leader's component then is compared with
+    all others under this leader, in bounded blocks, so no link between different components is passed over.
 
     Null and empty texts, and texts of white space, have no shingles and are linked with nothing. Rows that repeat an
     id are one document as long as their texts agree; rows without an id are left out. Extra columns are not read.
@@ -190,22 +245,18 @@ def near_copies(
     # the member that meets most others leads its buckets: copies then compare with their original
     weight = member.groupBy("doc").agg(F.sum("n").alias("w"))
     ranked = member.join(weight, "doc").select("bucket", "doc", "n_shingles", F.struct("w", (-F.col("doc")).alias("low")).alias("lead"))
-    lead = ranked.groupBy("bucket").agg(F.max("lead").alias("lead")).select("bucket", (-F.col("lead.low")).alias("b"))
-    size = reps.select(F.col("rep").alias("b"), F.col("n_shingles").alias("size_b"))
-    alike = f"100 * least(n_shingles, size_b) >= {percent} * greatest(n_shingles, size_b)"
-    star = member.join(lead, "bucket").where("doc <> b").select(F.col("doc").alias("a"), "b", "n_shingles").distinct()
-    star = star.join(size, "b").where(alike).select("a", "b")
-    wanted = member.select("doc").distinct()
-    sets = written(full_sets(known.join(wanted, "doc", "left_semi").dropDuplicates(["doc"]), "text", width), "sets")
-    links = written(confirm(star, sets, percent), "links")
+    lead = ranked.groupBy("bucket").agg(F.max("lead").alias("lead")).select("bucket", (-F.col("lead.low")).alias("lead"))
+    size = heads.select(F.col("doc").alias("lead"), F.col("n_shingles").alias("size_lead"))
+    group = written(member.join(lead, "bucket").where("doc <> lead").select("doc", "n_shingles", "lead").distinct().join(size, "lead"), "groups")
+    alike = f"100 * least(n_shingles, size_lead) >= {percent} * greatest(n_shingles, size_lead)"
+    wanted = group.select("doc").union(group.select("lead")).distinct()
+    sets = written(full_sets(known.join(wanted, "doc", "left_semi"), "text", width), "sets")
+    links = written(confirm(group.where(alike).select(F.col("doc").alias("a"), F.col("lead").alias("b")), sets, percent), "links")
     tree = written(components(links), "tree")
-    # pairs of one bucket that are still in different components
-    placed = member.join(tree.withColumnRenamed("node", "doc"), "doc", "left").select("bucket", "doc", "n_shingles", F.coalesce("root", "doc").alias("part"))
-    split = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket")
-    loose = written(placed.join(split, "bucket"), "loose")
-    other = loose.select("bucket", F.col("doc").alias("b"), F.col("n_shingles").alias("size_b"), F.col("part").alias("part_b"))
-    cross = loose.join(other, "bucket").where("part < part_b").where(alike).select(F.col("doc").alias("a"), "b").distinct()
-    late = written(confirm(cross, sets, percent), "links")
+    part = lambda name, label: tree.select(F.col("node").alias(name), F.col("root").alias(label))
+    placed = group.join(part("doc", "part"), "doc", "left").join(part("lead", "lead_part"), "lead", "left")
+    placed = placed.select("doc", "lead", "n_shingles", F.coalesce("part", "doc").alias("part"), F.coalesce("lead_part", "lead").alias("lead_part"))
+    late = written(between_parts(written(placed, "placed"), sets, percent), "links")
     if late.head(1):
         tree = written(components(links.union(late)), "tree")
     rooted = reps.join(tree.withColumnRenamed("node", "rep"), "rep", "left").select(*same, F.coalesce("root", "rep").alias("component"))
