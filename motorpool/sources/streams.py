@@ -37,6 +37,16 @@ def to_broker_rows(df: DataFrame, topics: dict[str, str], value: Column, module:
     return good, tagged.filter(F.col("_topic").isNull()).drop("_topic")
 
 
+def kafka_sink(rows: DataFrame, servers: str, checkpoint: str, name: str, trigger: dict | None = None):
+    """Write the rows of `to_broker_rows` to the topics they name. Every replica acknowledges a row, and the producer is
+    idempotent, so a retried batch adds none twice within a producer's life."""
+    return (
+        rows.select("key", "value", "topic").writeStream.format("kafka").queryName(name)
+        .option("kafka.bootstrap.servers", servers).option("kafka.acks", "all").option("kafka.enable.idempotence", "true")
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
+    )
+
+
 def by_source(df: DataFrame, source: str, row_key: str, buckets: int = 64, writers: int = 4) -> DataFrame:
     """Add ``source_bucket`` and spread rows for writing: all rows of a bucket go to a few tasks, so a
     micro-batch writes ``buckets * writers`` files at most, and a dominant source is still shared by ``writers`` tasks."""

@@ -125,6 +125,18 @@ def test_kafka_needs_its_connector(spark):
         streams.kafka_source(spark, "engine", "broker:9092")
 
 
+def test_kafka_sink_needs_its_connector(spark, tmp_path):
+    rows = spark.readStream.format("rate").load().selectExpr("'k' AS key", "CAST(value AS STRING) AS value", "'telemetry.engine' AS topic")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        streams.kafka_sink(rows, "broker:9092", str(tmp_path), "sink")
+
+
+def test_capped_reads_lose_no_row_of_one_time(spark, tmp_path):
+    df = spark.createDataFrame([(1, i) for i in range(1, 8)] + [(2, 8)], "t int, id long")
+    got = files.read_capped(df, "t", ("id",), 0, 2, str(tmp_path / "out"))
+    assert sorted(r.id for r in got.collect()) == list(range(1, 9))
+
+
 def test_default_messages(spark):
     cat = spark.createDataFrame([("m", "P1", "non_critical", ["a"], None)], "module string, dtc_code string, severity string, features array<string>, message string")
     got = {r.code: (r.severity, r.message) for r in D.with_messages(spark.createDataFrame([("m", "P1"), ("m", "P2"), ("n", "P1")], "module string, code string").where("module = 'm'"), cat).collect()}

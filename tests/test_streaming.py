@@ -91,6 +91,23 @@ def test_dedup_across_micro_batches(spark, tmp_path):
     assert drain(DD.dedup(src, ts="ts").select("row_hash"), "dd").count() == 40
 
 
+def test_late_first_occurrences_come_out(spark, tmp_path):
+    rows = [("a", T0 + timedelta(hours=10)), ("b", T0 + timedelta(hours=11)), ("late", T0), ("a", T0 + timedelta(hours=12))]
+    src = in_files(spark, str(tmp_path / "in"), rows, "row_hash string, ts timestamp", 4)
+    DD.dedup_sink(src, str(tmp_path / "out"), str(tmp_path / "state"), ts="ts").awaitTermination()
+    assert sorted(r.row_hash for r in spark.read.parquet(str(tmp_path / "out" / "v*")).collect()) == ["a", "b", "late"]
+
+
+def test_updates_after_a_reset_win(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path / "t"), ["k"], keep=2)
+    for run in range(2):
+        src = in_files(spark, str(tmp_path / f"in{run}"), [(k, run * 10 + k) for k in range(run, 4)], "k int, seq int", 2)
+        R.upsert_sink(src, table, str(tmp_path / "state")).awaitTermination()
+        R.archive_checkpoint(spark, str(tmp_path / "state"))
+    assert {r.k: r.seq for r in table.read().collect()} == {0: 0, 1: 11, 2: 12, 3: 13}
+    assert len(table.versions()) == 2
+
+
 def test_malformed_rows_are_kept_apart(spark):
     df = spark.createDataFrame([('{"a":1}',), ("{oops",), ('{"a":"x"}',)], "value string")
     good, bad = DD.tolerant(df, "a bigint")
