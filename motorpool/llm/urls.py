@@ -61,24 +61,26 @@ def fit(labelled: DataFrame, wanted: DataFrame, order: int = ORDER) -> DataFrame
 
     ``labelled`` has the URLs ``u`` and ``good`` (boolean), repeated URLs count as often as they occur.
     """
-    counted = _grams(labelled.select("good", "u"), order).groupBy("good", "g").count().withColumnRenamed("count", "n")
-    counted = written(counted, "grams")
+    counted = written(_grams(labelled.select("good", "u"), order).groupBy("good", "g").agg(F.count("*").alias("n")), "grams")
     symbols = counted.select(F.substring("g", order + 1, 1)).distinct().count() + 1
-    out = wanted.select("g")
-    for side in (True, False):
-        own = counted.where(F.col("good") == side)
-        p = F.lit(1.0 / symbols)
-        for k in range(order + 1):  # from no context to the longest
-            last = F.substring("g", order + 1 - k, k + 1).alias("gk")
-            seen = own.select(last, "n").groupBy("gk").agg(F.sum("n").alias("n"))
-            context = seen.groupBy(F.substring("gk", 1, k).alias("ck")).agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
-            out = out.withColumns({"gk": F.substring("g", order + 1 - k, k + 1), "ck": F.substring("g", order + 1 - k, k), "p": p})
-            out = out.join(seen, "gk", "left").join(context, "ck", "left")
-            mixed = (F.coalesce("n", F.lit(0)) + F.col("kinds") * F.col("p")) / (F.col("all") + F.col("kinds"))
-            out = out.withColumn("p", F.coalesce(mixed, F.col("p"))).drop("gk", "ck", "n", "all", "kinds")
-            p = F.col("p")
-        out = out.withColumnRenamed("p", "yes" if side else "no")
-    return out.select("g", (F.log("yes") - F.log("no")).alias("gain"))
+    # every gram at every length, counted for both sides at once; its length tells the order of its context
+    level = F.explode(F.sequence(F.lit(0), F.lit(order))).alias("k")
+    ending = F.substring("g", F.lit(order + 1) - F.col("k"), F.col("k") + 1)
+    one = lambda side: F.coalesce(F.sum(F.when(F.col("good") == side, F.col("n"))), F.lit(0))
+    seen = counted.select("good", "n", "g", level).groupBy(ending.alias("gk")).agg(one(True).alias("n1"), one(False).alias("n0"))
+    seen = written(seen, "seen")
+    context = seen.groupBy(F.expr("substring(gk, 1, length(gk) - 1)").alias("ck")).agg(
+        F.sum("n1").alias("all1"), F.count_if(F.col("n1") > 0).alias("kinds1"), F.sum("n0").alias("all0"), F.count_if(F.col("n0") > 0).alias("kinds0")
+    )
+    rows = wanted.select("g", level).select("g", "k", ending.alias("gk"), F.substring("g", F.lit(order + 1) - F.col("k"), F.col("k")).alias("ck"))
+    rows = rows.join(seen, "gk", "left").join(context, "ck", "left").na.fill(0)
+    levels = rows.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("k", "n1", "n0", "all1", "kinds1", "all0", "kinds0"))).alias("levels"))
+
+    def mixed(side: str) -> F.Column:
+        step = f"if(x.all{side} > 0, (x.n{side} + x.kinds{side} * p) / (x.all{side} + x.kinds{side}), p)"
+        return F.expr(f"aggregate(levels, {1.0 / symbols!r}D, (p, x) -> {step})")
+
+    return levels.select("g", (F.log(mixed("1")) - F.log(mixed("0"))).alias("gain"))
 
 
 def scores(urls: DataFrame, gains: DataFrame, order: int = ORDER) -> DataFrame:
@@ -125,15 +127,15 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url", id_c
     parts = base.select("_id", host(F.col("_url")).alias("host"), path(F.col("_url")).alias("path"))
     rule, verdict = matched(F.col("host"), F.col("path"), rules)
     ruled = written(parts.withColumns({"rule": rule, "says": verdict, "u": F.concat("host", F.lower("path"))}), "urls")
-    distinct = ruled.groupBy("u").agg(F.min("says").alias("says"))
+    distinct = ruled.select("u").distinct()
     labelled = ruled.where("says is not null").select((F.col("says") == "allow").alias("good"), "u")
     held = F.crc32("u") % HOLD_BACK == 0
     kinds = {r.good for r in labelled.select("good").distinct().collect()}
     if len(kinds) == 2:
-        grams = written(_grams(distinct.select("u"), order).select("g").distinct(), "grams")
-        fitted = written(fit(labelled.where(~held), grams, order), "gains")
-        limit = calibrate(labelled.where(held).join(scores(labelled.where(held).select("u").distinct(), fitted, order), "u"))
-        scored = scores(distinct, written(fit(labelled, grams, order), "gains"), order)
+        grams = written(_grams(distinct, order).select("g").distinct(), "grams")
+        gains = written(fit(labelled.where(~held), grams, order), "gains")
+        scored = written(scores(distinct, gains, order), "scores")
+        limit = calibrate(labelled.where(held).join(scored, "u"))
     else:
         limit, scored = 0.0, distinct.select("u", F.lit(0.0).alias("score"))
     own = F.when(F.col("score") >= limit, "allow").otherwise("block")
