@@ -19,6 +19,9 @@ from motorpool.llm.components import components
 BANDS, ROWS = 24, 4
 #: Shingles in a block of documents that are compared with another block, on average.
 BLOCK_SHINGLES = 200_000
+#: Ids of documents in candidate groups are broadcast to the scan of the texts up to this number (8 bytes each); above
+#: it the texts are shuffled by id.
+BROADCAST_IDS = 1_000_000
 _WORD = stream(11, 64) | np.uint64(1)
 _RANK = stream(13, 512)
 _BAND = stream(17, 128)
@@ -249,7 +252,9 @@ def near_copies(
     size = heads.select(F.col("doc").alias("lead"), F.col("n_shingles").alias("size_lead"))
     group = written(member.join(lead, "bucket").where("doc <> lead").select("doc", "n_shingles", "lead").distinct().join(size, "lead"), "groups")
     alike = f"100 * least(n_shingles, size_lead) >= {percent} * greatest(n_shingles, size_lead)"
-    wanted = group.select("doc").union(group.select("lead")).distinct()
+    wanted = written(group.select("doc").union(group.select("lead")).distinct(), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     sets = written(full_sets(known.join(wanted, "doc", "left_semi"), "text", width), "sets")
     links = written(confirm(group.where(alike).select(F.col("doc").alias("a"), F.col("lead").alias("b")), sets, percent), "links")
     tree = written(components(links), "tree")
