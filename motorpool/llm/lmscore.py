@@ -1,79 +1,192 @@
 """LM scoring by cross-entropy difference of two matched bigram models.
 
-Words fall into a fixed number of hash classes, which is the one vocabulary of both models: no word is unknown to one
-and known to the other, and the models have the same size on any corpus. Counts come from all documents. The larger
-side is scaled to the tokens of the smaller one, so smoothing weighs alike in both. A document's own counts are taken
-out of its side before it is scored.
+Both models share one vocabulary, the words of the whole corpus: no word is unknown to one and known to the other, and
+words and pairs are counted one by one, however many there are. The larger side is scaled to the tokens of the smaller
+one, so smoothing weighs alike in both. A document's own counts are taken out of its side before it is scored.
+
+Documents are packed into chunks of bounded size. A chunk counts its words and pairs and sends them, split by ranges of
+their 64-bit hashes, to where each range is summed over all chunks. Of the sums it gets back those of words and pairs
+that other chunks hold too; all others it has itself. A common word or pair is thus one entry per chunk.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from motorpool.llm.common import bound_batches, mix, slices, stream, utf8, word_hashes, written
+from motorpool.llm.neighbours import _grouped
 
-#: Word classes, and slots for pairs of classes.
-WORDS, PAIRS = 1 << 16, 1 << 19
+#: Words that smoothing allows for at least; a corpus with more words allows for all of them.
+WORDS = 1 << 16
 #: Weight of the pair estimate against the single word, and what is added to each word's count.
 PAIR_WEIGHT, ADDED = 0.5, 0.1
-_BLOCK = 1 << 13
+#: Bytes of text in a chunk and behind a range of hashes, and ranges at least.
+CHUNK, RANGE, RANGES = 1 << 22, 1 << 22, 256
+#: Bytes of text hashed at once, and ranges in a batch: two Python workers share what the executor's heap leaves.
+_SLICE, _SENT = 1 << 18, 32
 _PAIR = stream(31, 2) | np.uint64(1)
+_PACKED = "chunk bigint, data binary, ends binary, sides binary"
+_COUNTS = "range bigint, chunk bigint, words binary, word_n binary, pairs binary, pair_n binary"
+_SUMS = "chunk bigint, range bigint, words binary, word_n binary, pairs binary, pair_n binary, distinct bigint, background bigint, target bigint"
+
+
+def _bytes(values: np.ndarray) -> bytes:
+    """Eight-byte numbers with their high bytes side by side, which compresses well."""
+    return np.ascontiguousarray(values.reshape(-1)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(data: pa.Scalar, kind: type, width: int = 1) -> np.ndarray:
+    flat = np.ascontiguousarray(np.frombuffer(data.as_buffer(), np.uint8).reshape(8, -1).T).view(kind).reshape(-1)
+    return flat.reshape(-1, width) if width > 1 else flat
 
 
 def _tokens(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Class, class before (the first word follows class 0), pair slot and row of each word."""
-    words, at = word_hashes(data, edges)
-    here = (words % np.uint64(WORDS)).astype(np.int64)
-    row = np.repeat(np.arange(len(edges) - 1), np.diff(at))
-    before = np.zeros(len(here), np.int64)
+    """Hashes of each word, of the word before (0 before the first) and of the pair of both, and the word's row."""
+    found = [word_hashes(data, edges[first : last + 1]) for first, last in slices(edges, _SLICE)]
+    here = np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in found)])
+    number = np.concatenate([np.zeros(0, np.int64), *(np.diff(at) for _, at in found)])
+    at = np.append(0, np.cumsum(number))
+    before = np.zeros(len(here), np.uint64)
     before[1:] = here[:-1]
-    before[at[:-1][np.diff(at) > 0]] = 0
-    slot = mix(here.astype(np.uint64) * _PAIR[0] + before.astype(np.uint64) * _PAIR[1]) % np.uint64(PAIRS)
-    return here, before, slot.astype(np.int64), row
+    before[at[:-1][number > 0]] = 0
+    return here, before, mix(here * _PAIR[0] + mix(before * _PAIR[1])), np.repeat(np.arange(len(number)), number)
+
+
+class _Chunk:
+    """The words and pairs of a chunk: sorted distinct hashes, the place of each word's own among them, and counts.
+
+    ``word_n`` has the columns word (background, target) and context (background, target), ``pair_n`` the pair's two.
+    """
+
+    def __init__(self, data: np.ndarray, edges: np.ndarray, side: np.ndarray):
+        here, before, pair, self.row = _tokens(data, edges)
+        n, self.mine = len(here), side[self.row].astype(np.int64)
+        self.words, places = np.unique(np.concatenate([here, before[before == 0][:1]]), return_inverse=True)
+        self.here = places[:n]
+        self.before = np.zeros(n, np.int64)  # the start of a text is hash 0, which sorts first
+        self.before[1:] = self.here[:-1]
+        self.before[before == 0] = 0
+        self.pairs, self.pair = np.unique(pair, return_inverse=True)
+        self.word_n = np.concatenate([_count(self.here, self.mine, len(self.words)), _count(self.before, self.mine, len(self.words))], axis=1)
+        self.pair_n = _count(self.pair, self.mine, len(self.pairs))
+
 
+def _count(key: np.ndarray, side: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(key * 2 + side, minlength=2 * size).reshape(size, 2)
 
-def counts(docs: DataFrame, text: str, target: str) -> np.ndarray:
-    """Counts of words, contexts and pairs: an array of 2 (background, target) by 2 * WORDS + PAIRS, summed in Spark."""
-    bound_batches(docs.sparkSession)
-    size = 2 * WORDS + PAIRS
 
-    def partial(batches):
-        total = np.zeros((2, size), np.int64)
+def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each range of hashes begins among sorted ``keys``, and the end."""
+    step = (1 << 64) // ranges + 1
+    return np.append(np.searchsorted(keys, np.arange(ranges, dtype=np.uint64) * np.uint64(step)) if ranges > 1 else 0, len(keys))
+
+
+def _opened(table: pa.Table | pa.RecordBatch, k: int) -> _Chunk:
+    data, ends, side = (table.column(c)[k].as_buffer() for c in ("data", "ends", "sides"))
+    edges = np.append(0, np.frombuffer(ends, np.int64))
+    return _Chunk(np.frombuffer(data, np.uint8) if data.size else np.zeros(0, np.uint8), edges, np.frombuffer(side, np.uint8).astype(bool))
+
+
+def pack(sided: DataFrame, kind: str, size: int = CHUNK) -> DataFrame:
+    """Rows (id, text, side) as chunks of about ``size`` bytes of text, one text at least."""
+
+    def run(batches):
+        task, number, held, weight = TaskContext.get().partitionId(), 0, [], 0
+
+        def chunk() -> pa.RecordBatch:
+            ids = pa.concat_arrays([i for i, _, _, _ in held])
+            ends = np.cumsum(np.concatenate([n for _, _, n, _ in held]))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([(task << 32) + number]), pa.array([b"".join(t.tobytes() for _, t, _, _ in held)], pa.binary()), pa.array([ends.astype(np.int64).tobytes()], pa.binary()),
+                    pa.array([np.concatenate([s for _, _, _, s in held]).astype(np.uint8).tobytes()], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                    pa.array([int(ends[-1])]),
+                ],
+                names=["chunk", "data", "ends", "sides", "ids", "size"],
+            )
+
         for batch in batches:
-            data, edges = utf8(batch.column(0))
-            side = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            data, edges = utf8(batch.column(1))
+            side = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for first, last in slices(edges):
-                here, before, slot, row = _tokens(data, edges[first : last + 1])
-                mine = side[first:last][row]
-                for k in (0, 1):
-                    own = mine == bool(k)
-                    total[k, :WORDS] += np.bincount(here[own], minlength=WORDS)
-                    total[k, WORDS : 2 * WORDS] += np.bincount(before[own], minlength=WORDS)
-                    total[k, 2 * WORDS :] += np.bincount(slot[own], minlength=PAIRS)
-        for k in (0, 1):
-            for block in range(0, size, _BLOCK):
-                part = total[k, block : block + _BLOCK]
-                if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([k * size + block]), pa.array([part.tobytes()], pa.binary())], names=["block", "part"])
-
-    def summed(batches):
-        total: dict[int, np.ndarray] = {}  # at most 2 * size / _BLOCK blocks
+                held.append((batch.column(0).slice(first, last - first), data[edges[first] : edges[last]], np.diff(edges[first : last + 1]), side[first:last]))
+                weight += int(edges[last] - edges[first])
+                if weight >= size:
+                    yield chunk()
+                    number, held, weight = number + 1, [], 0
+        if held:
+            yield chunk()
+
+    return sided.mapInArrow(run, f"{_PACKED}, ids array<{kind}>, size bigint")
+
+
+def counts(packed: DataFrame, ranges: int) -> DataFrame:
+    """Rows (range, chunk): the chunk's words and pairs in a range of hashes, with their counts."""
+
+    def run(batches):
         for batch in batches:
-            for block, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = total.setdefault(block, np.zeros(_BLOCK, np.int64))
-                own += np.frombuffer(part.as_buffer(), np.int64)
-        for block, part in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part.tobytes()], pa.binary())], names=["block", "part"])
+            for k, number in enumerate(batch.column(0).to_pylist()):
+                own = _opened(batch, k)
+                words, pairs = _cuts(own.words, ranges), _cuts(own.pairs, ranges)
+                some = np.flatnonzero((np.diff(words) > 0) | (np.diff(pairs) > 0))
+                for at in (some[i : i + _SENT] for i in range(0, len(some), _SENT)):
+                    w, p = ([slice(cuts[r], cuts[r + 1]) for r in at] for cuts in (words, pairs))
+                    columns = [[_bytes(x[c]) for c in cut] for cut, x in ((w, own.words), (w, own.word_n), (p, own.pairs), (p, own.pair_n))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(at), pa.array([number] * len(at)), *(pa.array(x, pa.binary()) for x in columns)],
+                        names=["range", "chunk", "words", "word_n", "pairs", "pair_n"],
+                    )
+
+    return packed.mapInArrow(run, _COUNTS)
+
 
-    schema = "block bigint, part binary"
-    parts = docs.select(text, target).mapInArrow(partial, schema).repartition("block").mapInArrow(summed, schema).toArrow()
-    out = np.zeros(2 * size, np.int64)
-    for block, part in zip(parts.column(0).to_pylist(), parts.column(1), strict=True):
-        out[block : block + _BLOCK] += np.frombuffer(part.as_buffer(), np.int64)
-    return out.reshape(2, size)
+def _summed(keys: list[np.ndarray], number: list[np.ndarray]) -> tuple[Iterator[tuple[bytes, bytes]], np.ndarray]:
+    """Per chunk the bits of its keys that other chunks hold too and the sums of these; and the sums of all keys."""
+    distinct, place, chunks = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    order = np.argsort(place, kind="stable")
+    total = np.add.reduceat(np.concatenate(number)[order], np.append(0, np.cumsum(chunks)[:-1]), axis=0) if len(distinct) else np.concatenate(number)
+
+    def parts():
+        at = 0
+        for own in keys:
+            mine = place[at : at + len(own)]
+            shared = chunks[mine] > 1
+            yield np.packbits(shared).tobytes(), _bytes(total[mine[shared]])
+            at += len(own)
+
+    return parts(), total
+
+
+def sums(counted: DataFrame) -> DataFrame:
+    """Rows (chunk, range) with what :func:`_summed` returns, and per range a row without chunk: distinct words, and words of each side."""
+
+    def run(batches):
+        for table in _grouped(batches):
+            ranges, chunks = table.column("range").to_numpy(), table.column("chunk").to_pylist()
+            cuts = np.append(np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1])), len(ranges))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                part = table.slice(a, b - a)
+                words, total = _summed([_numbers(x, np.uint64) for x in part.column("words")], [_numbers(x, np.int64, 4) for x in part.column("word_n")])
+                pairs, _ = _summed([_numbers(x, np.uint64) for x in part.column("pairs")], [_numbers(x, np.int64, 2) for x in part.column("pair_n")])
+                rows = zip(*((*w, *p) for w, p in zip(words, pairs, strict=True)), strict=True)
+                whole = ((total[:, :2].sum(axis=1) > 0).sum(), *total[:, :2].sum(axis=0))
+                blank = [None] * (b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([*chunks[a:b], None], pa.int64()), pa.array([int(ranges[a])] * (b - a + 1), pa.int64()),
+                        *(pa.array([*x, None], pa.binary()) for x in rows), *(pa.array([*blank, int(x)], pa.int64()) for x in whole),
+                    ],
+                    names=["chunk", "range", "words", "word_n", "pairs", "pair_n", "distinct", "background", "target"],
+                )
+
+    return counted.repartition("range").sortWithinPartitions("range").mapInArrow(run, _SUMS)
 
 
 def _per_row(row: np.ndarray, key: np.ndarray, width: int) -> np.ndarray:
@@ -82,25 +195,42 @@ def _per_row(row: np.ndarray, key: np.ndarray, width: int) -> np.ndarray:
     return number[inverse]
 
 
-def losses(model: np.ndarray, data: np.ndarray, edges: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Loss of every word under the background and the target model, in nats, and the rows of the words."""
-    here, before, slot, row = _tokens(data, edges)
-    n = len(edges) - 1
-    own = [_per_row(row, here, WORDS), _per_row(row, before, WORDS), _per_row(row, slot, PAIRS)] if len(here) else [here] * 3
-    words = np.bincount(row, minlength=n)[row]
-    totals = model[:, :WORDS].sum(axis=1).astype(np.float64)
+def losses(own: _Chunk, word_n: np.ndarray, pair_n: np.ndarray, totals: np.ndarray, vocabulary: int, n: int) -> list[np.ndarray]:
+    """Loss of every word under the background and the target model, in nats; the counts are those of the corpus."""
+    width = len(own.words) + len(own.pairs)
+    self_n = [_per_row(own.row, key, width) for key in (own.here, own.before, own.pair)] if len(own.row) else [own.row] * 3
+    words = np.bincount(own.row, minlength=n)[own.row]
     small = max(min(totals), 1.0)
     out = []
     for k in (0, 1):
-        mine = (side[row] == bool(k)).astype(np.float64)
+        mine = (own.mine == k).astype(np.float64)
         scale = small / max(totals[k], 1.0)
-        word = (model[k, here] - mine * own[0]) * scale
-        context = model[k, WORDS + before] - mine * own[1]
-        pair = np.minimum(model[k, 2 * WORDS + slot] - mine * own[2], context)
-        single = (word + ADDED) / ((totals[k] - mine * words) * scale + ADDED * WORDS)
+        word = (word_n[own.here, k] - mine * self_n[0]) * scale
+        context = word_n[own.before, 2 + k] - mine * self_n[1]
+        pair = pair_n[own.pair, k] - mine * self_n[2]
+        single = (word + ADDED) / ((totals[k] - mine * words) * scale + ADDED * vocabulary)
         joint = np.where(context > 0, pair / np.maximum(context, 1), single)
         out.append(-np.log(PAIR_WEIGHT * joint + (1 - PAIR_WEIGHT) * single))
-    return out[0], out[1], row
+    return out
+
+
+def _filled(counts: np.ndarray, cuts: np.ndarray, ranges: list[int], bits: pa.ChunkedArray, totals: pa.ChunkedArray) -> np.ndarray:
+    """A chunk's counts with the sums of the corpus in place of those that other chunks share."""
+    for r, own, total in zip(ranges, bits, totals, strict=True):
+        part = counts[cuts[r] : cuts[r + 1]]
+        part[np.unpackbits(np.frombuffer(own.as_buffer(), np.uint8), count=len(part)).astype(bool)] = _numbers(total, np.int64, counts.shape[1])
+    return counts
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``written``, whose shuffle files go when the write has ended: all that is read later is in the table."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return written(df, label)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
 
 
 def score(docs: DataFrame, targets: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -111,26 +241,38 @@ def score(docs: DataFrame, targets: DataFrame, text: str = "text", id_col: str =
     those without an id too, are the background. Null and empty texts have no words and differences of 0. Repeated
     rows are counted and scored as often as they stand there; extra columns are not read.
     """
+    bound_batches(docs.sparkSession, "4m")
     kind = docs.schema[id_col].dataType.simpleString()
     ids = targets.select(F.col(id_col).alias("_t")).where("_t is not null").distinct()
     known = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    sided = written(known.join(ids, F.col("_id") == F.col("_t"), "left").select("_id", "_text", F.col("_t").isNotNull().alias("_side")), "sided")
-    model = counts(sided, "_text", "_side")
-    shared = docs.sparkSession.sparkContext.broadcast(model.astype(np.float64) if model.max(initial=0) < 2**53 else model)
+    sided = known.join(ids, F.col("_id") == F.col("_t"), "left").select("_id", "_text", F.col("_t").isNotNull().alias("_side"))
+    packed = _written(pack(sided, kind), "packed")
+    ranges = max(RANGES, -(-(packed.agg(F.sum("size")).first()[0] or 0) // RANGE))
+    summed = _written(sums(counts(packed.drop("ids", "size"), ranges)), "sums")
+    whole = summed.where("chunk is null").agg(F.sum("distinct"), F.sum("background"), F.sum("target")).first()
+    vocabulary, totals = max(WORDS, whole[0] or 0), [float(whole[1] or 0), float(whole[2] or 0)]
 
     def run(batches):
-        own = shared.value
-        for batch in batches:
-            data, edges = utf8(batch.column(1))
-            side = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            for first, last in slices(edges):
-                low, high, row = losses(own, data, edges[first : last + 1], side[first:last])
-                n = np.bincount(row, minlength=last - first)
-                background = np.bincount(row, low, last - first) / np.maximum(n, 1)
-                target = np.bincount(row, high, last - first) / np.maximum(n, 1)
+        for table in _grouped(batches):
+            chunk = table.column("chunk").to_numpy()
+            cuts = np.append(np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])), len(chunk))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                part = table.slice(a, b - a)
+                texts, sent = part.filter(pc.is_valid(part.column("data"))), part.filter(pc.is_null(part.column("data")))
+                own, n = _opened(texts, 0), len(texts.column("ids")[0])
+                at = sent.column("range").to_pylist()
+                word_n = _filled(own.word_n, _cuts(own.words, ranges), at, sent.column("words"), sent.column("word_n"))
+                pair_n = _filled(own.pair_n, _cuts(own.pairs, ranges), at, sent.column("pairs"), sent.column("pair_n"))
+                low, high = losses(own, word_n, pair_n, totals, vocabulary, n)
+                count = np.bincount(own.row, minlength=n)
+                background = np.bincount(own.row, low, n) / np.maximum(count, 1)
+                target = np.bincount(own.row, high, n) / np.maximum(count, 1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(n), pa.array(target), pa.array(background), pa.array(target - background)],
+                    [texts.column("ids")[0].values, pa.array(count), pa.array(target), pa.array(background), pa.array(target - background)],
                     names=[id_col, "n_tokens", "ce_target", "ce_background", "ce_diff"],
                 )
 
-    return sided.mapInArrow(run, f"{id_col} {kind}, n_tokens bigint, ce_target double, ce_background double, ce_diff double")
+    sent = summed.where("chunk is not null").drop("distinct", "background", "target")
+    both = packed.drop("size").unionByName(sent, allowMissingColumns=True)
+    out = f"{id_col} {kind}, n_tokens bigint, ce_target double, ce_background double, ce_diff double"
+    return both.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, out)

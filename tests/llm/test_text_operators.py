@@ -311,6 +311,37 @@ def test_lm_scores_are_brute_force(spark):
     assert lmscore.score(documents(spark, []), ids).count() == 0
 
 
+def test_lm_scores_tell_words_of_one_hash_class_apart(spark):
+    known, shared = {}, []
+    for k in range(3000):
+        other = known.setdefault(int(_hashes(f"c{k}")[0] % np.uint64(lmscore.WORDS)), f"c{k}")
+        shared += [(other, f"c{k}")] if other != f"c{k}" else []
+    words = [w for pair in shared[:12] for w in pair]
+    alone = dict(zip(words, [w for w in known.values() if w not in words], strict=False))
+    rnd = random.Random(8)
+    texts = [(i, " ".join(rnd.choice(words[: 12 + 12 * (i % 2)]) for _ in range(30))) for i in range(60)]
+    renamed = [(i, " ".join(alone[w] for w in t.split())) for i, t in texts]
+    ids = spark.createDataFrame([(i,) for i in range(0, 60, 3)], "doc_id long")
+    found = lambda rows: sorted((r.doc_id, r.n_tokens, round(r.ce_target, 9), round(r.ce_background, 9)) for r in lmscore.score(documents(spark, rows), ids).collect())
+    assert len(words) == 24 and found(texts) == found(renamed) == sorted(_brute_lm(renamed, set(range(0, 60, 3))))
+
+
+def test_lm_vocabulary_and_chunks_grow_with_the_corpus(spark, monkeypatch):
+    texts = [(i, " ".join(f"v{k}" for k in range(i * 1000, i * 1000 + 2000))) for i in range(70)] + [(70, "v5 v6 v5 v6 odd")]
+    ids = spark.createDataFrame([(i,) for i in range(35)], "doc_id long")
+    found = lambda: sorted((r.doc_id, r.n_tokens, round(r.ce_target, 9), round(r.ce_background, 9)) for r in lmscore.score(documents(spark, texts), ids).collect())
+    whole = found()
+    monkeypatch.setattr(lmscore.pack, "__defaults__", (1 << 12,))
+    assert found() == whole
+    by_id = {row[0]: row for row in whole}
+    # of the one document that repeats a pair: counts by hand; 70,000 + 1,000 + 1 words are more than WORDS
+    vocabulary, target, background = 71_001, 70_000, 70_000
+    # document 0 holds v5 v6 once, and the start of a text is met 35 times
+    at = lambda n, joint: -math.log(0.5 * (joint if joint is not None else 0) + 0.5 * (n + lmscore.ADDED) / (target + lmscore.ADDED * vocabulary))
+    want = [at(1, 0), at(1, 1), at(1, 0), at(1, 1), at(0, 0)]
+    assert abs(by_id[70][2] - sum(want) / 5) < 1e-6 and background == target
+
+
 # -- URL filter
 
 
