@@ -12,8 +12,13 @@ from pyspark.sql import functions as F
 
 from motorpool.llm.common import written
 
-#: Fixed masks over nine tokens: 1 is hashed, 0 skipped.
-MASKS = ("111010011", "110010111")
+#: Fixed masks (1 is hashed, 0 skipped), and the least and greatest number of tokens of the items they are for. Whatever
+#: tokens the rule below lets differ, one of an item's masks fits between them at some place; the tests enumerate this.
+MASKS = (
+    ("11111", 9, 1 << 30), ("110111", 9, 1 << 30), ("11010011", 9, 1 << 30),
+    ("1111", 5, 8), ("11011", 5, 8), ("10111", 5, 8), ("11101", 5, 8),
+    ("1111", 4, 4), ("111", 3, 3), ("11", 2, 2), ("1", 1, 1),
+)
 #: A leak is a window of so many tokens (the whole item, if shorter) of which so many percent agree in place.
 WINDOW, AGREE = 16, 80
 #: Test hashes up to this number are broadcast (24 bytes each); above it both sides are shuffled by hash.
@@ -25,37 +30,39 @@ def tokens(text: str) -> F.Column:
     return F.array_remove(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", -1), "")
 
 
-def seeds(df: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
-    """``df`` with ``_words`` becomes a row per window and mask: ``_seed`` and the window's place ``_at``."""
+def seeds(df: DataFrame, masks: tuple[tuple[str, int, int], ...] = MASKS) -> DataFrame:
+    """``df`` with ``_words`` becomes a row per window and mask: ``_seed``, the window's place ``_at``, the mask's number
+    ``_mask`` and the number of tokens ``_n``."""
     made = df.withColumn("_h", F.expr("transform(_words, w -> xxhash64(w))")).drop("_words")
     lists = []
-    for n, mask in enumerate(masks):
+    for n, (mask, _, _) in enumerate(masks):
         picked = ", ".join(f"get(_h, i + {k})" for k, bit in enumerate(mask) if bit == "1")
-        lists.append(f"case when size(_h) >= {len(mask)} then transform(sequence(0, size(_h) - {len(mask)}), i -> xxhash64({n}, {picked})) else array() end")
+        lists.append(f"case when size(_h) > 0 then transform(sequence(0, size(_h) - 1), i -> if(i + {len(mask)} <= size(_h), xxhash64({n}, {picked}), null)) else array() end")
     rest = [c for c in df.columns if c != "_words"]
-    width = len(masks[0])
-    windows = f"greatest(_n - {width - 1}, 1)"
     spread = made.select(*rest, F.size("_h").alias("_n"), F.expr(f"concat({', '.join(lists)})").alias("_seeds"))
     # the outer form: the inner one would infer a filter on the size and compute the lists within it again
     rows = spread.select(*rest, "_n", F.posexplode_outer("_seeds").alias("_p", "_seed")).where("_seed is not null")
-    return rows.select(*rest, "_seed", F.expr(f"_p % {windows}").alias("_at"))
+    return rows.select(*rest, "_seed", F.expr("_p % _n").alias("_at"), F.expr("_p div _n").alias("_mask"), "_n")
 
 
 def leaks(
     docs: DataFrame, items: DataFrame, text: str = "text", id_col: str = "doc_id", item_text: str = "text", item_id: str = "item_id",
-    masks: tuple[str, ...] = MASKS, window: int = WINDOW, agree: int = AGREE,
+    masks: tuple[tuple[str, int, int], ...] = MASKS, window: int = WINDOW, agree: int = AGREE,
 ) -> DataFrame:
     """Documents that hold a passage of a test item: (id, item id, ``start`` word of the passage, ``matched`` words).
 
     ``matched`` is the greatest number of agreeing tokens in one window, ``start`` the first place of such a window.
-    One row per document and item. All masks have one length; items with fewer tokens are too short to tell and match
-    nothing. Null texts and ids match nothing, repeated rows change nothing, empty tables give no rows.
+    One row per document and item. Items of fewer than five tokens must agree in all of them; those without any match
+    nothing. Null texts and ids match nothing, repeated rows change nothing, empty tables give no rows. ``masks`` are
+    complete for the ``window`` and ``agree`` set here; other values need masks of their own.
     """
-    if len({len(m) for m in masks}) != 1:
-        raise ValueError("masks differ in length")
     have = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull())
     test = written(have.select(F.col(item_id).alias("_item"), tokens(item_text).alias("_words")), "items")
-    probe = written(seeds(test, masks).select("_seed", "_item", F.col("_at").alias("_of")).distinct(), "seeds")
+    # documents are hashed under the masks of those lengths only that items have
+    lengths = [r[0] for r in test.select(F.least(F.size("_words"), F.lit(9))).distinct().collect()]
+    masks = tuple(m for m in masks if any(m[1] <= n <= m[2] for n in lengths)) or masks[:1]
+    meant = " or ".join(f"_mask = {k} and _n between {least} and {most}" for k, (_, least, most) in enumerate(masks))
+    probe = written(seeds(test, masks).where(meant).select("_seed", "_item", F.col("_at").alias("_of")).distinct(), "seeds")
     if probe.count() <= BROADCAST_SEEDS:
         probe = F.broadcast(probe)
     known = docs.where(F.col(id_col).isNotNull() & F.col(text).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))

@@ -1,6 +1,7 @@
 """Text operators against brute force, round trips and odd rows."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -221,6 +222,29 @@ def test_leaks_with_replaced_words(spark):
     assert leaks.leaks(docs, item_rows.limit(0)).count() == 0
 
 
+def test_masks_hit_every_pattern_of_the_rule():
+    for n in range(1, leaks.WINDOW + 1):
+        own = [m for m, least, most in leaks.MASKS if least <= n <= most]
+        places = [{o + k for k, bit in enumerate(m) if bit == "1"} for m in own for o in range(n - len(m) + 1)]
+        for other in itertools.combinations(range(n), n * (100 - leaks.AGREE) // 100):
+            assert any(not p & set(other) for p in places), (n, other)
+
+
+def test_leaks_with_regular_changes_and_short_items(spark):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+    items = [(j, " ".join(word() for _ in range(n))) for j, n in enumerate([30, 59, 15, 16, 9, 8, 7, 6, 5, 4, 3, 2, 1])]
+    texts = []
+    for _, item in items:
+        want = item.split()
+        changed = [[w if k % 5 != 4 else word() for k, w in enumerate(want)]] if len(want) >= 15 else [[word() if k == x else w for k, w in enumerate(want)] for x in range(-1, len(want))]
+        if 15 <= len(want) <= 16:
+            changed += [[word() if k in x else w for k, w in enumerate(want)] for x in [(3, 7, 11), (2, 5, 8), (1, 6, 11)]]
+        texts += [(100 + len(texts) + k, " ".join([word() for _ in range(20)] + own + [word() for _ in range(20)])) for k, own in enumerate(changed)]
+    got = {(r.doc_id, r.item_id) for r in leaks.leaks(documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == _brute_leaks(texts, items) and {j for _, j in got} == set(range(13))
+
+
 # -- toxicity
 
 
