@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from motorpool.llm.common import written
 
-#: Neighbours kept for a node; reverse ones that join in; tables of codes, rows in a block; rounds; width of a search.
-NEIGHBOURS, REVERSE, TABLES, BLOCK, ROUNDS, BEAM = 32, 32, 10, 2048, 2, 160
+#: Neighbours kept for a node; reverse ones that join in; tables of codes, rows in a block; width of a search.
+NEIGHBOURS, REVERSE, TABLES, BLOCK, BEAM = 32, 32, 10, 2048, 160
+#: Rounds go on until one has changed less than this share of all neighbours.
+CHANGED = 0.01
 _LIST = "id bigint, near binary, score binary"
 
 
@@ -219,7 +221,21 @@ def descend(graph: DataFrame, vectors: DataFrame, longest: float, keep: int = NE
     return _best(graph.union(_sorted_by(meeting, "id").mapInArrow(meet, _LIST)), keep)
 
 
-def build(vectors: DataFrame, keep: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
+def changed(old: DataFrame, new: DataFrame) -> float:
+    """The share of the neighbours in ``new`` that are not in ``old``."""
+
+    def fresh(batches):
+        for batch in batches:
+            own = [[np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(k)] for k in (0, 1)]
+            number = [int((~np.isin(b, a)).sum()) for a, b in zip(*own, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array([len(b) for b in own[1]], pa.int64())], names=["fresh", "size"])
+
+    both = new.select("id", "near").join(old.select("id", F.col("near").alias("was")), "id", "left")
+    seen = both.select(F.coalesce("was", F.lit(b"")), "near").mapInArrow(fresh, "fresh bigint, size bigint").agg(F.sum("fresh"), F.sum("size")).first()
+    return (seen[0] or 0) / max(seen[1] or 0, 1)
+
+
+def build(vectors: DataFrame, keep: int = NEIGHBOURS, bound: float = CHANGED) -> DataFrame:
     """The neighbour graph (id, near, score) over nodes (id, vec); every node is in it."""
 
     def size(batches):
@@ -230,8 +246,10 @@ def build(vectors: DataFrame, keep: int = NEIGHBOURS, rounds: int = ROUNDS) -> D
     seen = vectors.mapInArrow(size, "square double, dims bigint").agg(F.count("*").alias("n"), F.max("square").alias("longest"), F.max("dims").alias("dims")).first()
     longest = math.sqrt(seen.longest) if seen.n else 1.0
     graph = written(start(vectors, seen.n, longest, int(seen.dims or 0), keep), "graph")
-    for _ in range(rounds if seen.n > keep + 1 else 0):
-        graph = written(descend(graph, vectors, longest, keep), "graph")
+    share = 1.0 if seen.n > keep + 1 else 0.0
+    while share >= bound:  # ends, as lists only improve
+        before, graph = graph, written(descend(graph, vectors, longest, keep), "graph")
+        share = changed(before, graph)
     return graph
 
 

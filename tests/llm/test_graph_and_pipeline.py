@@ -75,6 +75,15 @@ def test_graph_search_recall(spark):
     assert hits / (20 * 60) >= 0.9
 
 
+def test_graph_is_built_until_it_settles(spark, monkeypatch):
+    x = np.random.default_rng(2).normal(size=(4000, 16))
+    vectors = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(x)], "id long, vec binary")
+    monkeypatch.setattr(neighbours.start, "__defaults__", (neighbours.NEIGHBOURS, 1, 64))  # a poor start
+    graph = neighbours.build(vectors)
+    longest = float(np.linalg.norm(x, axis=1).max())
+    assert neighbours.changed(graph, neighbours.descend(graph, vectors, longest)) < 0.01
+
+
 def test_pipeline_keeps_columns_and_takes_effect(spark, tmp_path):
     import shutil
 
