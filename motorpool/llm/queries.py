@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorpool.llm import bpe, chat, chunks, leaks, lmscore, nearcopies, neighbours, personal, toxicity, urls
+from motorpool.llm import bpe, chat, chunks, divergence, leaks, lmscore, nearcopies, neighbours, packing, personal, toxicity, urls, whitening
 from motorpool.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
+WORD_PIECES = "word_bpe_49k.json"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,19 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0", k=20)
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_PIECES), ids=False)
+    return packed.withColumnRenamed("doc", "doc_id").drop("row")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(whitening.whitened(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_lm_difference": op2_lm_difference,
@@ -90,5 +104,8 @@ QUERIES: dict[str, Query] = {
     "op8_personal_data": op8_personal_data,
     "op9_near_copies": op9_near_copies,
     "op10_nearest": op10_nearest,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_whitening": op13_whitening,
 }
-ORACLES: dict[str, str] = {"op4_line_chunks": chunks.ORACLE}
+ORACLES: dict[str, str] = {"op4_line_chunks": chunks.ORACLE, "op12_source_divergence": divergence.ORACLE}
