@@ -20,19 +20,21 @@ from motorpool.llm.common import bound_batches, utf8, written
 
 OPEN_BINS = 4096
 SHARD = 8192
-MEMO_ENTRIES = 300_000
-SEGMENT = 1 << 20
+MEMO_ENTRIES = 400_000
+LONGEST_KEPT = 64
+WORDS_A_CALL = 2000
+SEGMENT = 2 << 20
 OUT_BYTES = 4 << 20
-_TAIL = ".,;:!?&#$*%)-"
+_TAIL = b".,;:!?&#$*%)-"
 _BLANK = [b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c"]
 
 
 class WordIds(dict):
-    """Ids of a run of bytes without ASCII white space, as little-endian 32-bit numbers, remembered by its bytes.
+    """Ids of runs of bytes without ASCII white space, as little-endian 32-bit numbers, remembered by the bytes.
 
     Cutting at ASCII white space changes no id: the tokenizer drops it and its normal form composes nothing across it.
     A run of Latin letters with marks behind it is looked up in two parts, its letters in lower case, which are the
-    tokenizer's own steps. Longer runs are not kept; a full memory starts anew.
+    tokenizer's own steps. Such words are encoded many in one call; each ends where an id has the end-of-word mark.
     """
 
     def __init__(self, path: str) -> None:
@@ -40,25 +42,74 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(path).encode
-
-    def __missing__(self, run: bytes) -> bytes:
-        text = run.decode("utf-8", "replace")
-        letters = text.rstrip(_TAIL)
-        plain = letters.isalpha() and max(letters) < "Ā"
-        if plain and len(letters) < len(text):
-            out = self[letters.lower().encode()] + self[text[len(letters) :].encode()]
-        elif plain and letters != letters.lower():
-            out = self[letters.lower().encode()]
-        else:
-            out = np.array(self._encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(run) <= 64:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[run] = out
+        loaded = Tokenizer.from_file(path)
+        self._encode = loaded.encode
+        self._last = np.zeros(loaded.get_vocab_size(), bool)
+        mark = getattr(loaded.model, "end_of_word_suffix", None)
+        for token, number in loaded.get_vocab().items():
+            self._last[number] = bool(mark) and token.endswith(mark)
+        self._joined = bool(mark)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self._encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Lower-case words of Latin letters only."""
+        for k in range(0, len(words), WORDS_A_CALL):
+            part = words[k : k + WORDS_A_CALL]
+            ids = self._ids(b" ".join(part).decode())
+            stops = (np.flatnonzero(self._last[ids]) + 1) * 4
+            if self._joined and len(stops) == len(part):
+                packed, first = ids.tobytes(), 0
+                for word, stop in zip(part, stops.tolist(), strict=True):
+                    self[word] = packed[first:stop]
+                    first = stop
+            else:
+                for word in part:
+                    self[word] = self._ids(word.decode()).tobytes()
+
+    def learn(self, runs: set[bytes]) -> None:
+        """Add ``runs``, none of which is known."""
+        composed, words = [], set()
+        for run in runs:
+            letters = run.rstrip(_TAIL)
+            if letters.isalpha():  # of bytes: ASCII letters only
+                stem = letters.lower()
+            else:
+                text = letters.decode("utf-8", "replace")
+                if not text.isalpha() or max(text) >= "Ā":
+                    self[run] = self._ids(run.decode("utf-8", "replace")).tobytes()
+                    continue
+                stem = text.lower().encode()
+            if stem not in self:
+                words.add(stem)
+            if stem != run:
+                composed.append((run, stem, run[len(letters) :]))
+        self._learn_words(list(words))
+        for run, stem, tail in composed:
+            if tail not in self:
+                self[tail] = self._ids(tail.decode()).tobytes()
+            self[run] = self[stem] + self[tail]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text. Beyond ``MEMO_ENTRIES`` only what these texts use stays in memory."""
+        runs = [_lower(text).split() for text in texts]
+        used = set().union(*runs)
+        self.learn(used - self.keys())
+        out = [b"".join(map(self.__getitem__, r)) for r in runs]
+        if len(self) > MEMO_ENTRIES:
+            kept = {run: self[run] for run in used if len(run) <= LONGEST_KEPT}
+            self.clear()
+            self.update(kept)
         return out
 
 
+def _lower(text: bytes) -> bytes:
+    """ASCII capitals made small, as the tokenizer does later; not beside accents that combine (a capital and its small
+    letter may compose differently) nor where a special token's name could arise."""
+    return text if b"\xcc" in text or b"<|" in text else text.lower()
+
+
 _WORDS: dict[str, WordIds] = {}
 
 
@@ -77,8 +128,31 @@ def _segments(text: bytes) -> Iterator[bytes]:
     yield text[first:]
 
 
-def text_ids(words: WordIds, text: bytes, end: bytes) -> bytes:
-    return b"".join([i for part in _segments(text) for i in map(words.__getitem__, part.split())] + [end])
+def text_ids(words: WordIds, texts: Iterator[bytes], end: bytes = b"") -> Iterator[bytes]:
+    """The ids of each text and then ``end``, in order; about ``SEGMENT`` bytes are encoded at once."""
+    parts, owners, size, whole, done = [], [], 0, [], 0
+
+    def encoded():
+        nonlocal parts, owners, size, whole, done
+        for owner, ids in zip(owners, words.encode(parts), strict=True):
+            while done < owner:
+                yield b"".join(whole) + end
+                whole, done = [], done + 1
+            whole.append(ids)
+        parts, owners, size = [], [], 0
+
+    n = 0
+    for text in texts:
+        for part in _segments(text):
+            parts.append(part)
+            owners.append(n)
+            size += len(part)
+            if size >= SEGMENT:
+                yield from encoded()
+        n += 1
+    yield from encoded()
+    if n:
+        yield b"".join(whole) + end
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -99,8 +173,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, do
             data, edges = utf8(batch.column(1))
             source, starts, ids, size = [], [], [], 0
             raw = data.data
-            for k in range(batch.num_rows):
-                packed = text_ids(words, raw[edges[k] : edges[k + 1]].tobytes(), end)
+            texts = (raw[edges[k] : edges[k + 1]].tobytes() for k in range(batch.num_rows))
+            for k, packed in enumerate(text_ids(words, texts, end)):
                 for at in range(0, len(packed), width):
                     source.append(k)
                     starts.append(at // 4)

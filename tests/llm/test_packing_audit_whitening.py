@@ -30,10 +30,20 @@ def test_words_remembered_one_by_one_give_the_tokenizers_ids():
     plain, rnd = Tokenizer.from_file(PATH), random.Random(2)
     words = packing.WordIds(PATH)
     parts = [*"aBcZ ßİñÉ\x0b\x0c\x1c\x85  ́èΣς' 12\t\n\r　中日😀\x00​.,!?&#$*%)-", "'s", "'LL", " the", "Ing,", "<|endoftext|>", "word", "Word.", "ÉTÉ,"]
-    for _ in range(4000):
-        text = "".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 40)))
-        got = np.frombuffer(packing.text_ids(words, text.encode(), b""), "<u4").tolist()
-        assert got == plain.encode(text, add_special_tokens=False).ids, repr(text)
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(40))) for _ in range(4000)]
+    got = list(packing.text_ids(words, (t.encode() for t in texts), b"\0\0\0\0"))
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids + [0], repr(text)
+
+
+def test_a_small_memory_changes_no_ids(monkeypatch):
+    rnd = random.Random(9)
+    texts = [" ".join("".join(rnd.choice("abcdeé") for _ in range(rnd.randrange(1, 9))) + rnd.choice(["", ",", "***"]) for _ in range(rnd.randrange(60))).encode() for _ in range(300)]
+    want = list(packing.text_ids(packing.WordIds(PATH), texts))
+    monkeypatch.setattr(packing, "MEMO_ENTRIES", 20)
+    monkeypatch.setattr(packing, "SEGMENT", 100)
+    monkeypatch.setattr(packing, "WORDS_A_CALL", 3)
+    assert list(packing.text_ids(packing.WordIds(PATH), texts)) == want
 
 
 def test_long_texts_are_cut_at_white_space(monkeypatch):
