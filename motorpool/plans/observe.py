@@ -188,3 +188,21 @@ def dataset_metadata(df: DataFrame, trip: str) -> DataFrame:
                      for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.StructType))])
     one = df.agg(F.count("*").alias("rows"), F.max(trip).alias("max_trip"), cols.alias("c"))
     return one.select("rows", "max_trip", F.explode("c").alias("c")).select("rows", "max_trip", "c.*")
+
+
+def sketches(df: DataFrame, keys: list[str], distinct: str, value: str) -> DataFrame:
+    """Stored summaries per group: rows, a sketch of the distinct values of one column (HLL) and one of the distribution
+    of another (KLL). They merge, so a roll-up reads summaries and never the rows again."""
+    return df.groupBy(*keys).agg(
+        F.count("*").alias("rows"), F.hll_sketch_agg(distinct, F.lit(14)).alias("distinct_sketch"),
+        F.kll_sketch_agg_double(F.col(value).cast("double"), 800).alias("value_sketch"),
+    )
+
+
+def rolled_up(stored: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """Rows, distinct values (about 1 % error) and quantiles (rank error about 0.5 %) from stored sketches."""
+    merged = stored.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"), F.hll_union_agg("distinct_sketch").alias("_d"), F.kll_merge_agg_double("value_sketch").alias("_v"),
+    )
+    quantiles = [F.kll_sketch_get_quantile_double("_v", F.lit(p)).alias(n) for n, p in probs.items()]
+    return merged.select(*keys, "rows", F.hll_sketch_estimate("_d").alias("distinct_values"), *quantiles)

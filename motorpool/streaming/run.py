@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from motorpool.sources.streams import file_source
 from motorpool.sources.tables import RUN, MergeTable, UpsertTable, latest_per_key, run_number
 
 
@@ -34,6 +35,10 @@ class ProgressMetrics(StreamingQueryListener):
         e["input_rate"], e["process_rate"] = p.inputRowsPerSecond, p.processedRowsPerSecond
         e["duration_ms"] = p.batchDuration
         e["backlog"] = sum(self._behind(s) for s in p.sources)
+        for row in (p.observedMetrics or {}).values():
+            kept = e.setdefault("observed", {})
+            for metric, value in row.asDict().items():
+                kept[metric] = kept.get(metric, 0) + (value or 0)
         e["last_updated"] = datetime.now(timezone.utc).isoformat()
 
     def onQueryIdle(self, event):
@@ -55,6 +60,31 @@ class ProgressMetrics(StreamingQueryListener):
         return json.dumps({"streams": self.streams})
 
 
+def counted(df: DataFrame, name: str, outcome: str, module: str, modules: list[str]) -> DataFrame:
+    """The stream with the counters of `observe.counters` per module attached to its progress events.
+
+    They are computed while the rows pass, so they cost no second pass; `ProgressMetrics` adds them up under "observed",
+    as ``<module>.<counter>``.
+    """
+    o, aggregates = F.col(outcome), []
+    for m in modules:
+        here = F.col(module) == m
+        wanted = {"attempted": here, "accepted": here & (o == "accepted"), "failed_validation": here & (o == "invalid"), "rejected": here & o.isin("invalid", "duplicate")}
+        aggregates += [F.count_if(cond).alias(f"{m}.{counter}") for counter, cond in wanted.items()]
+    return df.observe(name, *aggregates)
+
+
+def in_steps(spark: SparkSession, parts: list[DataFrame], folder: str, start: Callable[[DataFrame], object]) -> list[object]:
+    """Let ``parts`` arrive one after the other in a folder: each is written in as many files as it has partitions and
+    drained by a query that ``start`` resumes from its checkpoint, so all rows of a part share one micro-batch."""
+    queries = []
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        queries.append(start(file_source(spark, folder, part.schema)))
+        queries[-1].awaitTermination()
+    return queries
+
+
 def per_module(modules: list[str], start: Callable[[str], object]) -> tuple[dict[str, object], dict[str, Exception]]:
     """One isolated query per module: (running queries, failures); a failing start of one does not stop the others."""
     running, failed = {}, {}
@@ -70,7 +100,7 @@ def in_pool(spark: SparkSession, pool: str) -> None:
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
 
 
-def upsert_sink(df: DataFrame, table: UpsertTable | MergeTable, checkpoint: str, order: str = "seq", trigger: dict | None = None):
+def upsert_sink(df: DataFrame, table: UpsertTable | MergeTable, checkpoint: str, order: str = "seq", trigger: dict | None = None, mode: str = "append"):
     """Collapse each micro-batch to the last payload per key, then upsert; a replayed batch rewrites its own version.
 
     A version is the number of the run and the batch, so a run after a checkpoint reset goes on above the old ones.
@@ -80,7 +110,7 @@ def upsert_sink(df: DataFrame, table: UpsertTable | MergeTable, checkpoint: str,
     def write(batch: DataFrame, batch_id: int):
         table.upsert(latest_per_key(batch, table.keys, [order]), version=run * RUN + batch_id)
 
-    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    return df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def snapshot_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):

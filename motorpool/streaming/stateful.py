@@ -151,6 +151,12 @@ def health_windows(df: DataFrame, fusion: Fusion | None = None, seconds: int = 3
         "source_id", floor_seconds(F.col("ts"), seconds).alias("window_ts"), "module", "ts", "event_id", "health", F.to_json("features").alias("features")
     )
     rows = slim.groupBy("source_id").applyInPandasWithState(step, out, state_type, "append", "NoTimeout")
+    return gold_of_states(rows, fusion)
+
+
+def gold_of_states(rows: DataFrame, fusion: Fusion) -> DataFrame:
+    """Gold rows from ``source_id, window_ts, seq, cache``, the cache being JSON of module -> [health, features, id]."""
+    mods = list(fusion.weights)
     cache = F.from_json("cache", "map<string,array<string>>")
     for m in mods:
         got = F.try_element_at(cache, F.lit(m))
