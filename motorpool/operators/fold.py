@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from motorpool.functions.keys import null_safe_join
+
 _BLOCK = 64
 
 
@@ -107,7 +109,7 @@ def apply_fold(series, out: str, monoid, start: Column, inputs: dict[str, Column
         carried = per_key.select(
             *series.keys, F.explode(F.arrays_zip(F.col("_chunks")[CHUNK].alias("c"), begin.alias("s"))).alias("z")
         ).select(*series.keys, F.col("z.c").alias(CHUNK), F.col("z.s").alias("_start"))
-        parts = parts.join(carried, series.parts)
+        parts = null_safe_join(parts, carried, series.parts)
         start = F.col("_start")
     parts = parts.withColumn("_s", chained_states(F.col("_rows"), monoid, start))
     zipped = F.arrays_zip(F.col("_rows").alias("r"), unrolled(F.col("_s")).alias("s"))

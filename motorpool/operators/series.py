@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from motorpool.functions.keys import null_safe_join
 from motorpool.session import cut
 
 CHUNK = "_chunk"
@@ -85,7 +86,7 @@ def next_valid(expr: Column) -> Run:
 class Series:
     """A DataFrame with keys and a unique order inside each key.
 
-    Keys and order columns must not be NULL. Keys above ``target_rows`` are cut into chunks
+    A NULL key is a key like any other; order columns must not be NULL. Keys above ``target_rows`` are cut into chunks
     along the full order.
     """
 
@@ -135,8 +136,7 @@ class Series:
 
     @staticmethod
     def _attach(df, side, on, rows, how="left"):
-        side = small_side(side, rows)
-        return df.join(side, on, how)
+        return null_safe_join(df, side, on, how, small=rows <= BROADCAST_ROWS)
 
     @classmethod
     def bounded(cls, df, keys, order, max_rows: int, target_rows: int = TARGET_ROWS) -> Series:
@@ -188,8 +188,7 @@ class Series:
         keep = some[0]
         for cond in some[1:]:
             keep = keep | cond
-        carried = small_side(carried.filter(keep), self.n_chunks)
-        out = base.join(carried, self.parts, "left").withColumns(local)
+        out = self._attach(base, carried.filter(keep), self.parts, self.n_chunks).withColumns(local)
         out = out.withColumns({n: self._combine(r, F.col(n), F.col(f"_c_{n}")) for n, r in runs.items()})
         return self.with_df(out.drop(*[f"_c_{n}" for n in runs]))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from motorpool.operators.fold import Affine, Clamp
 from motorpool.functions import scoring
+from motorpool.functions.keys import null_safe_join
 from motorpool.operators.series import Series, following, last_valid, next_valid, previous, run_sum
 
 
@@ -117,4 +118,4 @@ def complete_blocks(s: Series, values: list[str], rows: int = 75) -> DataFrame:
     )
     total = blocks.groupBy(*s.keys).agg(F.sum("n").alias("_len"))
     keep = (F.col("n") == rows) & (F.col("holes") == 0) & (F.col("block") * rows < F.col("_len") - rows)
-    return blocks.join(total, s.keys).filter(keep).drop("n", "holes", "_len")
+    return null_safe_join(blocks, total, s.keys).filter(keep).drop("n", "holes", "_len")

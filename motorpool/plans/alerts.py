@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from motorpool.functions.keys import null_safe_join
 from motorpool.functions.numeric import round_py
 from motorpool.functions.scoring import SCORE_MAX, SCORE_MIN, score_delta
 from motorpool.operators.fold import Clamp, clamp_inputs
-from motorpool.operators.series import Series, run_sum, small_side
+from motorpool.operators.series import BROADCAST_ROWS, Series, run_sum
 from motorpool.session import cut
 
 TOP_FEATURES = 10
@@ -59,7 +60,7 @@ def summarise_excursions(s: Series, features: str | None = None) -> DataFrame:
     maps = top.groupBy(*keys, "excursion").agg(
         F.map_from_entries(F.collect_list(F.struct("feature", round_py(F.col("total"), 4)))).alias("top_10_features")
     )
-    return out.join(maps, [*keys, "excursion"], "left")
+    return null_safe_join(out, maps, [*keys, "excursion"], "left")
 
 
 def alert_id(keys: list[str], ts: str) -> Column:
@@ -139,7 +140,7 @@ def traceback(alerts: DataFrame, bronze: DataFrame, key: str, alert: str, peak:
     # Alerts are used three times; written once, they are also cheap to count.
     alerts = cut(alerts.select(key, alert, peak))
     vehicles = alerts.select(key).distinct()
-    bronze = bronze.join(small_side(vehicles, vehicles.count()), key, "left_semi")
+    bronze = null_safe_join(bronze, vehicles, [key], "left_semi", small=vehicles.count() <= BROADCAST_ROWS)
     marks = alerts.select(
         key, F.col(peak).cast(kinds[ts]).alias(ts), *[F.lit(None).cast(kinds[c]).alias(c) for c in order[1:]],
         F.lit(1).alias("_mark"), F.col(alert).cast("string").alias("_alert"),
@@ -151,9 +152,9 @@ def traceback(alerts: DataFrame, bronze: DataFrame, key: str, alert: str, peak:
     spans = ends.withColumn(
         "_block", F.explode(F.sequence(F.floor(F.greatest(F.col("_end") - rows, F.lit(0)) / rows), F.floor(F.greatest(F.col("_end") - 1, F.lit(0)) / rows)))
     )
-    spans = small_side(spans, 2 * alerts.count())
     placed = Series(bronze, [key], order, **kw).indexed("_pos").result().withColumn("_block", F.floor(F.col("_pos") / rows))
-    hit = placed.join(spans, [key, "_block"]).filter((F.col("_pos") < F.col("_end")) & (F.col("_pos") >= F.col("_end") - rows))
+    few = 2 * alerts.count() <= BROADCAST_ROWS
+    hit = null_safe_join(placed, spans, [key, "_block"], small=few).filter((F.col("_pos") < F.col("_end")) & (F.col("_pos") >= F.col("_end") - rows))
     return hit.withColumn("pos", F.col("_pos") - F.greatest(F.col("_end") - rows, F.lit(0))).drop("_block", "_pos", "_end")
 
 

@@ -87,19 +87,18 @@ def newer_than(df: DataFrame, column: str, last, limit: int | None = None, ties:
 
 
 def read_capped(df: DataFrame, column: str, ties: tuple[str, ...], last, limit: int, path: str) -> DataFrame:
-    """Capped reads one after another, each from the mark the one before left, until nothing is newer.
+    """All rows after the mark as capped reads, oldest first: folder ``part=i`` below ``path`` holds the i-th ``limit`` rows.
 
-    Every read is one folder below ``path``; the driver only sees the last row of each. ``column`` and ``ties``
-    together must order the rows uniquely and hold no NULL.
+    The rows are numbered once in the order of ``column`` and ``ties``, which must be unique; no read scans the table
+    again. Rows without a time have no place in that order: they are kept in ``part=-1``.
     """
-    spark, rest, part = df.sparkSession, (), 0
-    while True:
-        at = f"{path}/part={part}"
-        newer_than(df, column, last, limit, ties, rest).write.mode("overwrite").parquet(at)
-        end = spark.read.schema(df.schema).parquet(at).agg(F.count("*").alias("n"), F.max(F.struct(column, *ties)).alias("end")).first()
-        if not end.n:
-            return spark.read.schema(df.schema).parquet(*[f"{path}/part={i}" for i in range(part + 1)])
-        last, rest, part = end.end[column], tuple(end.end[c] for c in ties), part + 1
+    later = df.filter(F.col(column) > F.lit(last)).withColumn("_all", F.lit(0))
+    numbered = Series(later, ["_all"], [column, *ties]).indexed("_pos").result()
+    parts = numbered.withColumn("part", F.floor(F.col("_pos") / limit).cast("int")).drop("_all", "_pos")
+    untimed = df.filter(F.col(column).isNull()).withColumn("part", F.lit(-1))
+    share = F.when(F.col("part") < 0, F.pmod(F.xxhash64(*ties), F.lit(64))).otherwise(0)
+    parts.unionByName(untimed).repartition("part", share).write.mode("overwrite").partitionBy("part").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def newer_per_key(df: DataFrame, marks: DataFrame, keys: list[str], column: str, tie: str, cap: int | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from motorpool.functions.keys import null_safe_join
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Last row per key; the rank limit is applied before the shuffle as well."""
@@ -15,13 +17,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def unseen(df: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key was not seen before; repeats of a seen key are combined before the shuffle."""
-    return df.join(seen.select(*keys).distinct(), keys, "left_anti").select(*df.columns)
+    """Rows whose key was not seen before; repeats of a seen key are combined before the shuffle. NULL is a key."""
+    return null_safe_join(df, seen.select(*keys).distinct(), keys, "left_anti").select(*df.columns)
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Update-all / insert-all: updates win, untouched rows stay. ``updates`` has unique keys."""
-    kept = target.join(updates.select(*keys), keys, "left_anti")
+    """Update-all / insert-all: updates win, untouched rows stay. ``updates`` has unique keys; NULL is one of them."""
+    kept = null_safe_join(target, updates.select(*keys), keys, "left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
@@ -103,7 +105,7 @@ def merge_into(spark: SparkSession, table: str, updates: DataFrame, keys: list[s
     """MERGE for catalogs whose table format supports row-level updates."""
     view = f"_updates_{uuid.uuid4().hex}"
     updates.createOrReplaceTempView(view)
-    on = " AND ".join(f"t.{k} = u.{k}" for k in keys)
+    on = " AND ".join(f"t.{k} <=> u.{k}" for k in keys)
     session = updates.sparkSession
     session.sql(
         f"MERGE INTO {table} t USING {view} u ON {on} WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"

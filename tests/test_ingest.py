@@ -135,6 +135,24 @@ def test_capped_reads_lose_no_row_of_one_time(spark, tmp_path):
     df = spark.createDataFrame([(1, i) for i in range(1, 8)] + [(2, 8)], "t int, id long")
     got = files.read_capped(df, "t", ("id",), 0, 2, str(tmp_path / "out"))
     assert sorted(r.id for r in got.collect()) == list(range(1, 9))
+    parts = spark.read.parquet(str(tmp_path / "out")).groupBy("part").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    assert {r.part: r.ids for r in parts.collect()} == {0: [1, 2], 1: [3, 4], 2: [5, 6], 3: [7, 8]}
+
+
+def test_capped_reads_keep_rows_without_a_time_apart(spark, tmp_path):
+    df = spark.createDataFrame([(i if i % 5 else None, i) for i in range(50)], "t int, id long")
+    got = files.read_capped(df, "t", ("id",), 10, 7, str(tmp_path / "out"))
+    assert sorted(r.id for r in got.collect()) == [i for i in range(50) if i % 5 == 0 or i > 10]
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out/part=-1")).collect()) == list(range(0, 50, 5))
+
+
+def test_upserts_of_a_null_key_replace_it(spark):
+    from motorpool.sources.tables import unseen, upsert
+
+    old = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    new = spark.createDataFrame([(None, 9), ("b", 3)], "k string, v int")
+    assert sorted(((r.k, r.v) for r in upsert(old, new, ["k"]).collect()), key=str) == [("a", 2), ("b", 3), (None, 9)]
+    assert [(r.k, r.v) for r in unseen(new, old, ["k"]).collect()] == [("b", 3)]
 
 
 def test_default_messages(spark):

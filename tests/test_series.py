@@ -18,7 +18,7 @@ from motorpool.operators.series import (
 def skewed(spark, n=1500, seed=1):
     rnd = random.Random(seed)
     rows = [
-        (rnd.choice("abbbb"), i // 3, i, rnd.choice([20.0, 5.0, -10.0]), rnd.random() if rnd.random() < 0.7 else None) for i in range(n)
+        (rnd.choice(["a", "b", "b", "b", None, None]), i // 3, i, rnd.choice([20.0, 5.0, -10.0]), rnd.random() if rnd.random() < 0.7 else None) for i in range(n)
     ]
     return rows, spark.createDataFrame(rows, "k string, t long, i long, d double, v double")
 
@@ -98,8 +98,16 @@ def test_percentiles_by_selection(spark, keys):
     probs = {"p05": 0.05, "p50": 0.5, "p995": 0.995, "lo": 0.0, "hi": 1.0}
     plain = exact_percentiles(df, keys, "v", probs)
     picked = exact_percentiles(df, keys, "v", probs, limit=10, accuracy=200)
-    rnd = lambda d: sorted(tuple(round(x, 12) if isinstance(x, float) else x for x in r) for r in d.collect())
-    assert rnd(plain) == rnd(picked)
+    rnd = lambda d: sorted((tuple(round(x, 12) if isinstance(x, float) else x for x in r) for r in d.collect()), key=str)
+    assert rnd(plain) == rnd(picked) and len(rnd(plain)) == (3 if keys else 1)
+
+
+def test_percentiles_of_nan_and_of_nothing(spark):
+    rows = [("a", float("nan")), ("a", 1.0), ("a", 2.0), ("a", 4.0), (None, 3.0), (None, None), ("empty", None)] + [("n", float("nan"))] * 5
+    df = spark.createDataFrame(rows, "k string, v double")
+    probs = {"p0": 0.0, "p40": 0.4, "p50": 0.5, "p90": 0.9, "p100": 1.0}
+    show = lambda d: sorted((str(tuple(r)) for r in d.collect()))
+    assert show(exact_percentiles(df, ["k"], "v", probs)) == show(exact_percentiles(df, ["k"], "v", probs, limit=1, accuracy=100))
 
 
 def test_percentiles_of_mostly_equal_values(spark):
