@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from motorpool.llm import bpe, chat, chunks, leaks, lmscore, nearcopies, personal, toxicity, urls
 
@@ -137,50 +138,89 @@ def test_superminhash_estimates():
 
 
 def _brute_chunks(texts):
-    spacing, long = chunks.SPACING, chunks.LONG_WORDS
-    count = lambda s: len(re.findall(r"[^ \t\r\n]+", s))
-    parts = {}
+    words = lambda s: len(re.findall(r"[^ \t\r\n]+", s))
+    places = []
+    for i, text in texts:
+        lines = (text or "").split("\n")
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
+        roll = {k: h[k - 1] * 31 + h[k] for k in range(1, len(lines))}
+        for k, line in enumerate(lines):
+            if words(line) >= chunks.LONG_WORDS:
+                places.append((i, k, k, line))
+            if k and words(lines[k - 1] + "\n" + line):
+                long = max(len(line), len(lines[k - 1])) >= chunks.LINE_CHARS
+                least = roll[k] < roll.get(k - 1, -1) or roll[k] <= roll.get(k + 1, -1)
+                if long or least or k in (1, len(lines) - 1):
+                    places.append((i, k - 1, k, lines[k - 1] + "\n" + line))
+    seen, marked = set(), {}
+    for i, f, k, part in sorted(places, key=lambda p: (p[0], p[2])):
+        if part in seen:
+            marked.setdefault(i, set()).update((f, k))
+        seen.add(part)
+    out = {}
     for i, text in texts:
         if text is None:
             continue
-        lines = text.split("\n")
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-        alone = [len(x) >= 2 * long - 1 and count(x) >= long for x in lines]
-        own, start = [], 0
-        for k in range(len(lines)):
-            if k == len(lines) - 1 or alone[k] or alone[k + 1] or ((h[k - 1] * 31 if k else 0) + h[k]) % spacing == 0:
-                own.append("\n".join(lines[start : k + 1]))
-                start = k + 1
-        parts[i] = own
-    seen, out = set(), {}
-    for i in sorted(parts):
-        kept = []
-        for p in parts[i]:
-            may = len([x for x in p.split("\n") if x.strip(" \t\r")]) >= 2 or count(p) >= long
-            if may and p in seen:
-                continue
-            seen.add(p)
-            kept.append(p)
-        out[i] = ("\n".join(kept), len(parts[i]), len(parts[i]) - len(kept))
+        lines, gone = text.split("\n"), set()
+        for k in sorted(marked.get(i, ())):
+            run = [k]
+            while run[-1] + 1 in marked[i]:
+                run.append(run[-1] + 1)
+            if k - 1 not in marked[i] and sum(words(lines[x]) for x in run) >= chunks.LONG_WORDS:
+                gone.update(run)
+        out[i] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), len(lines), len(gone))
     return out
 
 
-def test_repeated_chunks_are_removed(spark):
+@pytest.mark.parametrize("ids", [0, 1_000_000])
+def test_repeated_chunks_are_removed(spark, ids, monkeypatch):
+    monkeypatch.setattr(chunks, "BROADCAST_IDS", ids)
     rnd = random.Random(9)
     line = lambda: " ".join(rnd.choice("abcdefghij") * 3 for _ in range(rnd.randint(1, 9)))
     passage, block = " ".join(f"p{k}" for k in range(60)), "\n".join(line() for _ in range(30))
-    texts = [(i, "\n".join([line() for _ in range(rnd.randint(1, 8))] + ([passage] if i % 3 == 0 else []) + ([block] if i % 4 == 0 else []) + [line()])) for i in range(10, 40)]
+    common = [line() for _ in range(6)]
+    texts = [(i, "\n".join([line() for _ in range(rnd.randint(1, 8))] + rnd.choices(common, k=rnd.randrange(9)) + ([passage] if i % 3 == 0 else []) + ([block] if i % 4 == 0 else []) + [line()])) for i in range(10, 40)]
+    texts += [(50, "\n".join(["same line again and again"] * 40)), (51, block), (52, "\n\n\n")]
     texts += [x for x in ODD if x[0] not in (6, None)]
-    out = {r.doc_id: r for r in chunks.drop_repeated(documents(spark, texts + [ODD[5], ODD[6], ODD[7]])).collect() if r.doc_id is not None}
+    clash = documents(spark, texts + [ODD[5], ODD[6], ODD[7]]).withColumnsRenamed({"doc": "ident", "lead": "marks"}).withColumn("runs", F.lit(1))
+    rows = chunks.drop_repeated(clash).collect()
+    assert len(rows) == len(texts) + 3 and {(r.ident, r.marks, r._h, r.runs) for r in rows} == {(1, "l", "h", 1)}
+    out = {r.doc_id: r for r in rows if r.doc_id is not None}
     want = _brute_chunks(texts)
     for i, row in want.items():
-        assert (out[i].text, out[i].n_chunks, out[i].n_removed) == row
-    assert out[1].text is None and out[1].n_chunks == 0 and out[6].text == "one two"
+        assert (out[i].text, out[i].n_lines, out[i].n_removed) == row
+    assert out[1].text is None and out[1].n_lines == 0 and out[6].text == "one two" and out[51].text == ""
     assert sum(passage in r.text for r in out.values() if r.text) == 1
-    assert sum(r.n_removed for r in out.values()) > 20
     assert chunks.drop_repeated(documents(spark, [])).count() == 0
 
 
+def test_planted_passages_go_whole(spark):
+    """Not by the rule: passages of 2 to 20 lines stand in two documents each, with other lines around them."""
+    rnd = random.Random(12)
+    fresh = iter(range(10**6))
+    line = lambda n: " ".join(f"w{next(fresh)}" for _ in range(n))
+    texts, planted = [], {}
+    for size in range(2, 21):
+        for case in range(6):
+            n = rnd.randint(max(18, -(-51 // size)), 30) if case < 4 else -(-60 // size)
+            passage = [line(n) for _ in range(size)]
+            for copy in range(2):
+                i = 1000 * size + 10 * case + copy
+                texts.append((i, "\n".join([line(rnd.randint(1, 20)) for _ in range(rnd.randrange(5))] + passage + [line(rnd.randint(1, 20)) for _ in range(rnd.randrange(5))])))
+                planted[i] = passage
+    out = {r.doc_id: r.text for r in chunks.drop_repeated(documents(spark, texts)).collect()}
+    left = total = 0
+    for i, text in texts:
+        words = set(" ".join(planted[i]).split())
+        kept = set(out[i].split())
+        if i % 10 == 0:
+            assert out[i] == text
+        else:
+            assert set(text.split()) - words <= kept
+            left, total = left + len(words & kept), total + len(words)
+    assert left / total < 0.01
+
+
 # -- benchmark leaks
 
 
