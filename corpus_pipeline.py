@@ -24,9 +24,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated chunks of lines. A document all of whose chunks stand elsewhere goes; one that was empty stays."""
+    """Texts without repeated passages. A document of which only blank lines are left goes; one that was blank stays. Rows
+    without an id and null texts stay as they are; rows that repeat an id are one document."""
     out = chunks.drop_repeated(docs)
-    return out.where("n_removed = 0 or n_removed < n_chunks").select(*docs.columns).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.where("n_removed = 0 or text rlike '[^ \\\\t\\\\r\\\\n]'").select(*docs.columns).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
