@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,14 @@ def bound_batches(spark: SparkSession, size: str = "16m") -> None:
         spark.conf.set(key, size)
 
 
+def return_memory() -> None:
+    """Let this worker give the memory of freed arrays back to the system, where its C library has that choice: workers
+    live as long as the executor, and what they hold counts beside its heap."""
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):
+        libc.mallopt(-3, 1 << 19)  # M_MMAP_THRESHOLD: larger blocks are mapped on their own and unmapped when freed
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of a splittable generator; a bijection, so distinct inputs stay distinct."""
     h = (h ^ (h >> np.uint64(30))) * _M1
@@ -56,7 +65,7 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
-        size = max(n, SLICE_BYTES * 2)
+        size = 1 << (n - 1).bit_length()
         for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -116,3 +125,20 @@ def word_hashes(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.nda
         return np.zeros(0, np.uint64), np.zeros(len(edges), np.int64)
     start, stop = word_spans(text, local)
     return span_hasher(text)(start, stop), np.searchsorted(start, local)
+
+
+def grouped(batches, key: int = 0) -> Iterator[pa.Table]:
+    """Tables that hold whole groups of ``key`` from batches sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(key).to_numpy(zero_copy_only=False)
+        last = int(np.searchsorted(values, values[-1], side="left"))
+        if last > 0:
+            held.append(batch.slice(0, last))
+            yield pa.Table.from_batches(held)
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)

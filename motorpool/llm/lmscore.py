@@ -20,8 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorpool.llm.common import bound_batches, mix, slices, stream, utf8, word_hashes, written
-from motorpool.llm.neighbours import _grouped
+from motorpool.llm.common import bound_batches, grouped, mix, return_memory, slices, stream, utf8, word_hashes, written
 
 #: Words that smoothing allows for at least; a corpus with more words allows for all of them.
 WORDS = 1 << 16
@@ -56,7 +55,7 @@ def _tokens(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray
     before = np.zeros(len(here), np.uint64)
     before[1:] = here[:-1]
     before[at[:-1][number > 0]] = 0
-    return here, before, mix(here * _PAIR[0] + mix(before * _PAIR[1])), np.repeat(np.arange(len(number)), number)
+    return here, before, mix(here * _PAIR[0] + mix(before * _PAIR[1])), np.repeat(np.arange(len(number), dtype=np.int32), number)
 
 
 class _Chunk:
@@ -67,19 +66,23 @@ class _Chunk:
 
     def __init__(self, data: np.ndarray, edges: np.ndarray, side: np.ndarray):
         here, before, pair, self.row = _tokens(data, edges)
-        n, self.mine = len(here), side[self.row].astype(np.int64)
+        n, self.mine = len(here), side[self.row].astype(np.int8)
         self.words, places = np.unique(np.concatenate([here, before[before == 0][:1]]), return_inverse=True)
-        self.here = places[:n]
-        self.before = np.zeros(n, np.int64)  # the start of a text is hash 0, which sorts first
+        self.here = places[:n].astype(np.int32)
+        del places
+        self.before = np.zeros(n, np.int32)  # the start of a text is hash 0, which sorts first
         self.before[1:] = self.here[:-1]
         self.before[before == 0] = 0
-        self.pairs, self.pair = np.unique(pair, return_inverse=True)
+        del here, before
+        self.pairs, places = np.unique(pair, return_inverse=True)
+        self.pair = places.astype(np.int32)
+        del places, pair
         self.word_n = np.concatenate([_count(self.here, self.mine, len(self.words)), _count(self.before, self.mine, len(self.words))], axis=1)
         self.pair_n = _count(self.pair, self.mine, len(self.pairs))
 
 
 def _count(key: np.ndarray, side: np.ndarray, size: int) -> np.ndarray:
-    return np.bincount(key * 2 + side, minlength=2 * size).reshape(size, 2)
+    return np.bincount(key.astype(np.int64) * 2 + side, minlength=2 * size).reshape(size, 2)
 
 
 def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -98,6 +101,7 @@ def pack(sided: DataFrame, kind: str, size: int = CHUNK) -> DataFrame:
     """Rows (id, text, side) as chunks of about ``size`` bytes of text, one text at least."""
 
     def run(batches):
+        return_memory()
         task, number, held, weight = TaskContext.get().partitionId(), 0, [], 0
 
         def chunk() -> pa.RecordBatch:
@@ -131,6 +135,7 @@ def counts(packed: DataFrame, ranges: int) -> DataFrame:
     """Rows (range, chunk): the chunk's words and pairs in a range of hashes, with their counts."""
 
     def run(batches):
+        return_memory()
         for batch in batches:
             for k, number in enumerate(batch.column(0).to_pylist()):
                 own = _opened(batch, k)
@@ -168,7 +173,8 @@ def sums(counted: DataFrame) -> DataFrame:
     """Rows (chunk, range) with what :func:`_summed` returns, and per range a row without chunk: distinct words, and words of each side."""
 
     def run(batches):
-        for table in _grouped(batches):
+        return_memory()
+        for table in grouped(batches):
             ranges, chunks = table.column("range").to_numpy(), table.column("chunk").to_pylist()
             cuts = np.append(np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1])), len(ranges))
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -191,7 +197,7 @@ def sums(counted: DataFrame) -> DataFrame:
 
 def _per_row(row: np.ndarray, key: np.ndarray, width: int) -> np.ndarray:
     """How often each word's key stands in its own row."""
-    _, inverse, number = np.unique(row * width + key, return_inverse=True, return_counts=True)
+    _, inverse, number = np.unique(row.astype(np.int64) * width + key, return_inverse=True, return_counts=True)
     return number[inverse]
 
 
@@ -253,7 +259,8 @@ def score(docs: DataFrame, targets: DataFrame, text: str = "text", id_col: str =
     vocabulary, totals = max(WORDS, whole[0] or 0), [float(whole[1] or 0), float(whole[2] or 0)]
 
     def run(batches):
-        for table in _grouped(batches):
+        return_memory()
+        for table in grouped(batches):
             chunk = table.column("chunk").to_numpy()
             cuts = np.append(np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])), len(chunk))
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):

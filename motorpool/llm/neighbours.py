@@ -9,83 +9,71 @@ same length. Equal vectors are one node. Rows carry packed arrays, so numpy work
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorpool.llm.common import written
+from motorpool.llm.common import grouped, written
 
 #: Neighbours kept for a node; reverse ones that join in; tables of codes, rows in a block; width of a search.
 NEIGHBOURS, REVERSE, TABLES, BLOCK, BEAM = 32, 32, 10, 2048, 160
 #: Rounds go on until one has changed less than this share of all neighbours.
 CHANGED = 0.01
-_LIST = "id bigint, near binary, score binary"
+_LIST = "id bigint, near binary, score binary, fresh binary"
+#: Offers that a task merges before it sends them.
+HELD = 1 << 19
+#: Queries that meet one block of nodes in one task.
+ASKED = 8192
 
 
 def _f8(x: pa.Scalar) -> np.ndarray:
     return np.frombuffer(x.as_buffer(), np.float64)
 
 
-def _grouped(batches, key: int = 0) -> Iterator[pa.Table]:
-    """Tables that hold whole groups of ``key`` from batches sorted by it."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = batch.column(key).to_numpy(zero_copy_only=False)
-        last = int(np.searchsorted(values, values[-1], side="left"))
-        if last > 0:
-            held.append(batch.slice(0, last))
-            yield pa.Table.from_batches(held)
-            held = []
-        held.append(batch.slice(last))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _sorted_by(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key)
 
 
-def _pick(owner: np.ndarray, near: np.ndarray, score: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per owner the ``keep`` best distinct (near, score), best first, ties to the smaller id."""
+def _pick(owner: np.ndarray, near: np.ndarray, score: np.ndarray, fresh: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
+    """Per owner the ``keep`` best distinct (near, score, fresh), best first, ties to the smaller id. A pair that is met
+    several times has its best score, and is fresh only if it is so everywhere."""
+    order = np.lexsort((-score, near, owner))
+    owner, near, score, fresh = owner[order], near[order], score[order], fresh[order]
+    once = np.ones(len(owner), bool)
+    once[1:] = (owner[1:] != owner[:-1]) | (near[1:] != near[:-1])
+    at = np.flatnonzero(once)
+    owner, near, score, fresh = owner[at], near[at], score[at], np.minimum.reduceat(fresh, at) if len(at) else fresh
     order = np.lexsort((near, -score, owner))
-    owner, near, score = owner[order], near[order], score[order]
-    first = np.unique(np.stack([owner, near]), axis=1, return_index=True)[1] if len(owner) else np.zeros(0, np.int64)
-    first.sort()
-    owner, near, score = owner[first], near[first], score[first]
-    rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
-    own = rank < keep
-    return owner[own], near[own], score[own]
+    rank = np.arange(len(owner)) - np.searchsorted(owner, owner)  # owners are sorted alike in both orders
+    own = order[rank < keep]
+    return owner[own], near[own], score[own], fresh[own]
 
 
-def _unpack(table: pa.Table, near: str = "near", score: str = "score", key: str = "id"):
-    lists = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column(near)]
-    scores = [np.frombuffer(x.as_buffer(), np.float32) for x in table.column(score)]
-    owner = np.repeat(table.column(key).to_numpy(), [len(x) for x in lists])
-    return owner, np.concatenate(lists), np.concatenate(scores).astype(np.float64)
+def _unpack(table: pa.Table):
+    lists = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("near")]
+    scores = [np.frombuffer(x.as_buffer(), np.float32) for x in table.column("score")]
+    marks = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("fresh")]
+    owner = np.repeat(table.column("id").to_numpy(), [len(x) for x in lists])
+    return owner, np.concatenate(lists), np.concatenate(scores).astype(np.float64), np.concatenate(marks)
 
 
-def _pack(owner: np.ndarray, near: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+def _pack(owner: np.ndarray, near: np.ndarray, score: np.ndarray, fresh: np.ndarray) -> pa.RecordBatch:
     ids, at = np.unique(owner, return_index=True)
     ends = np.append(at[1:], len(owner))
+    values = [near.astype(np.int64), score.astype(np.float32), fresh.astype(np.uint8)]
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids), pa.array([near[i:j].astype(np.int64).tobytes() for i, j in zip(at, ends, strict=True)], pa.binary()),
-            pa.array([score[i:j].astype(np.float32).tobytes() for i, j in zip(at, ends, strict=True)], pa.binary()),
-        ],
-        names=["id", "near", "score"],
+        [pa.array(ids), *[pa.array([v[i:j].tobytes() for i, j in zip(at, ends, strict=True)], pa.binary()) for v in values]],
+        names=["id", "near", "score", "fresh"],
     )
 
 
 def _best(lists: DataFrame, keep: int) -> DataFrame:
-    """Merge rows of (id, near, score) into one row per id."""
+    """Merge rows of lists into one row per id."""
 
     def run(batches):
-        for table in _grouped(batches):
+        for table in grouped(batches):
             yield _pack(*_pick(*_unpack(table), keep))
 
     return _sorted_by(lists, "id").mapInArrow(run, _LIST)
@@ -131,7 +119,7 @@ def start(vectors: DataFrame, count: int, longest: float, dims: int, keep: int =
     dealt = coded.join(sizes, "code").withColumn("code", F.xxhash64("code", F.pmod(F.xxhash64("id", "code"), F.col("split"))))
 
     def within(batches):
-        for table in _grouped(batches):
+        for table in grouped(batches):
             code = table.column("code").to_numpy()
             edges = np.append(np.flatnonzero(np.append(True, code[1:] != code[:-1])), len(code))
             for a, b in zip(edges[:-1], edges[1:], strict=True):
@@ -146,9 +134,9 @@ def start(vectors: DataFrame, count: int, longest: float, dims: int, keep: int =
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids), pa.array([n.tobytes() for n in ids[top]], pa.binary()),
-                        pa.array([n.tobytes() for n in np.take_along_axis(s, top, 1)], pa.binary()),
+                        pa.array([n.tobytes() for n in np.take_along_axis(s, top, 1)], pa.binary()), pa.array([b"\1" * few] * len(ids), pa.binary()),
                     ],
-                    names=["id", "near", "score"],
+                    names=["id", "near", "score", "fresh"],
                 )
 
     return _best(_sorted_by(dealt, "code").mapInArrow(within, _LIST), keep)
@@ -160,22 +148,25 @@ def _lengthened(x: np.ndarray, longest: float) -> np.ndarray:
 
 
 def edges(graph: DataFrame, reverse: int = REVERSE) -> DataFrame:
-    """(id, near): neighbours in both directions, of the reverse ones ``reverse`` at most, chosen by hash."""
+    """(id, near, fresh): neighbours in both directions, of the reverse ones ``reverse`` at most, chosen by hash."""
 
     def flat(batches):
         for batch in batches:
             if batch.num_rows:
-                owner, near, _ = _unpack(pa.Table.from_batches([batch]))
-                yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(near)], names=["id", "near"])
+                owner, near, _, fresh = _unpack(pa.Table.from_batches([batch]))
+                yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(near), pa.array(fresh > 0)], names=["id", "near", "fresh"])
 
-    forward = written(graph.mapInArrow(flat, "id bigint, near bigint"), "edges")
+    forward = written(graph.mapInArrow(flat, "id bigint, near bigint, fresh boolean"), "edges")
     order = Window.partitionBy("near").orderBy(F.xxhash64("id", "near"), "id")
-    back = forward.withColumn("r", F.row_number().over(order)).where(f"r <= {reverse}").select(F.col("near").alias("id"), F.col("id").alias("near"))
-    return forward.union(back).distinct()
+    back = forward.withColumn("r", F.row_number().over(order)).where(f"r <= {reverse}").select(F.col("near").alias("id"), F.col("id").alias("near"), "fresh")
+    return forward.union(back).groupBy("id", "near").agg(F.max("fresh").alias("fresh"))
 
 
 def descend(graph: DataFrame, vectors: DataFrame, longest: float, keep: int = NEIGHBOURS, offer: int = 6) -> DataFrame:
-    """One round: at every node its neighbours meet, and each is offered those of the others that beat its worst one."""
+    """One round: at every node its neighbours meet, and each is offered those of the others that beat its worst one.
+
+    Two neighbours meet only if one of them is fresh, that is, came in with the last round; all others have met.
+    """
 
     def coded(batches):  # vectors as signed bytes: only the order of scores matters while the graph is built
         for batch in batches:
@@ -192,46 +183,57 @@ def descend(graph: DataFrame, vectors: DataFrame, longest: float, keep: int = NE
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.float32())], names=["near", "bar"])
 
     small = vectors.mapInArrow(coded, "near bigint, code binary, scale float").join(graph.mapInArrow(worst, "near bigint, bar float"), "near", "left")
-    meeting = edges(graph).join(small, "near").select("id", "near", "code", "scale", F.coalesce("bar", F.lit(float("-inf"))).alias("bar"))
+    meeting = edges(graph).join(small, "near").select("id", "near", "code", "scale", F.coalesce("bar", F.lit(float("-inf"))).alias("bar"), "fresh")
 
     def meet(batches):
-        for table in _grouped(batches):
-            at = table.column("id").to_numpy()
+        out, held = ([], [], []), 0
+
+        def merged():
+            owner, other, value = (np.concatenate(o) for o in out)
+            return _pack(*_pick(owner, other, value, np.ones(len(owner), np.uint8), keep))
+
+        for table in grouped(batches):
+            at, new = table.column("id").to_numpy(), table.column("fresh").to_numpy()
             near, bar = table.column("near").to_numpy(), table.column("bar").to_numpy()
             x = np.stack([np.frombuffer(v.as_buffer(), np.int8) for v in table.column("code")]).astype(np.float32) * table.column("scale").to_numpy()[:, None]
             cuts = np.append(np.flatnonzero(np.append(True, at[1:] != at[:-1])), len(at))
-            out = ([], [], [])
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 few = min(offer, b - a - 1)
-                if few < 1:
+                if few < 1 or not new[a:b].any():
                     continue
                 s = x[a:b] @ x[a:b].T
+                s[~(new[a:b, None] | new[None, a:b])] = -np.inf  # these two have met
                 np.fill_diagonal(s, -np.inf)
                 top = np.argpartition(-s, few - 1, axis=1)[:, :few]
                 value = np.take_along_axis(s, top, 1)
-                good = value > bar[a:b, None]
+                good = value > np.maximum(bar[a:b, None], np.float32(-3e38))
                 out[0].append(np.repeat(near[a:b], good.sum(axis=1)))
                 out[1].append(near[a:b][top[good]])
                 out[2].append(value[good])
-            if out[0]:
-                owner, other, value = (np.concatenate(o) for o in out)
-                if len(owner):
-                    yield _pack(*_pick(owner, other, value, keep))
+                held += len(out[0][-1])
+                if held >= HELD:
+                    yield merged()
+                    out, held = ([], [], []), 0
+        if held:
+            yield merged()
+
+    def met(batches):
+        for batch in batches:
+            seen = pa.array([bytes(len(x.as_buffer()) // 8) for x in batch.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], seen], names=["id", "near", "score", "fresh"])
 
-    return _best(graph.union(_sorted_by(meeting, "id").mapInArrow(meet, _LIST)), keep)
+    return _best(graph.mapInArrow(met, _LIST).union(_sorted_by(meeting, "id").mapInArrow(meet, _LIST)), keep)
 
 
-def changed(old: DataFrame, new: DataFrame) -> float:
-    """The share of the neighbours in ``new`` that are not in ``old``."""
+def changed(graph: DataFrame) -> float:
+    """The share of fresh neighbours: those that the last round brought in."""
 
     def fresh(batches):
         for batch in batches:
-            own = [[np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(k)] for k in (0, 1)]
-            number = [int((~np.isin(b, a)).sum()) for a, b in zip(*own, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array([len(b) for b in own[1]], pa.int64())], names=["fresh", "size"])
+            marks = [np.frombuffer(x.as_buffer(), np.uint8) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([int(m.sum()) for m in marks], pa.int64()), pa.array([len(m) for m in marks], pa.int64())], names=["fresh", "size"])
 
-    both = new.select("id", "near").join(old.select("id", F.col("near").alias("was")), "id", "left")
-    seen = both.select(F.coalesce("was", F.lit(b"")), "near").mapInArrow(fresh, "fresh bigint, size bigint").agg(F.sum("fresh"), F.sum("size")).first()
+    seen = graph.select("fresh").mapInArrow(fresh, "fresh bigint, size bigint").agg(F.sum("fresh"), F.sum("size")).first()
     return (seen[0] or 0) / max(seen[1] or 0, 1)
 
 
@@ -248,8 +250,8 @@ def build(vectors: DataFrame, keep: int = NEIGHBOURS, bound: float = CHANGED) ->
     graph = written(start(vectors, seen.n, longest, int(seen.dims or 0), keep), "graph")
     share = 1.0 if seen.n > keep + 1 else 0.0
     while share >= bound:  # ends, as lists only improve
-        before, graph = graph, written(descend(graph, vectors, longest, keep), "graph")
-        share = changed(before, graph)
+        graph = written(descend(graph, vectors, longest, keep), "graph")
+        share = changed(graph)
     return graph
 
 
@@ -264,11 +266,13 @@ def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, beam: int =
     blocks = max(1, math.ceil(count / block))
     placed = written(vectors.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks))), "placed")
     links = written(edges(graph).select(F.col("id").alias("node"), "near"), "links")
+    salts = max(1, math.ceil(queries.count() / ASKED))
+    copies = placed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
     def ask(found: DataFrame) -> DataFrame:
         """(q, qvec, id): score each once and return lists per query and block."""
         wanted = found.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks))).groupBy("b", "q").agg(F.collect_set("id").alias("ids"))
-        wanted = wanted.join(queries.select("q", "qvec"), "q")
+        wanted = wanted.join(queries.select("q", "qvec"), "q").withColumn("salt", F.pmod(F.xxhash64("q"), F.lit(salts)).cast("int"))
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
             out = {"q": [], "near": [], "score": []}
@@ -285,11 +289,11 @@ def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, beam: int =
                     out["score"].append(score[best].tobytes())
             return pa.table({"q": pa.array(out["q"], pa.int64()), "near": pa.array(out["near"], pa.binary()), "score": pa.array(out["score"], pa.binary())})
 
-        return wanted.groupBy("b").cogroup(placed.groupBy("b")).applyInArrow(run, "q bigint, near binary, score binary")
+        return wanted.groupBy("b", "salt").cogroup(copies.groupBy("b", "salt")).applyInArrow(run, "q bigint, near binary, score binary")
 
     def merge(batches):
         """Lists of one query, old (with the nodes expanded so far) and new: the best ``beam`` and what is not expanded."""
-        for table in _grouped(batches):
+        for table in grouped(batches):
             q = table.column("q").to_numpy()
             cuts = np.append(np.flatnonzero(np.append(True, q[1:] != q[:-1])), len(q))
             out = ([], [], [], [])

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from motorpool.llm.common import _LOWER, bound_batches, mix, slices, span_hasher, stream, utf8, word_spans
@@ -22,6 +22,10 @@ STEMS = (4, 5, 6)
 BUCKETS = 1 << 18
 #: A feature is used if it stands in so many of the fitted documents.
 MIN_DOCS = 8
+#: Bytes of text the model is fitted on, at most, one document at least; in the same order as the rows.
+FIT_BYTES = 64 << 20
+#: Bytes of text looked at together, one text at least: the arrays over single bytes stay small.
+SLICE = 1 << 18
 _END = np.zeros(256, bool)
 _END[[10, 33, 46, 63]] = True  # line feed ! . ?
 _MARK = _END.copy()
@@ -38,9 +42,9 @@ def sentence_words(data: np.ndarray, edges: np.ndarray, buckets: int = BUCKETS)
     """
     base = edges[0]
     text, local = data[base : edges[-1]], edges - base
-    closes = _END[text].astype(np.int64)
-    number = np.cumsum(closes) - closes  # of the sentence each byte belongs to
-    row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    closes = _END[text]
+    number = np.cumsum(closes, dtype=np.int32) - closes  # of the sentence each byte belongs to
+    row = np.repeat(np.arange(len(edges) - 1, dtype=np.int32), np.diff(edges))
     clean = np.where(_MARK[text], np.uint8(32), _LOWER[text])
     from_, to = word_spans(clean, local)
     if not len(from_):
@@ -94,17 +98,22 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
 
     An id with several labels has the greater. Null ids, labels and texts are not used. With one class only, or none,
     the model scores everything the same: close to that class, or 0.5 without any row. The sample of ids has at most
-    ``rows`` rows and is broadcast to the scan of the texts, which are not shuffled.
+    ``rows`` rows and ``FIT_BYTES`` of text and is broadcast to the scan of the texts, which are not shuffled.
     """
     one = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_i")).agg(F.max(label).cast("int").alias("_y"))
-    chosen = F.broadcast(one.orderBy(F.xxhash64("_i"), "_i").limit(rows))
-    sample = docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("_i"), F.col(text).alias("_t")).join(chosen, "_i")
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("_i"), F.col(text).alias("_t"))
+    chosen = one.orderBy(F.xxhash64("_i"), "_i").limit(rows)
+    sizes = texts.select("_i", F.octet_length("_t").alias("_n")).join(F.broadcast(chosen), "_i").groupBy("_i").agg(F.max("_n").cast("long").alias("_n"), F.max("_y").alias("_y"))
+    upto = F.sum("_n").over(Window.orderBy(F.xxhash64("_i"), "_i"))  # over ``rows`` rows at most
+    chosen = sizes.withColumn("_upto", upto).where((F.col("_upto") <= FIT_BYTES) | (F.col("_upto") == F.col("_n"))).select("_i", "_y")
+    # rows that repeat an id are one document: the greatest text counts
+    sample = texts.join(F.broadcast(chosen), "_i").groupBy("_i").agg(F.max("_t").alias("_t"), F.max("_y").alias("_y"))
     bound_batches(docs.sparkSession)
 
     def features(batches):
         for batch in batches:
             data, edges = utf8(batch.column(1))
-            for first, last in slices(edges):
+            for first, last in slices(edges, SLICE):
                 bucket, sentence, where, _, _ = sentence_words(data, edges[first : last + 1])
                 of = where[sentence] if len(where) else where
                 cuts = np.searchsorted(of, np.arange(last - first + 1))
@@ -127,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
     seen = np.zeros(BUCKETS, np.int64)
     for x in table.column("bucket"):
         seen[np.unique(np.frombuffer(x.as_buffer(), "<i4"))] += 1
-    used = seen >= MIN_DOCS
+    used = seen >= min(MIN_DOCS, max(2, len(y) // 50))
     slot = (np.cumsum(used) - 1).astype(np.int32)
     f_parts, s_parts, row_parts, n = [], [], [], 0
     for r, (x, z) in enumerate(zip(table.column("bucket"), table.column("sentence"), strict=True)):
@@ -167,7 +176,7 @@ def _scored(batch: pa.RecordBatch, column: int, model: Model):
     """Per slice of the batch: its first row, scores, and the sentences' row, start, end and logit."""
     data, edges = utf8(batch.column(column))
     empty = -np.expm1(-_softplus(np.array(model.bias)))
-    for first, last in slices(edges):
+    for first, last in slices(edges, SLICE):
         bucket, sentence, where, start, end = sentence_words(data, edges[first : last + 1])
         n = last - first
         logits = model.sentences(bucket, sentence, len(where))

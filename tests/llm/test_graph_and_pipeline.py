@@ -81,7 +81,29 @@ def test_graph_is_built_until_it_settles(spark, monkeypatch):
     monkeypatch.setattr(neighbours.start, "__defaults__", (neighbours.NEIGHBOURS, 1, 64))  # a poor start
     graph = neighbours.build(vectors)
     longest = float(np.linalg.norm(x, axis=1).max())
-    assert neighbours.changed(graph, neighbours.descend(graph, vectors, longest)) < 0.01
+    again = neighbours.descend(graph, vectors, longest)
+    assert neighbours.changed(graph) < 0.01 and neighbours.changed(again) < 0.01
+    lists = {r.id: (np.frombuffer(r.near, np.int64), np.frombuffer(r.score, np.float32)) for r in again.collect()}
+    assert len(lists) > 3900  # one table of small blocks leaves a few nodes alone
+    assert all(len(set(n)) == len(n) == 32 and i not in n and (np.diff(s) <= 0).all() for i, (n, s) in lists.items())
+
+
+def test_the_best_of_several_lists():
+    pick = neighbours._pick(np.array([2, 1, 2, 2, 1]), np.array([7, 5, 7, 4, 6]), np.array([0.5, 0.1, 0.6, 0.6, 0.2]), np.array([0, 1, 1, 1, 1], np.uint8), 2)
+    assert [x.tolist() for x in pick] == [[1, 1, 2, 2], [6, 5, 4, 7], [0.2, 0.1, 0.6, 0.6], [1, 1, 1, 0]]
+    assert all(len(x) == 0 for x in neighbours._pick(*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.uint8), 3))
+
+
+def test_searches_are_salted_by_query(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ASKED", 7)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.normal(size=6)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got: dict[int, list] = {}
+    for r in neighbours.nearest(df, "id % 20 = 0", k=20).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    want = _brute(rows, range(0, 400, 20), 20)
+    assert {q: [i for i, _ in v] for q, v in want.items()} == got
 
 
 def test_pipeline_keeps_columns_and_takes_effect(spark, tmp_path):
