@@ -23,7 +23,7 @@ NEIGHBOURS, REVERSE, TABLES, BLOCK, BEAM = 32, 32, 10, 2048, 160
 CHANGED = 0.01
 _LIST = "id bigint, near binary, score binary, fresh binary"
 #: Offers that a task merges before it sends them.
-HELD = 1 << 19
+HELD = 1 << 20
 #: Queries that meet one block of nodes in one task.
 ASKED = 8192
 
