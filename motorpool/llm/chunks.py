@@ -40,8 +40,9 @@ def chunk_places(docs: DataFrame, text: str, line_chars: int = LINE_CHARS, long_
 
 def _repeated(base: DataFrame, line_chars: int, long_words: int) -> DataFrame:
     """(_id, _lines): the lines of each document that stand in a chunk which occurred before, ascending."""
-    places = chunk_places(base, "_text", line_chars, long_words).select("_id", F.inline("_chunks").alias("f", "i", "h"))
-    places = written(places, "places")
+    # a plain inline would have a filter on its input's size pushed below the steps, which then run once per line
+    places = chunk_places(base, "_text", line_chars, long_words).select("_id", F.inline_outer("_chunks").alias("f", "i", "h"))
+    places = written(places.where("h is not null"), "places")
     first = places.groupBy("h").agg(F.min(F.struct("_id", "i")).alias("a"), F.count("*").alias("n")).where("n > 1")
     again = places.join(first, "h").select("_id", F.struct("i", "f", "h", F.expr("_id = a._id and i = a.i").alias("lead")).alias("c"))
     listed = written(again.groupBy("_id").agg(F.collect_set("c").alias("list")), "listed")
@@ -49,7 +50,7 @@ def _repeated(base: DataFrame, line_chars: int, long_words: int) -> DataFrame:
     near = base.join(F.broadcast(ids), "_id", "left_semi") if ids.count() <= BROADCAST_IDS else base
     texts = near.join(listed, "_id").withColumn("_split", F.split("_text", "\n", -1))
     part = "transform(list, c -> struct(c.i, c.f, c.h, c.lead, array_join(slice(_split, c.f + 1, c.i - c.f + 1), '\\n') as part))"
-    texts = written(texts.select("_id", F.inline(F.expr(part))), "passages")
+    texts = written(texts.select("_id", F.inline_outer(F.expr(part))), "passages")
     keeper = texts.where("lead").select("h", F.col("part").alias("same")).dropDuplicates(["h"])
     compared = texts.where("not lead").join(keeper, "h")
     seen = compared.where("part = same").select("_id", "f", "i")
@@ -80,11 +81,12 @@ def drop_repeated(
     rows = rows.withColumn("lines", F.split(F.col("row").getField(text), "\n", -1))
     first, last = "filter(m, (x, k) -> k = 0 or get(m, k - 1) <> x - 1)", "filter(m, (x, k) -> k = size(m) - 1 or get(m, k + 1) <> x + 1)"
     words = f"regexp_count(array_join(slice(lines, r.s + 1, r.e - r.s + 1), '\\n'), {_WORD})"
-    rows = rows.withColumn("runs", F.expr(f"filter(zip_with({first}, {last}, (s, e) -> struct(s, e)), r -> {words} >= {long_words})"))
+    rows = rows.withColumn("runs", F.expr(f"filter(zip_with({first}, {last}, (s, e) -> struct(s, e)), r -> {words} >= {long_words})")).withColumn("pin", F.spark_partition_id())
     # what stands before the first run, between the runs and after the last one
     rest = "flatten(transform(sequence(0, size(runs)), j -> slice(lines, coalesce(get(runs, j - 1).e, -1) + 2, coalesce(get(runs, j).s, size(lines)) - coalesce(get(runs, j - 1).e, -1) - 1)))"
-    out = rows.withColumn("kept", F.expr(f"case when lines is not null and size(runs) > 0 then array_join({rest}, '\\n') else row.`{text}` end"))
-    removed = F.expr("aggregate(runs, 0L, (n, r) -> n + r.e - r.s + 1)")
+    # the caller's filters on the results stay above a step with a partition id, and so do not repeat what is below
+    out = rows.withColumn("kept", F.expr(f"case when pin >= 0 and lines is not null and size(runs) > 0 then array_join({rest}, '\\n') else row.`{text}` end"))
+    removed = F.expr("case when pin >= 0 then aggregate(runs, 0L, (n, r) -> n + r.e - r.s + 1) end")
     return out.select(
         *[F.col("kept").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns],
         F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"), F.coalesce(removed, F.lit(0)).alias("n_removed"),
