@@ -19,6 +19,10 @@ ORDER = 4
 BROADCAST_GRAMS = 300_000
 #: One labelled URL in so many is held back to calibrate the limit.
 HOLD_BACK = 4
+#: Characters of a URL that are cut into grams at once.
+BLOCK = 256
+#: In a shuffled join, grams above this share (one in so many) of all are spread over so many salts.
+HOT, SALTS = 1000, 64
 _START = "\x02"
 _END = "\x03"
 
@@ -49,46 +53,69 @@ def matched(host_: F.Column, path_: F.Column, rules: list[tuple[str, str]]) -> t
 
 
 def _grams(urls: DataFrame, order: int) -> DataFrame:
-    """A row per character of ``u`` and its end mark: the context of ``order`` characters and the character, as ``g``."""
-    padded = F.concat(F.lit(_START * order), F.col("u"), F.lit(_END))
+    """A row per character of ``u`` and its end mark: the context of ``order`` characters and the character, as ``g``.
+    Long URLs are cut into overlapping blocks first, so that no character is looked up from the start of its URL."""
     rest = [c for c in urls.columns if c != "u"]
-    spots = F.sequence(F.lit(1), F.length("u") + 1)
-    return urls.select(*rest, padded.alias("_p"), F.explode_outer(spots).alias("_i")).select(*rest, F.substring("_p", F.col("_i"), F.lit(order + 1)).alias("g"))
+    padded = F.concat(F.lit(_START * order), F.col("u"), F.lit(_END))
+    blocks = F.explode(F.sequence(F.lit(0), F.floor(F.length("u") / BLOCK).cast("int")))
+    cut = urls.select(*rest, padded.alias("_p"), blocks.alias("_b")).select(*rest, F.substring("_p", F.col("_b") * BLOCK + 1, F.lit(BLOCK + order)).alias("_p"))
+    spots = F.explode(F.sequence(F.lit(1), F.length("_p") - order))
+    return cut.select(*rest, "_p", spots.alias("_i")).select(*rest, F.substring("_p", F.col("_i"), F.lit(order + 1)).alias("g"))
 
 
 def fit(labelled: DataFrame, wanted: DataFrame, order: int = ORDER) -> DataFrame:
     """(g, gain) for every distinct gram of ``wanted``: log P(accepted) - log P(rejected) of its last character.
 
-    ``labelled`` has the URLs ``u`` and ``good`` (boolean), repeated URLs count as often as they occur.
+    ``labelled`` has the URLs ``u`` and ``good`` (boolean), repeated URLs count as often as they occur. The distinct
+    endings of the grams are mixed length by length, each from the ending that is one character shorter. So a join key
+    has at most one row per character of the alphabet, however common the character or the context is.
     """
     counted = written(_grams(labelled.select("good", "u"), order).groupBy("good", "g").agg(F.count("*").alias("n")), "grams")
     symbols = counted.select(F.substring("g", order + 1, 1)).distinct().count() + 1
     # every gram at every length, counted for both sides at once; its length tells the order of its context
     level = F.explode(F.sequence(F.lit(0), F.lit(order))).alias("k")
-    ending = F.substring("g", F.lit(order + 1) - F.col("k"), F.col("k") + 1)
+    ending = F.substring("g", F.lit(order + 1) - F.col("k"), F.col("k") + 1).alias("gk")
     one = lambda side: F.coalesce(F.sum(F.when(F.col("good") == side, F.col("n"))), F.lit(0))
-    seen = counted.select("good", "n", "g", level).groupBy(ending.alias("gk")).agg(one(True).alias("n1"), one(False).alias("n0"))
-    seen = written(seen, "seen")
-    context = seen.groupBy(F.expr("substring(gk, 1, length(gk) - 1)").alias("ck")).agg(
+    seen = written(counted.select("good", "n", "g", level).select("good", "n", ending).groupBy("gk").agg(one(True).alias("n1"), one(False).alias("n0")), "seen")
+    before = F.expr("substring(gk, 1, length(gk) - 1)").alias("ck")
+    context = seen.groupBy(before).agg(
         F.sum("n1").alias("all1"), F.count_if(F.col("n1") > 0).alias("kinds1"), F.sum("n0").alias("all0"), F.count_if(F.col("n0") > 0).alias("kinds0")
     )
-    rows = wanted.select("g", level).select("g", "k", ending.alias("gk"), F.substring("g", F.lit(order + 1) - F.col("k"), F.col("k")).alias("ck"))
-    rows = rows.join(seen, "gk", "left").join(context, "ck", "left").na.fill(0)
-    levels = rows.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("k", "n1", "n0", "all1", "kinds1", "all0", "kinds0"))).alias("levels"))
+    endings = wanted.select("g", level).select(ending).distinct().select("gk", before)
+    stats = written(endings.join(seen, "gk", "left").join(context, "ck", "left").na.fill(0), "endings")
 
     def mixed(side: str) -> F.Column:
-        step = f"if(x.all{side} > 0, (x.n{side} + x.kinds{side} * p) / (x.all{side} + x.kinds{side}), p)"
-        return F.expr(f"aggregate(levels, {1.0 / symbols!r}D, (p, x) -> {step})")
+        total, kinds, p = F.col(f"all{side}"), F.col(f"kinds{side}"), F.col(f"p{side}")
+        return F.when(total > 0, (F.col(f"n{side}") + kinds * p) / (total + kinds)).otherwise(p)
 
-    return levels.select("g", (F.log(mixed("1")) - F.log(mixed("0"))).alias("gain"))
+    shorter = None
+    for k in range(order + 1):
+        own = stats.where(F.length("gk") == k + 1)
+        if shorter is None:
+            own = own.withColumns({"p1": F.lit(1.0 / symbols), "p0": F.lit(1.0 / symbols)})
+        else:
+            own = own.withColumn("tail", F.expr("substring(gk, 2)")).join(shorter.withColumnRenamed("gk", "tail"), "tail")
+        shorter = own.select("gk", mixed("1").alias("p1"), mixed("0").alias("p0"))
+    return shorter.select(F.col("gk").alias("g"), (F.log("p1") - F.log("p0")).alias("gain"))
 
 
 def scores(urls: DataFrame, gains: DataFrame, order: int = ORDER) -> DataFrame:
-    """(u, score) for every distinct URL: the mean gain of its characters and end mark."""
-    if gains.count() <= BROADCAST_GRAMS:
-        gains = F.broadcast(gains)
+    """(u, score) for every distinct URL: the mean gain of its characters and end mark.
+
+    Beyond ``BROADCAST_GRAMS`` the join is by shuffle; grams that are more than one in ``HOT`` of all (so fewer than
+    ``HOT``) are spread over ``SALTS`` tasks there.
+    """
     rows = _grams(urls.select("u", F.col("u").alias("url")), order)
-    return rows.join(gains, "g").groupBy(F.col("url").alias("u")).agg(F.round(F.avg("gain"), 9).alias("score"))
+    if gains.count() <= BROADCAST_GRAMS:
+        rows = rows.join(F.broadcast(gains), "g")
+    else:
+        total = urls.agg(F.sum(F.length("u") + 1)).first()[0]
+        hot = written(rows.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") * HOT > total).select("g", F.lit(SALTS).alias("salts")), "hot")
+        spread = lambda df: df.join(F.broadcast(hot), "g", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+        rows = spread(rows).withColumn("salt", F.pmod(F.xxhash64("url"), F.col("salts")).cast("int"))
+        copies = spread(gains).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        rows = rows.drop("salts").join(copies.drop("salts"), ["g", "salt"])
+    return rows.groupBy(F.col("url").alias("u")).agg(F.round(F.avg("gain"), 9).alias("score"))
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -119,14 +146,14 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url", id_c
     """Every row of ``pages``: its id, ``host``, ``path``, ``rule``, ``verdict`` and ``score``.
 
     A rule that fits decides; it also labels the URL for the models. Other URLs are allowed if their score reaches
-    the calibrated limit. The models see the URL after ``://`` in lower case, up to ? or #. Null and empty URLs score
-    as the empty text. Repeated rows get equal results; extra columns are not read. Without rows of both labels the
+    the calibrated limit. The models see the whole URL in lower case, after ``://`` where it has one. Null and empty URLs
+    score as the empty text. Repeated rows get equal results; extra columns are not read. Without rows of both labels the
     score is 0 for all and what no rule fits is allowed.
     """
     base = pages.select(F.col(id_col).alias("_id"), F.col(url).alias("_url"))
-    parts = base.select("_id", host(F.col("_url")).alias("host"), path(F.col("_url")).alias("path"))
+    parts = base.select("_id", host(F.col("_url")).alias("host"), path(F.col("_url")).alias("path"), F.coalesce(_rest(F.col("_url")), F.col("_url"), F.lit("")).alias("seen"))
     rule, verdict = matched(F.col("host"), F.col("path"), rules)
-    ruled = written(parts.withColumns({"rule": rule, "says": verdict, "u": F.concat("host", F.lower("path"))}), "urls")
+    ruled = written(parts.withColumns({"rule": rule, "says": verdict, "u": F.lower("seen")}).drop("seen"), "urls")
     distinct = ruled.select("u").distinct()
     labelled = ruled.where("says is not null").select((F.col("says") == "allow").alias("good"), "u")
     held = F.crc32("u") % HOLD_BACK == 0

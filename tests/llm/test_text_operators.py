@@ -459,6 +459,30 @@ def test_url_model_is_witten_bell(spark):
     assert all(abs(got[g] - _brute_gain(labelled, g, 2)) < 1e-9 for g in grams)
 
 
+def test_url_model_sees_the_whole_url(spark):
+    rnd = random.Random(5)
+    labelled = [(f"http://a{i}.com/x?q={rnd.choice(['good', 'fine'])}{i}", f"http://example.com/en/{i}?q={rnd.choice(['spam', 'junk'])}{i}") for i in range(60)]
+    rows = [u for pair in labelled for u in pair] + ["http://b.org/1?q=good", "http://b.org/1?q=spam", "b.org/fine", "b.org/junk", "http://b.org/" + "spam/" * 20_000]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {r.page_id: r for r in urls.judge(pages, [("allow", "com/"), ("block", "example.com/en/")]).collect()}
+    free = [got[i] for i in range(120, 125)]
+    assert free[0].score > free[1].score and free[2].score > free[3].score and (free[2].host, free[2].path) == ("", "")
+    assert free[4].verdict == "block"
+
+
+def test_url_scores_by_shuffle_are_the_same(spark, monkeypatch):
+    texts = spark.createDataFrame([(f"www.{w}{i}.com/{'x' * (i % 700)}",) for i in range(120) for w in ("good", "spam")] + [("",)], "u string")
+    labelled = texts.withColumn("good", F.col("u").contains("good"))
+    gains = urls.fit(labelled, urls._grams(texts, 3).select("g").distinct(), 3).cache()
+    near = {r.u: r.score for r in urls.scores(texts, gains, 3).collect()}
+    monkeypatch.setattr(urls, "BROADCAST_GRAMS", 0)
+    far = {r.u: r.score for r in urls.scores(texts, gains, 3).collect()}
+    assert len(near) == 241 and near.keys() == far.keys() and all(abs(near[u] - far[u]) < 1e-8 for u in near)
+    padded = "\x02" * 3 + "www.good699" + "x" * 600 + "\x03"
+    one = spark.createDataFrame([(padded[3:-1],)], "u string")
+    assert sorted(r.g for r in urls._grams(one, 3).collect()) == sorted(padded[i : i + 4] for i in range(len(padded) - 3))
+
+
 # -- chat
 
 
