@@ -192,7 +192,7 @@ def nearest_road(points: DataFrame, roads: DataFrame, id_cols: list[str], cell:
     """Nearest road of each point at any distance; ties keep all roads, without any road the type is ``unknown``.
 
     ``roads(road_id, fclass, seq, lon, lat)``; roads whose box lies outside the box of all points widened by
-    ``margin`` take no part. Segments are entered into all grid cells within ``cell`` of their box, so a point needs
+    ``margin`` take no part. Segments are entered into the grid cells within ``cell`` of them, so a point needs
     only its own cell: one equi-join, no pairwise search. Points that no segment is near enough to are tried again
     with cells four times as wide, until all have a road. Points that share a position are matched once.
     """
@@ -224,13 +224,27 @@ def nearest_road(points: DataFrame, roads: DataFrame, id_cols: list[str], cell:
     return out.select(*id_cols, "road_id", F.coalesce("fclass", F.lit("unknown")).alias("road_type"), F.col("d").alias("road_dist"))
 
 
+def cells_along(seg: DataFrame, cell: float) -> DataFrame:
+    """``seg`` with the grid cells ``cx``, ``cy`` that hold every point within ``cell`` of it.
+
+    The grid is walked column by column: in each, only the part of the segment that a point of the column can be near to
+    says which cells it enters, so their number grows with the segment's length and not with the area of its box.
+    """
+    wide = cell * (1 + 1e-6)  # more than the rounding of coordinates
+    lo = lambda a, b: F.floor((F.least(a, b) - wide) / cell)
+    hi = lambda a, b: F.floor((F.greatest(a, b) + wide) / cell)
+    x1, y1, x2, y2, cx = (F.col(c) for c in ("x1", "y1", "x2", "y2", "cx"))
+    columns = seg.withColumn("cx", F.explode(F.sequence(lo(x1, x2), hi(x1, x2))))
+    at = lambda x: F.greatest(F.least(y1, y2), F.least(F.greatest(y1, y2), y1 + (x - x1) * (y2 - y1) / F.nullif(x2 - x1, F.lit(0.0))))
+    left, right = F.greatest(F.least(x1, x2), cx * cell - wide), F.least(F.greatest(x1, x2), (cx + 1) * cell + wide)
+    steep = F.abs(x2 - x1) < cell * 1e-3
+    first, last = F.when(steep, y1).otherwise(at(left)), F.when(steep, y2).otherwise(at(right))
+    return columns.withColumn("cy", F.explode(F.sequence(lo(first, last), hi(first, last))))
+
+
 def _within(spots: DataFrame, seg: DataFrame, cell: float) -> DataFrame:
-    """Nearest roads of the spots that have one within ``cell``; a segment lies in every cell within ``cell`` of its box."""
-    lo = lambda a, b: F.floor((F.least(a, b) - cell) / cell)
-    hi = lambda a, b: F.floor((F.greatest(a, b) + cell) / cell)
-    cells = seg.withColumn("cx", F.explode(F.sequence(lo(F.col("x1"), F.col("x2")), hi(F.col("x1"), F.col("x2"))))).withColumn(
-        "cy", F.explode(F.sequence(lo(F.col("y1"), F.col("y2")), hi(F.col("y1"), F.col("y2"))))
-    )
+    """Nearest roads of the spots that have one within ``cell``."""
+    cells = cells_along(seg, cell)
     placed = spots.withColumns({"cx": F.floor(F.col("lon") / cell), "cy": F.floor(F.col("lat") / cell)})
     d = geo.segment_distance(*[F.col(c) for c in ("lon", "lat", "x1", "y1", "x2", "y2")])
     per_road = (

@@ -185,6 +185,22 @@ def test_nearest_road_is_brute_force(spark):
         assert got[i] == (best[1], f"c{best[1] % 3}")
 
 
+def test_cells_along_a_segment_hold_all_near_points_and_grow_with_its_length(spark):
+    rnd, cell = random.Random(8), 0.01
+    ends = [(77.0, 28.0, 78.0, 29.0), (77.5, 28.0, 77.5, 29.0), (77.0, 28.3, 78.0, 28.3), (77.2, 28.2, 77.2, 28.2), (77.3, 28.9, 77.300001, 28.1),
+            (77.9, 28.1, 77.85, 28.9)] + [tuple(rnd.uniform(77, 78) for _ in range(4)) for _ in range(10)]
+    seg = spark.createDataFrame([(i, *e) for i, e in enumerate(ends)], "road_id int, x1 double, y1 double, x2 double, y2 double")
+    cells = {}
+    for r in T.cells_along(seg, cell).collect():
+        cells.setdefault(r.road_id, []).append((r.cx, r.cy))
+    for i, (x1, y1, x2, y2) in enumerate(ends):
+        assert len(set(cells[i])) == len(cells[i]) <= 16 + 4 * (abs(x2 - x1) + abs(y2 - y1)) / cell
+        for _ in range(500):
+            u, turn, far = rnd.random(), rnd.uniform(0, 2 * math.pi), rnd.choice([rnd.random(), 0.999999])
+            x, y = x1 + u * (x2 - x1) + far * cell * math.cos(turn), y1 + u * (y2 - y1) + far * cell * math.sin(turn)
+            assert (math.floor(x / cell), math.floor(y / cell)) in cells[i]
+
+
 def test_far_points_have_a_road_too(spark):
     p = spark.createDataFrame([(1, 77.0, 28.0), (2, 77.05, 28.0), (3, 79.5, 28.0), (4, None, 28.0)], "id long, lon double, lat double")
     rd = spark.createDataFrame([(7, "a", 0, 77.0, 28.0), (7, "a", 1, 77.0, 28.001), (8, "b", 0, 95.0, 28.0), (8, "b", 1, 95.0, 28.1)], "road_id long, fclass string, seq int, lon double, lat double")
