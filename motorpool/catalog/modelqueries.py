@@ -93,6 +93,32 @@ def _(t: Tables):
     )
 
 
+@query(
+    "m5_sensor_policy_error", views=["v_bronze"],
+    sql=f"""WITH b AS (SELECT {_BSEL}, ts, price, tax, CASE WHEN source_id % 7 NOT IN (1, 2) THEN qty END AS qty, CASE WHEN source_id % 7 <> 2 THEN disc END AS disc FROM v_bronze),
+        g AS (SELECT *, 3 - least(count(qty) OVER k, 1) - least(count(disc) OVER k, 1) - least(count(tax) OVER k, 1) AS gone FROM b WINDOW k AS (PARTITION BY source_id)),
+        st AS (SELECT avg(qty) AS mq, stddev_pop(qty) AS sq, avg(disc) AS md, stddev_pop(disc) AS sd, avg(tax) AS mt, stddev_pop(tax) AS s_t FROM g WHERE gone <= 1),
+        e AS (SELECT g.*, (coalesce(power((qty - mq) / sq, 2), 0) + coalesce(power((disc - md) / sd, 2), 0) + coalesce(power((tax - mt) / s_t, 2), 0)) / 3 AS e
+          FROM g, st WHERE gone <= 1),
+        n AS (SELECT *, sum(e) OVER f AS s, count(*) OVER f AS c, first_value(e) OVER f AS e0 FROM e
+          WINDOW f AS (PARTITION BY source_id ORDER BY ts, okey, line, pkey, price ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))
+        SELECT {_BSEL}, price, CASE WHEN gone > 0 THEN 'mask' ELSE 'ok' END AS action, round((s + (30 - c) * e0) / 30, 6) AS error FROM n
+        UNION ALL SELECT {_BSEL}, price, 'abort', NULL FROM g WHERE gone > 1""",
+)
+def _(t: Tables):
+    """Some vehicles lack one sensor, which is masked, some two, which sets them apart without an error."""
+    feats, kind = ["qty", "disc", "tax"], F.col("source_id") % 7
+    rows = t.bronze_series(*feats).df
+    rows = rows.withColumns({"qty": F.when(~kind.isin(1, 2), F.col("qty")), "disc": F.when(kind != 2, F.col("disc"))})
+    fit, apart = M.by_sensors(rows, ["source_id"], feats, most=1)
+    scaler = M.fit_scaler(fit, feats)
+    s = W.impute(Series(fit, ["source_id"], t.BRONZE_ORDER), scaler.mean)
+    s = s.with_df(M.residuals(scaler.apply(s.df), scaler.features, [[0.0]] * 3, F.col("masked")))
+    out = M.window_error(s, scaler.features).result()
+    keep = [*_BID, "price", "action"]
+    return out.select(*keep, r6(F.col("error")).alias("error")).unionByName(apart.select(*keep, F.lit(None).cast("double").alias("error")))
+
+
 @query("m6_soft_label_classifiers")
 def _(t: Tables):
     """One classifier per code on augmented data; a code with an unknown feature is skipped."""

@@ -16,9 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motorpool.functions import hashing, numeric, scoring
+from motorpool.functions.keys import null_safe_join
 from motorpool.operators import windows as W
 from motorpool.operators.quantiles import exact_percentiles
-from motorpool.operators.series import Series, run_count
+from motorpool.operators.series import BROADCAST_ROWS, Series, run_count
+from motorpool.operators.validate import sensor_policy
+from motorpool.session import cut
 
 SEQUENCE_LENGTH = 30
 TOP_RESIDUALS = 8
@@ -75,8 +78,27 @@ def fit_components(scaled: DataFrame, features: list[str], k: int) -> list[list[
     return [[float(x) for x in row] for row in pc]
 
 
-def residuals(df: DataFrame, features: list[str], components: list[list[float]], masked: tuple[str, ...] = ()) -> DataFrame:
-    """Squared residual ``r_<feature>`` of the projection on the components; masked features count 0."""
+def by_sensors(df: DataFrame, keys: list[str], features: list[str], most: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(rows to score, rows set apart): a key without any value of a feature lacks that sensor.
+
+    Keys that lack more than ``most`` are set apart whole; the others get the sensors they lack as the array
+    ``masked``. Both frames have it, and ``action``: ok, mask or abort. NULL is a key.
+    """
+    seen = F.array_compact(F.array(*[F.when(F.count(f) > 0, F.lit(f)) for f in features]))
+    action, missing = sensor_policy(F.array(*[F.lit(f) for f in features]), F.col("_seen"), most)
+    found = df.groupBy(*keys).agg(seen.alias("_seen")).select(*keys, action.alias("action"), missing.alias("masked"))
+    lacking = cut(found.where("action <> 'ok'"))
+    rows = null_safe_join(df, lacking, keys, "left", small=lacking.count() <= BROADCAST_ROWS)
+    rows = rows.withColumns({"action": F.coalesce("action", F.lit("ok")), "masked": F.coalesce("masked", F.array().cast("array<string>"))})
+    return rows.where("action <> 'abort'"), rows.where("action = 'abort'")
+
+
+def residuals(df: DataFrame, features: list[str], components: list[list[float]], masked: tuple[str, ...] | Column = ()) -> DataFrame:
+    """Squared residual ``r_<feature>`` of the projection on the components; masked features count 0.
+
+    ``masked`` is the same for all rows, or a column with an array of names.
+    """
+    hidden = masked if isinstance(masked, Column) else F.array(*[F.lit(f) for f in masked]).cast("array<string>")
     k = len(components[0])
     dot = lambda weights, cols: sum((F.lit(w) * c for w, c in zip(weights, cols)), F.lit(0.0))
     z = [F.col(f"z_{f}") for f in features]
@@ -85,7 +107,7 @@ def residuals(df: DataFrame, features: list[str], components: list[list[float]],
     out = {}
     for i, f in enumerate(features):
         gap = z[i] - dot(components[i], p)
-        out[f"r_{f}"] = F.lit(0.0) if f in masked else gap * gap
+        out[f"r_{f}"] = F.when(F.array_contains(hidden, f), 0.0).otherwise(gap * gap)
     return df.withColumns(out).drop(*[f"_p{j}" for j in range(k)])
 
 
@@ -171,7 +193,7 @@ class ModuleModel:
         return self.scaler.features
 
 
-def raw_scores(s: Series, model: ModuleModel, masked: tuple[str, ...] = ()) -> Series:
+def raw_scores(s: Series, model: ModuleModel, masked: tuple[str, ...] | Column = ()) -> Series:
     """Imputed and scaled rows with residuals, windowed error and log-density."""
     s = W.impute(s, {f: model.scaler.mean[f] for f in model.features})
     s = s.with_df(residuals(model.scaler.apply(s.df), model.features, model.components, masked))
@@ -189,13 +211,13 @@ def fit_module(s: Series, features: list[str], k: int = 2, mixture_k: int = 3, s
 
 
 def calibrate(s: Series, model: ModuleModel) -> ModuleModel:
-    scores = raw_scores(s, model).df.select("error", "log_density")
+    scores = cut(raw_scores(s, model).df.select("error", "log_density"))
     model.error = exact_percentiles(scores, [], "error", ERROR_PROBS).first().asDict()
     model.density = exact_percentiles(scores, [], "log_density", DENSITY_PROBS).first().asDict()
     return model
 
 
-def score_silver(s: Series, model: ModuleModel, module: str, masked: tuple[str, ...] = ()) -> Series:
+def score_silver(s: Series, model: ModuleModel, module: str, masked: tuple[str, ...] | Column = ()) -> Series:
     """Bronze rows to silver rows: error, smoothed error, risk, severity, health, strongest residuals."""
     e, g = model.error, model.density
     s = raw_scores(s, model, masked)

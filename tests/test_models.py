@@ -36,6 +36,41 @@ def test_window_error_equals_padded_windows(spark):
         assert all(abs(got[i] - w) < 1e-9 for i, w in want.items()) and len(got) == len(want)
 
 
+def test_sensor_policy_masks_or_sets_apart(spark):
+    f, lacks = ["p", "q", "r"], {"ok": [], "mask": ["q"], "abort": ["p", "q"], None: ["r"]}
+    x = RNG.normal(size=(4, 40, 3))
+    rows = [
+        (k, i, *[None if g in lacks[k] or (k == "ok" and g == "p" and i == 5) else float(x[n, i, j]) for j, g in enumerate(f)])
+        for n, k in enumerate(lacks) for i in range(40)
+    ]
+    df = spark.createDataFrame(rows, "k string, i long, p double, q double, r double")
+    fit, apart = M.by_sensors(df, ["k"], f, most=1)
+    assert {(r.k, r.action, tuple(r.masked)) for r in fit.collect()} == {("ok", "ok", ()), ("mask", "mask", ("q",)), (None, "mask", ("r",))}
+    assert [(r.k, sorted(r.masked)) for r in apart.distinct().select("k", "masked").distinct().collect()] == [("abort", ["p", "q"])]
+    scaler = M.Scaler(f, dict(p=0.1, q=-0.2, r=0.3), dict(p=1.1, q=0.9, r=1.2))
+    pcs = [[0.6, 0.0], [0.8, 0.6], [0.0, 0.8]]
+    vec = np.array(pcs)
+    for target in (10**9, 15):
+        s = Series(fit, ["k"], ["i"], target)
+        model = M.ModuleModel(scaler, pcs, M.Mixture([1.0], [[0, 0, 0]], [np.eye(3).tolist()]))
+        got = {(r.k, r.i): r.error for r in M.raw_scores(s, model, F.col("masked")).result().collect()}
+        assert len(got) == 120
+        for n, k in enumerate(lacks):
+            if k == "abort":
+                continue
+            z = x[n].copy()
+            if k == "ok":
+                z[5, 0] = z[4, 0]
+            for g in lacks[k]:
+                z[:, f.index(g)] = scaler.mean[g]
+            z = (z - [scaler.mean[g] for g in f]) / [scaler.std[g] for g in f]
+            own = (z - z @ vec @ vec.T) ** 2
+            own[:, [f.index(g) for g in lacks[k]]] = 0
+            own = np.concatenate([np.repeat(own[:1], 29, axis=0), own]).mean(axis=1)
+            assert all(abs(got[k, i] - own[i : i + 30].mean()) < 1e-9 for i in range(40))
+    assert M.by_sensors(df.limit(0), ["k"], f)[0].count() == 0
+
+
 def test_log_density(spark):
     x, df = bronze(spark)
     mix = M.Mixture([0.3, 0.7], [[0, 0, 0], [1, 1, 0]], [np.eye(3).tolist(), np.diag([2.0, 1.0, 0.5]).tolist()])
