@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorpool.sources.tables import RUN, latest_per_key, run_number, unseen, versions
@@ -16,25 +16,44 @@ def dedup(df: DataFrame, key: str = "row_hash", ts: str = "ingest_ts", within: s
     return df.withWatermark(ts, within).dropDuplicatesWithinWatermark([key])
 
 
-def dedup_sink(df: DataFrame, path: str, checkpoint: str, key: str = "row_hash", ts: str = "ingest_ts", trigger: dict | None = None):
+def dedup_sink(df: DataFrame, path: str, checkpoint: str, key: str = "row_hash", ts: str = "ingest_ts", trigger: dict | None = None, buckets: int = 64):
     """Append the first row of every key, however late it comes.
 
     Each micro-batch keeps its earliest row per key and joins the keys written before; it is written under the number
-    of run and batch, so a replay rewrites itself. Nothing is forgotten, as no watermark is involved.
+    of run and batch, so a replay rewrites itself. Nothing is forgotten, as no watermark is involved. The keys alone
+    are written again below ``keys``, a folder for each of ``buckets`` hash buckets: a micro-batch opens those of its
+    own buckets only. Versions without such folders are read by their key column. ``buckets`` stays the same for a path.
     """
     spark, schema = df.sparkSession, df.schema
     run = run_number(spark, checkpoint, path)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
 
     def write(batch: DataFrame, batch_id: int):
         version = run * RUN + batch_id
         first = latest_per_key(batch, [key], [F.col(ts).asc()])
-        known = [f"{path}/v{v}" for v in versions(spark, path) if v < version]
-        fresh = unseen(first, spark.read.schema(schema).parquet(*known), [key]) if known else first
-        fresh.write.mode("overwrite").parquet(f"{path}/v{version}")
+        known = [v for v in versions(spark, path) if v < version]
+        if known:
+            placed = set(versions(spark, f"{path}/keys")).intersection(known)
+            touched = {r[0] for r in batch.select(bucket).distinct().collect()}  # at most ``buckets`` numbers
+            seen = [f for v, n, f in _folders(spark, f"{path}/keys") if v in placed and n in touched]
+            seen += [f"{path}/v{v}" for v in known if v not in placed]
+            if seen:
+                first = unseen(first, spark.read.schema(schema).parquet(*seen), [key])
+        first.write.mode("overwrite").parquet(f"{path}/v{version}")
+        keys = spark.read.schema(schema).parquet(f"{path}/v{version}").select(key, bucket)
+        keys.repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(f"{path}/keys/v{version}")
 
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _folders(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
+    """(version, bucket, folder) below ``path``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(root.suffix("/v*/bucket=*")) or []
+    at = [f.getPath() for f in found]
+    return [(int(p.getParent().getName()[1:]), int(p.getName()[7:]), p.toString()) for p in at]
+
+
 def outcomes(df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int = 3600) -> DataFrame:
     """Every row with ``accepted`` true or false; a key is fresh again ``ttl_seconds`` after it was accepted.
 

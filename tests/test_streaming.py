@@ -98,6 +98,37 @@ def test_late_first_occurrences_come_out(spark, tmp_path):
     assert sorted(r.row_hash for r in spark.read.parquet(str(tmp_path / "out" / "v*")).collect()) == ["a", "b", "late"]
 
 
+def test_dedup_opens_the_buckets_of_its_keys_only(spark, tmp_path):
+    schema, out = "row_hash string, ts timestamp", tmp_path / "out"
+    keys = [f"h{i}" for i in range(30)] + [None]
+    bucket = {r.k: r.b for r in spark.createDataFrame([(k,) for k in keys], "k string").selectExpr("k", "pmod(xxhash64(k), 8) as b").collect()}
+    start = lambda src: DD.dedup_sink(src, str(out), str(tmp_path / "state"), ts="ts", buckets=8)
+    step = lambda rows: R.in_steps(spark, [spark.createDataFrame(rows, schema).coalesce(1)], str(tmp_path / "in"), start)
+    step([(k, T0) for k in keys])
+    again = [k for k in keys if bucket[k] == bucket["h0"]]
+    others = [f for f in (out / "keys" / "v0").rglob("*.parquet") if f.parent.name != f"bucket={bucket['h0']}"]
+    spoiled = {f: f.read_bytes() for f in [*others, *(out / "v0").glob("*.parquet")]}
+    for f in spoiled:  # whoever opens these fails
+        f.with_name(f".{f.name}.crc").unlink()
+        f.write_bytes(b"no parquet")
+    step([(k, T0 + timedelta(days=1)) for k in again] * 2)
+    assert len(others) == len(set(bucket.values())) - 1 and spark.read.schema(schema).parquet(str(out / "v1")).count() == 0
+    for f, kept in spoiled.items():
+        f.write_bytes(kept)
+    step([(None, T0), ("new", T0), ("h1", T0), ("new", T0 - timedelta(days=2))])
+    rows = spark.read.schema(schema).parquet(str(out / "v*")).collect()
+    assert sorted(str(r.row_hash) for r in rows) == sorted(map(str, [*keys, "new"]))
+    assert {r.ts for r in rows if r.row_hash == "new"} == {T0 - timedelta(days=2)}
+
+
+def test_dedup_knows_versions_without_key_folders(spark, tmp_path):
+    schema, out = "row_hash string, ts timestamp", tmp_path / "out"
+    spark.createDataFrame([("old", T0), (None, T0)], schema).write.parquet(str(out / "v0"))
+    src = in_files(spark, str(tmp_path / "in"), [("old", T0), ("fresh", T0), (None, T0)], schema, 1)
+    DD.dedup_sink(src, str(out), str(tmp_path / "state"), ts="ts").awaitTermination()
+    assert sorted(str(r.row_hash) for r in spark.read.parquet(str(out / "v*")).collect()) == ["None", "fresh", "old"]
+
+
 def test_updates_after_a_reset_win(spark, tmp_path):
     table = UpsertTable(spark, str(tmp_path / "t"), ["k"], keep=2)
     for run in range(2):
