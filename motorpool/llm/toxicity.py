@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ BUCKETS = 1 << 18
 MIN_DOCS = 8
 #: Bytes of text the model is fitted on, at most, one document at least; in the same order as the rows.
 FIT_BYTES = 64 << 20
+#: Features of the sample that one step of the fit handles at once on the driver.
+FIT_BLOCK = 1 << 20
 #: Bytes of text looked at together, one text at least: the arrays over single bytes stay small.
 SLICE = 1 << 18
 _END = np.zeros(256, bool)
@@ -128,8 +131,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    table = sample.select("_i", "_t", "_y").mapInArrow(features, f"i {kind}, y int, bucket binary, sentence binary").toArrow().sort_by("i")
-    y = table.column("y").to_numpy().astype(np.float64)
+    table = sample.select("_i", "_t", "_y").mapInArrow(features, f"i {kind}, y int, bucket binary, sentence binary").toArrow()
+    order = pc.sort_indices(table.column("i")).to_numpy()  # the rows stay where they are: a sorted copy is as large
+    y = table.column("y").to_numpy()[order].astype(np.float64)
     if not len(y) or len(np.unique(y)) < 2:
         return Model(np.zeros(BUCKETS), 0.0 if not len(y) else (4.0 if y[0] else -12.0))
     # features seen in few documents teach nothing about others; they go before the rows are put together
@@ -139,8 +143,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
     used = seen >= min(MIN_DOCS, max(2, len(y) // 50))
     slot = (np.cumsum(used) - 1).astype(np.int32)
     f_parts, s_parts, row_parts, n = [], [], [], 0
-    for r, (x, z) in enumerate(zip(table.column("bucket"), table.column("sentence"), strict=True)):
-        x, z = np.frombuffer(x.as_buffer(), "<i4"), np.frombuffer(z.as_buffer(), "<i4")
+    for r, k in enumerate(order):
+        x, z = (np.frombuffer(table.column(c)[int(k)].as_buffer(), "<i4") for c in ("bucket", "sentence"))
         if len(x):
             names, place = np.unique(z, return_inverse=True)
             keep = used[x]
@@ -150,18 +154,27 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
             n += len(names)
     if not n:
         return Model(np.zeros(BUCKETS), 0.0)
-    f, s, row = np.concatenate(f_parts), np.concatenate(s_parts), np.concatenate(row_parts)
+    del table, x, z
+    f = np.concatenate(f_parts)
+    del f_parts
+    s, row = np.concatenate(s_parts), np.concatenate(row_parts)
+    del s_parts
     m = int(used.sum())
-    del table, f_parts, s_parts
+    blocks = [slice(a, a + FIT_BLOCK) for a in range(0, len(f), FIT_BLOCK)]
     w, b = np.zeros(m), -6.0
     moment, square = np.zeros(m + 1), np.zeros(m + 1)
     for step in range(1, steps + 1):
-        z = b + np.bincount(s, w[f], n)
+        z, pull = np.full(n, b), 2.0 * w
+        for own in blocks:  # sentences come in order, so a block touches few of them
+            low, high = s[own][0], s[own][-1] + 1
+            z[low:high] += np.bincount(s[own] - low, w[f[own]], high - low)
         none = np.bincount(row, _softplus(z), len(y))
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
         odds = np.where(y > 0, -1 / np.maximum(np.expm1(np.minimum(none, 50)), 1e-9), 1.0)  # d loss / d none
         g = odds[row] * p
-        grad = np.append(np.bincount(f, g[s], m) + 2.0 * w, g.sum())
+        for own in blocks:
+            pull += np.bincount(f[own], g[s[own]], m)
+        grad = np.append(pull, g.sum())
         moment = 0.9 * moment + 0.1 * grad
         square = 0.99 * square + 0.01 * grad**2
         move = 0.15 * moment / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
