@@ -37,6 +37,7 @@ def upsert_split(target: DataFrame, updates: DataFrame, keys: list[str]) -> Data
 
 #: Versions of one streaming run: batch ids start at 0 again after a checkpoint reset, run numbers do not.
 RUN = 1_000_000_000
+_BUCKET = "key_bucket"
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
@@ -62,33 +63,71 @@ def run_number(spark: SparkSession, checkpoint: str, path: str) -> int:
 
 
 class UpsertTable:
-    """Versioned Parquet folder: an upsert writes the next version beside the current one.
+    """Versioned Parquet folder in hash buckets of the keys: an upsert rewrites the buckets of its own keys only.
 
-    The current version is the highest one whose job committed, so a job that dies half way
-    changes nothing, and a micro-batch that is replayed rewrites only its own version. The
-    ``keep`` newest versions stay for readers that are still at one, older ones are removed.
+    Version n holds the buckets that its upsert touched; the table at n is the newest folder of each bucket among the
+    versions up to n. Only versions whose job committed count, so a job that dies half way changes nothing, and a
+    micro-batch that is replayed rewrites only its own version. The ``keep`` newest versions stay for readers that are
+    still at one; bucket folders that none of these shows any more are removed. An upsert that adds a column, or widens
+    one, and the first one after versions without buckets rewrite all. ``buckets`` stays the same for a path.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], keep: int = 5):
-        self.spark, self.path, self.keys, self.keep = spark, path.rstrip("/"), keys, keep
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], keep: int = 5, buckets: int = 16):
+        self.spark, self.path, self.keys, self.keep, self.buckets = spark, path.rstrip("/"), keys, keep, buckets
 
     def versions(self) -> list[int]:
-        return versions(self.spark, self.path)
+        return versions(self.spark, self.path)[-self.keep :]
+
+    def folders(self, upto: int) -> dict[int, list[tuple[int, str]]]:
+        """Per bucket the (version, folder) that hold it among the committed versions up to a number, oldest first."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        found = root.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(root.suffix(f"/v*/{_BUCKET}=*")) or []
+        done, out = set(versions(self.spark, self.path)), {}
+        for path in (f.getPath() for f in found):
+            number = int(path.getParent().getName()[1:])
+            if number in done and number <= upto:
+                out.setdefault(int(path.getName().split("=")[1]), []).append((number, path.toString()))
+        return {b: sorted(held) for b, held in out.items()}
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        known = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/v{known[-1]}") if known else None
+        known = [v for v in versions(self.spark, self.path) if before is None or v < before]
+        if not known:
+            return None
+        held = self.folders(known[-1])
+        return self.spark.read.parquet(*([h[-1][1] for h in held.values()] or [f"{self.path}/v{known[-1]}"]))
 
     def upsert(self, updates: DataFrame, version: int | None = None) -> None:
         if version is None:
             version = max(self.versions(), default=-1) + 1
-        current = self.read(before=version)
+        current, held = self.read(before=version), self.folders(version - 1)
         merged = updates if current is None else upsert(current, updates, self.keys)
-        merged.write.mode("overwrite").parquet(f"{self.path}/v{version}")
+        bucket = F.pmod(F.xxhash64(*[F.col(k).cast(merged.schema[k].dataType) for k in self.keys]), F.lit(self.buckets)).cast("int")
+        if held and [(f.name, f.dataType) for f in merged.schema] == [(f.name, f.dataType) for f in current.schema]:
+            touched = {r[0] for r in updates.select(bucket.alias("b")).distinct().collect()}  # at most ``buckets`` numbers
+            old = [h[-1][1] for b, h in held.items() if b in touched]
+            merged = upsert(self.spark.read.schema(current.schema).parquet(*old), updates, self.keys) if old else updates.select(*current.columns)
+            merged = merged.select(*[F.col(f.name).cast(f.dataType) for f in current.schema])
+        placed = merged.withColumn(_BUCKET, bucket).hint("rebalance", _BUCKET)
+        placed.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{self.path}/v{version}")
+        if not self.folders(version):
+            merged.limit(0).write.mode("overwrite").parquet(f"{self.path}/v{version}")  # an empty table has a schema too
+        self._remove_old(version)
+
+    def _remove_old(self, version: int) -> None:
         root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        for old in [v for v in self.versions() if v <= version][: -self.keep]:
-            fs.delete(root.suffix(f"/v{old}"), True)
+        known = [v for v in versions(self.spark, self.path) if v <= version]
+        oldest = known[-self.keep :][0]
+        live = set()
+        for held in self.folders(version).values():
+            shown = max((v for v, _ in held if v <= oldest), default=oldest)
+            for v, folder in held:
+                if v < shown:
+                    fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+                else:
+                    live.add(v)
+        for v in [v for v in known if v < oldest and v not in live]:
+            fs.delete(root.suffix(f"/v{v}"), True)
 
 
 class MergeTable:

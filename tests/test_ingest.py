@@ -115,6 +115,38 @@ def test_upsert_table_versions(spark, tmp_path):
     assert t.versions() == [0, 1]
 
 
+def test_upsert_table_rewrites_touched_buckets_only(spark, tmp_path):
+    path = tmp_path / "t"
+    t = tables.UpsertTable(spark, str(path), ["id", "part"], keep=2, buckets=8)
+    kind, plain = "id long, part string, v string", {}
+    t.upsert(spark.createDataFrame([], kind))
+    assert t.read().count() == 0 and t.read().columns == ["id", "part", "v"]
+    for step in range(6):
+        keys = [(k, None if (k or 1) % 3 else "a") for k in ([*range(60), None] if step == 0 else [step, step + 100, None])]
+        before = {p: p.stat().st_mtime_ns for p in path.glob("v*/key_bucket=*/*.parquet")}
+        t.upsert(spark.createDataFrame([(*k, f"v{step}") for k in keys], kind))
+        plain |= {k: f"v{step}" for k in keys}
+        assert {(r.id, r.part): r.v for r in t.read().collect()} == plain and t.read().count() == len(plain)
+        newest = path / f"v{t.versions()[-1]}"
+        assert step == 0 or 1 <= len(list(newest.glob("key_bucket=*"))) <= 3
+        assert all(p.stat().st_mtime_ns == at for p, at in before.items() if p.exists())
+    assert len(t.versions()) == 2 and len(list(path.glob("v*/key_bucket=*"))) <= 8 + 3  # what no kept version shows is gone
+    narrow = spark.createDataFrame([(6, "a", "n"), (500, None, "n")], "id int, part string, v string")  # hashed as the table's type
+    t.upsert(narrow)
+    plain |= {(6, "a"): "n", (500, None): "n"}
+    assert {(r.id, r.part): r.v for r in t.read().collect()} == plain
+    t.upsert(spark.createDataFrame([(6, "a", "w", 1.5)], "id long, part string, v string, extra double"))
+    got = {(r.id, r.part): (r.v, r.extra) for r in t.read().collect()}
+    assert got == {k: (v, None) for k, v in plain.items()} | {(6, "a"): ("w", 1.5)}
+
+
+def test_upsert_table_goes_on_after_versions_without_buckets(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string").write.parquet(str(tmp_path / "t/v0"))
+    t = tables.UpsertTable(spark, str(tmp_path / "t"), ["id"])
+    t.upsert(spark.createDataFrame([(2, "B")], "id long, v string"))
+    assert sorted(map(tuple, t.read().collect())) == [(1, "a"), (2, "B")] and t.versions() == [0, 1]
+
+
 def test_header_resolver():
     assert V.resolve_headers(["Time", "GPS Speed (km/h)"], {"speed": "speed", "time": "TIME"}) == {"speed": "GPS Speed (km/h)", "time": "Time"}
     assert V.resolve_headers(["Time"], {"speed": "speed"}) is None
