@@ -270,13 +270,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Every module's rows under its own schema; rows of unknown modules have none."""
-    out = None
-    for module in MODULE_OF.values():
-        p = F.from_json("raw", CONTRACT.envelope_schema(module))
-        rows = t.envelopes.filter(F.try_parse_json("raw").isNotNull() & (F.col("module") == module)).select("event_id", p.alias("p"))
-        rows = rows.select("event_id", F.col("p.metadata.vehicle_id").alias("vehicle"), "p.data.cents", "p.data.k")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    rows = B.by_module(t.envelopes, CONTRACT, ["event_id"], value="raw").filter("_p is not null")
+    return rows.select("event_id", F.col("_p.metadata.vehicle_id").alias("vehicle"), "_p.data.cents", "_p.data.k")
 
 
 @query(
@@ -477,12 +472,8 @@ def _(t: Tables):
         CASE WHEN b = 2 THEN NULL ELSE k::DOUBLE END AS k FROM v_env WHERE b NOT IN (5, 8)""",
 )
 def _(t: Tables):
-    out = None
-    for module in MODULE_OF.values():
-        rows, _bad = B.split_unreadable(B.flatten(t.envelopes.filter(F.col("module") == module), CONTRACT, module, value="raw"))
-        rows = rows.select("row_hash", "source_id", "timestamp", "cents", "k")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    rows, _bad = B.split_unreadable(B.flatten_all(t.envelopes, CONTRACT, value="raw"))
+    return rows.select("row_hash", "source_id", "timestamp", "cents", "k")
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from motorpool.contract import ColumnSpec, Contract, contract_violations
 from motorpool.functions import timefmt
 from motorpool.operators import validate as V
+from motorpool.plans import bronze as B
 from motorpool.plans import dtc as D
 from motorpool.sources import files, streams, tables
 
@@ -147,6 +148,28 @@ def test_upsert_table_goes_on_after_versions_without_buckets(spark, tmp_path):
     assert sorted(map(tuple, t.read().collect())) == [(1, "a"), (2, "B")] and t.versions() == [0, 1]
 
 
+def test_all_modules_are_flattened_in_one_pass(spark):
+    contract = Contract({
+        "engine": (ColumnSpec("timestamp", "object"), ColumnSpec("rpm", "float64")),
+        "tyre": (ColumnSpec("timestamp", "object"), ColumnSpec("psi", "float64")),
+        "brake": (ColumnSpec("timestamp", "object"), ColumnSpec("psi", "float64")),
+    })
+    text = '{{"metadata":{{"row_hash":"h{i}","vehicle_id":"v","module":"{m}"}},"data":{{"timestamp":"t","rpm":{i},"psi":{i}.5}}}}'
+    rows = [(m, text.format(i=i, m=m)) for i, m in enumerate(["engine", "tyre", "brake", "engine", "hull"])]
+    rows += [("engine", rows[0][1][:-4]), ("tyre", None), (None, rows[1][1]), ("tyre", "5"), ("brake", '{"metadata":{}}')]
+    raw = spark.createDataFrame(rows, "module string, value string")
+    every, unread = B.split_unreadable(B.flatten_all(raw, contract).drop("writer_ts"))
+    parts = [B.split_unreadable(B.flatten(raw.filter(f"module = '{m}'"), contract, m))[0].drop("writer_ts") for m in contract.modules]
+    for m, part in zip(contract.modules, parts, strict=True):
+        own = every.filter(f"module = '{m}'")
+        assert sorted(map(tuple, own.select(*part.columns).collect())) == sorted(map(tuple, part.collect()))
+        absent = {"rpm", "psi"} - set(part.columns)
+        assert own.filter(" or ".join(f"{c} is not null" for c in absent)).count() == 0
+    assert every.count() == 4 and unread.count() == 6
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 2  # engine's schema, and the one that tyre and brake share
+
+
 def test_header_resolver():
     assert V.resolve_headers(["Time", "GPS Speed (km/h)"], {"speed": "speed", "time": "TIME"}) == {"speed": "GPS Speed (km/h)", "time": "Time"}
     assert V.resolve_headers(["Time"], {"speed": "speed"}) is None
