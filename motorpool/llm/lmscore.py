@@ -4,7 +4,8 @@ Both models share one vocabulary, the words of the whole corpus: no word is unkn
 words and pairs are counted one by one, however many there are. The larger side is scaled to the tokens of the smaller
 one, so smoothing weighs alike in both. A document's own counts are taken out of its side before it is scored.
 
-Documents are packed into chunks of bounded size. A chunk counts its words and pairs and sends them, split by ranges of
+Documents are packed into chunks of bounded size, where they stand. Only ids are joined to the targets; each chunk gets
+the places of its targets, and no text moves for it. A chunk counts its words and pairs and sends them, split by ranges of
 their 64-bit hashes, to where each range is summed over all chunks. Of the sums it gets back those of words and pairs
 that other chunks hold too; all others it has itself. A common word or pair is thus one entry per chunk.
 """
@@ -31,7 +32,7 @@ CHUNK, RANGE, RANGES = 1 << 22, 1 << 22, 256
 #: Bytes of text hashed at once, and ranges in a batch: two Python workers share what the executor's heap leaves.
 _SLICE, _SENT = 1 << 18, 32
 _PAIR = stream(31, 2) | np.uint64(1)
-_PACKED = "chunk bigint, data binary, ends binary, sides binary"
+_PACKED = "chunk bigint, data binary, ends binary"
 _COUNTS = "range bigint, chunk bigint, words binary, word_n binary, pairs binary, pair_n binary"
 _SUMS = "chunk bigint, range bigint, words binary, word_n binary, pairs binary, pair_n binary, distinct bigint, background bigint, target bigint"
 
@@ -92,35 +93,35 @@ def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def _opened(table: pa.Table | pa.RecordBatch, k: int) -> _Chunk:
-    data, ends, side = (table.column(c)[k].as_buffer() for c in ("data", "ends", "sides"))
-    edges = np.append(0, np.frombuffer(ends, np.int64))
-    return _Chunk(np.frombuffer(data, np.uint8) if data.size else np.zeros(0, np.uint8), edges, np.frombuffer(side, np.uint8).astype(bool))
+    data, ends = (table.column(c)[k].as_buffer() for c in ("data", "ends"))
+    edges, side = np.append(0, np.frombuffer(ends, np.int64)), np.zeros(ends.size // 8, bool)
+    if (places := table.column("targets")[k]).is_valid:
+        side[places.values.to_numpy()] = True
+    return _Chunk(np.frombuffer(data, np.uint8) if data.size else np.zeros(0, np.uint8), edges, side)
 
 
-def pack(sided: DataFrame, kind: str, size: int = CHUNK) -> DataFrame:
-    """Rows (id, text, side) as chunks of about ``size`` bytes of text, one text at least."""
+def pack(known: DataFrame, kind: str, size: int = CHUNK) -> DataFrame:
+    """Rows (id, text) as chunks of about ``size`` bytes of text, one text at least."""
 
     def run(batches):
         return_memory()
         task, number, held, weight = TaskContext.get().partitionId(), 0, [], 0
 
         def chunk() -> pa.RecordBatch:
-            ids = pa.concat_arrays([i for i, _, _, _ in held])
-            ends = np.cumsum(np.concatenate([n for _, _, n, _ in held]))
+            ids = pa.concat_arrays([i for i, _, _ in held])
+            ends = np.cumsum(np.concatenate([n for _, _, n in held]))
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([(task << 32) + number]), pa.array([b"".join(t.tobytes() for _, t, _, _ in held)], pa.binary()), pa.array([ends.astype(np.int64).tobytes()], pa.binary()),
-                    pa.array([np.concatenate([s for _, _, _, s in held]).astype(np.uint8).tobytes()], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                    pa.array([int(ends[-1])]),
+                    pa.array([(task << 32) + number]), pa.array([b"".join(t.tobytes() for _, t, _ in held)], pa.binary()), pa.array([ends.astype(np.int64).tobytes()], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([int(ends[-1])]),
                 ],
-                names=["chunk", "data", "ends", "sides", "ids", "size"],
+                names=["chunk", "data", "ends", "ids", "size"],
             )
 
         for batch in batches:
             data, edges = utf8(batch.column(1))
-            side = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for first, last in slices(edges):
-                held.append((batch.column(0).slice(first, last - first), data[edges[first] : edges[last]], np.diff(edges[first : last + 1]), side[first:last]))
+                held.append((batch.column(0).slice(first, last - first), data[edges[first] : edges[last]], np.diff(edges[first : last + 1])))
                 weight += int(edges[last] - edges[first])
                 if weight >= size:
                     yield chunk()
@@ -128,7 +129,15 @@ def pack(sided: DataFrame, kind: str, size: int = CHUNK) -> DataFrame:
         if held:
             yield chunk()
 
-    return sided.mapInArrow(run, f"{_PACKED}, ids array<{kind}>, size bigint")
+    return known.mapInArrow(run, f"{_PACKED}, ids array<{kind}>, size bigint")
+
+
+def sided(packed: DataFrame, ids: DataFrame) -> DataFrame:
+    """``packed`` with ``targets``, the places of documents whose id is in ``ids`` (_t). Places are broadcast by chunk:
+    four bytes for each target document."""
+    placed = packed.select("chunk", F.posexplode("ids").alias("place", "_t"))
+    places = placed.join(ids, "_t", "left_semi").groupBy("chunk").agg(F.collect_list("place").alias("targets"))
+    return packed.join(F.broadcast(places), "chunk", "left")
 
 
 def counts(packed: DataFrame, ranges: int) -> DataFrame:
@@ -251,9 +260,9 @@ def score(docs: DataFrame, targets: DataFrame, text: str = "text", id_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     ids = targets.select(F.col(id_col).alias("_t")).where("_t is not null").distinct()
     known = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    sided = known.join(ids, F.col("_id") == F.col("_t"), "left").select("_id", "_text", F.col("_t").isNotNull().alias("_side"))
-    packed = _written(pack(sided, kind), "packed")
-    ranges = max(RANGES, -(-(packed.agg(F.sum("size")).first()[0] or 0) // RANGE))
+    written_chunks = _written(pack(known, kind), "packed")
+    packed = sided(written_chunks, ids).select("chunk", "data", "ends", "targets", "ids", "size")
+    ranges = max(RANGES, -(-(written_chunks.agg(F.sum("size")).first()[0] or 0) // RANGE))
     summed = _written(sums(counts(packed.drop("ids", "size"), ranges)), "sums")
     whole = summed.where("chunk is null").agg(F.sum("distinct"), F.sum("background"), F.sum("target")).first()
     vocabulary, totals = max(WORDS, whole[0] or 0), [float(whole[1] or 0), float(whole[2] or 0)]

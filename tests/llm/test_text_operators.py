@@ -505,6 +505,25 @@ def test_chat_round_trip(spark):
     assert chat.read_back(chat.format_turns(df.limit(0))).count() == 0
 
 
+def test_no_text_is_shuffled_for_its_side(spark, monkeypatch):
+    plans, plain = {}, lmscore._written
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, label)
+
+    monkeypatch.setattr(lmscore, "_written", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    texts, ids = [(i, f"a{i % 3} b c{i}") for i in range(40)] + [(None, "a0 b")], spark.createDataFrame([(i,) for i in range(0, 40, 3)] + [(None,)], "doc_id long")
+    found = lambda: sorted((r.doc_id or -1, r.n_tokens, round(r.ce_diff, 9)) for r in lmscore.score(documents(spark, texts), ids).collect())
+    small = found()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if there were too many ids to broadcast
+        assert found() == small and "Exchange" not in plans["packed"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 # -- personal data
 
 
