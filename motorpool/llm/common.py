@@ -28,6 +28,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_alone(df: DataFrame, label: str) -> DataFrame:
+    """``written``, whose shuffle files go when the write has ended: all that is read later is in the table."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return written(df, label)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def bound_batches(spark: SparkSession, size: str = "16m") -> None:
     """Limit Arrow batches by bytes, so that many long texts in a row cannot fill a worker; a limit already set stays."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -21,7 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorpool.llm.common import bound_batches, grouped, mix, return_memory, slices, stream, utf8, word_hashes, written
+from motorpool.llm.common import bound_batches, grouped, mix, return_memory, slices, stream, utf8, word_hashes
+from motorpool.llm.common import written_alone as _written
 
 #: Words that smoothing allows for at least; a corpus with more words allows for all of them.
 WORDS = 1 << 16
@@ -237,17 +238,6 @@ def _filled(counts: np.ndarray, cuts: np.ndarray, ranges: list[int], bits: pa.Ch
     return counts
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    """``written``, whose shuffle files go when the write has ended: all that is read later is in the table."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, None)
-    conf.set(key, "true")
-    try:
-        return written(df, label)
-    finally:
-        conf.unset(key) if before is None else conf.set(key, before)
-
-
 def score(docs: DataFrame, targets: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per row of ``docs``: the id, ``n_tokens``, ``ce_target``, ``ce_background`` (nats per word) and ``ce_diff``
     (target less background: the lower, the more like the target).

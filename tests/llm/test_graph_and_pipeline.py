@@ -88,6 +88,37 @@ def test_graph_is_built_until_it_settles(spark, monkeypatch):
     assert all(len(set(n)) == len(n) <= 32 and i not in n and (np.diff(s) <= 0).all() for i, (n, s) in lists.items())
 
 
+def test_a_round_joins_fresh_neighbours_only(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = {i: rng.normal(size=12) for i in range(1500)}
+    vectors = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in x.items()], "id long, vec binary").cache()
+    sizes, plain = [], neighbours.written
+
+    def seen(df, label):
+        out = plain(df, label)
+        if label == "edges":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "written", seen)
+    longest = max(float(np.linalg.norm(v)) for v in x.values())
+    graph, codes, held = plain(neighbours.start(vectors, len(x), longest, 12, 16, 2, 128), "graph"), plain(neighbours.coded(vectors, longest), "vectors"), None
+    code = {r.near: bytes(r.code) for r in codes.collect()}
+    for _ in range(3):
+        fresh = {(r.id, int(n)) for r in graph.collect() for n, f in zip(np.frombuffer(r.near, np.int64), r.fresh, strict=True) if f}
+        every = {(r.id, int(n)) for r in graph.collect() for n in np.frombuffer(r.near, np.int64)}
+        held = plain(neighbours.meetings(graph, codes, held, 16), "meetings")
+        there = {}
+        for r in held.collect():
+            near = np.frombuffer(r.near, np.int64)
+            assert len(set(near.tolist())) == len(near) and bytes(r.code) == b"".join(code[int(n)] for n in near)
+            there |= {(r.id, int(n)): f for n, f in zip(near, r.fresh, strict=True)}
+        assert sizes[-1] == len(fresh) and every <= there.keys()
+        assert all((b, a) in fresh or (a, b) in fresh for (a, b), f in there.items() if f)
+        graph = plain(neighbours.meet(graph, held, 16), "graph")
+    assert sizes[0] > 2 * sizes[2]
+
+
 def test_the_best_of_several_lists():
     pick = neighbours._pick(np.array([2, 1, 2, 2, 1]), np.array([7, 5, 7, 4, 6]), np.array([0.5, 0.1, 0.6, 0.6, 0.2]), np.array([0, 1, 1, 1, 1], np.uint8), 2)
     assert [x.tolist() for x in pick] == [[1, 1, 2, 2], [6, 5, 4, 7], [0.2, 0.1, 0.6, 0.6], [1, 1, 1, 0]]
