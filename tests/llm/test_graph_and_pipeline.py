@@ -119,6 +119,58 @@ def test_a_round_joins_fresh_neighbours_only(spark, monkeypatch):
     assert sizes[0] > 2 * sizes[2]
 
 
+def _packed_vectors(spark, x):
+    return spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(x)], "id long, vec binary").cache()
+
+
+def _share_of_nearest(graph, x, k=20):
+    hits = total = 0
+    for r in graph.where("id % 25 = 0").collect():
+        s = x @ x[r.id]
+        s[r.id] = -np.inf
+        hits, total = hits + len(set(np.argsort(-s)[:k].tolist()) & set(np.frombuffer(r.near, np.int64).tolist())), total + k
+    return hits / total
+
+
+def test_a_larger_table_starts_as_well_and_needs_no_more_rounds(spark, monkeypatch):
+    monkeypatch.setattr(neighbours.start, "__defaults__", (neighbours.NEIGHBOURS, 10, 128))  # many cells at these sizes
+    rounds, plain = [], neighbours.changed
+    monkeypatch.setattr(neighbours, "changed", lambda graph: rounds.append(plain(graph)) or rounds[-1])
+    x = np.random.default_rng(5).normal(size=(5000, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    taken = []
+    for n in (1000, 5000):
+        vectors = _packed_vectors(spark, x[:n])
+        first = neighbours.start(vectors, n, 1.0, 48)
+        assert first.count() == n and _share_of_nearest(first, x[:n]) > 0.85
+        rounds.clear()
+        assert _share_of_nearest(neighbours.build(vectors), x[:n]) > 0.95
+        taken.append(len(rounds))
+    assert taken[1] <= taken[0] + 1 and taken[1] <= 2
+
+
+def test_cells_are_divided_when_leaders_run_out(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(3000, 12)) * np.random.default_rng(7).uniform(0.2, 2, size=(3000, 1))
+    x[:900] = x[0] + 1e-4 * x[:900]  # one cell would hold all of these
+    vectors, longest = _packed_vectors(spark, x), float(np.linalg.norm(x, axis=1).max())
+    sizes, plain = [], neighbours.written
+
+    def seen(df, label):
+        out = plain(df, label)
+        if label == "codes":
+            sizes.append({r.code: r["count"] for r in out.groupBy("code").count().collect()})
+            assert out.select("code", "id").distinct().count() == out.count() == 4 * out.select("id").distinct().count()
+        return out
+
+    monkeypatch.setattr(neighbours, "written", seen)
+    lists = []
+    for most in (4096, 12):
+        monkeypatch.setattr(neighbours, "LEADERS", most)
+        lists.append({r.id: np.frombuffer(r.near, np.int64) for r in neighbours.start(vectors, 3000, longest, 12, 16, 4, 32).collect()})
+    assert len(sizes[0]) <= 4 * 32 and 12 < len(sizes[1]) <= 12 * 11
+    assert all(len(got) > 2900 and all(i not in near and len(set(near.tolist())) == len(near) <= 16 for i, near in got.items()) for got in lists)
+
+
 def test_the_best_of_several_lists():
     pick = neighbours._pick(np.array([2, 1, 2, 2, 1]), np.array([7, 5, 7, 4, 6]), np.array([0.5, 0.1, 0.6, 0.6, 0.2]), np.array([0, 1, 1, 1, 1], np.uint8), 2)
     assert [x.tolist() for x in pick] == [[1, 1, 2, 2], [6, 5, 4, 7], [0.2, 0.1, 0.6, 0.6], [1, 1, 1, 0]]
