@@ -21,20 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+#: Parquet's row groups are checked at every hundredth row and hold 128 MB otherwise, and a reader opens one as a whole.
+LONG_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size": str(1 << 23)}
+
+
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write to the shared scratch folder and read back: later plans start at files that outlive any executor."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written_alone(df: DataFrame, label: str) -> DataFrame:
+def written_alone(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``written``, whose shuffle files go when the write has ended: all that is read later is in the table."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(key, None)
     conf.set(key, "true")
     try:
-        return written(df, label)
+        return written(df, label, **options)
     finally:
         conf.unset(key) if before is None else conf.set(key, before)
 
@@ -47,11 +51,12 @@ def bound_batches(spark: SparkSession, size: str = "16m") -> None:
 
 
 def return_memory() -> None:
-    """Let this worker give the memory of freed arrays back to the system, where its C library has that choice: workers
-    live as long as the executor, and what they hold counts beside its heap."""
+    """Let this worker give the memory of freed arrays back to the system, where its C library has that choice, those of
+    Arrow too: workers live as long as the executor, and what they hold counts beside its heap."""
     libc = ctypes.CDLL(None)
     if hasattr(libc, "mallopt"):
         libc.mallopt(-3, 1 << 19)  # M_MMAP_THRESHOLD: larger blocks are mapped on their own and unmapped when freed
+        pa.set_memory_pool(pa.system_memory_pool())
 
 
 def mix(h: np.ndarray) -> np.ndarray:

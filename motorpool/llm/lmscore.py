@@ -21,8 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorpool.llm.common import bound_batches, grouped, mix, return_memory, slices, stream, utf8, word_hashes
-from motorpool.llm.common import written_alone as _written
+from motorpool.llm.common import LONG_ROWS, bound_batches, grouped, mix, return_memory, slices, stream, utf8, word_hashes, written_alone
 
 #: Words that smoothing allows for at least; a corpus with more words allows for all of them.
 WORDS = 1 << 16
@@ -32,12 +31,18 @@ PAIR_WEIGHT, ADDED = 0.5, 0.1
 CHUNK, RANGE, RANGES = 1 << 22, 1 << 22, 256
 #: Bytes of text hashed at once, and ranges in a batch: two Python workers share what the executor's heap leaves.
 _SLICE, _SENT = 1 << 18, 32
+#: Words scored at once, one row at least.
+_TOKENS = 1 << 16
 _PAIR = stream(31, 2) | np.uint64(1)
 _PACKED = "chunk bigint, data binary, ends binary"
 _COUNTS = "range bigint, chunk bigint, words binary, word_n binary, pairs binary, pair_n binary"
 _SUMS = "chunk bigint, range bigint, words binary, word_n binary, pairs binary, pair_n binary, distinct bigint, background bigint, target bigint"
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    return written_alone(df, label, **LONG_ROWS)
+
+
 def _bytes(values: np.ndarray) -> bytes:
     """Eight-byte numbers with their high bytes side by side, which compresses well."""
     return np.ascontiguousarray(values.reshape(-1)).view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -212,18 +217,30 @@ def _per_row(row: np.ndarray, key: np.ndarray, width: int) -> np.ndarray:
 
 
 def losses(own: _Chunk, word_n: np.ndarray, pair_n: np.ndarray, totals: np.ndarray, vocabulary: int, n: int) -> list[np.ndarray]:
-    """Loss of every word under the background and the target model, in nats; the counts are those of the corpus."""
+    """Sum over each row of its words' losses under the background and the target model, in nats; the counts are those of the corpus."""
+    out = [np.zeros(n), np.zeros(n)]
+    at = np.searchsorted(own.row, np.arange(n + 1))
+    for first, last in slices(at, _TOKENS):
+        some = slice(at[first], at[last])
+        for total, loss in zip(out, _losses(own, some, word_n, pair_n, totals, vocabulary), strict=True):
+            total[first:last] = np.bincount(own.row[some] - first, loss, last - first)
+    return out
+
+
+def _losses(own: _Chunk, some: slice, word_n: np.ndarray, pair_n: np.ndarray, totals: np.ndarray, vocabulary: int) -> list[np.ndarray]:
+    """Losses of ``some`` words, those of whole rows."""
     width = len(own.words) + len(own.pairs)
-    self_n = [_per_row(own.row, key, width) for key in (own.here, own.before, own.pair)] if len(own.row) else [own.row] * 3
-    words = np.bincount(own.row, minlength=n)[own.row]
+    row, here, before, pairs, side = own.row[some], own.here[some], own.before[some], own.pair[some], own.mine[some]
+    self_n = [_per_row(row, key, width) for key in (here, before, pairs)] if len(row) else [row] * 3
+    words = np.bincount(row)[row] if len(row) else row
     small = max(min(totals), 1.0)
     out = []
     for k in (0, 1):
-        mine = (own.mine == k).astype(np.float64)
+        mine = (side == k).astype(np.float64)
         scale = small / max(totals[k], 1.0)
-        word = (word_n[own.here, k] - mine * self_n[0]) * scale
-        context = word_n[own.before, 2 + k] - mine * self_n[1]
-        pair = pair_n[own.pair, k] - mine * self_n[2]
+        word = (word_n[here, k] - mine * self_n[0]) * scale
+        context = word_n[before, 2 + k] - mine * self_n[1]
+        pair = pair_n[pairs, k] - mine * self_n[2]
         single = (word + ADDED) / ((totals[k] - mine * words) * scale + ADDED * vocabulary)
         joint = np.where(context > 0, pair / np.maximum(context, 1), single)
         out.append(-np.log(PAIR_WEIGHT * joint + (1 - PAIR_WEIGHT) * single))
@@ -271,8 +288,7 @@ def score(docs: DataFrame, targets: DataFrame, text: str = "text", id_col: str =
                 pair_n = _filled(own.pair_n, _cuts(own.pairs, ranges), at, sent.column("pairs"), sent.column("pair_n"))
                 low, high = losses(own, word_n, pair_n, totals, vocabulary, n)
                 count = np.bincount(own.row, minlength=n)
-                background = np.bincount(own.row, low, n) / np.maximum(count, 1)
-                target = np.bincount(own.row, high, n) / np.maximum(count, 1)
+                background, target = low / np.maximum(count, 1), high / np.maximum(count, 1)
                 yield pa.RecordBatch.from_arrays(
                     [texts.column("ids")[0].values, pa.array(count), pa.array(target), pa.array(background), pa.array(target - background)],
                     names=[id_col, "n_tokens", "ce_target", "ce_background", "ce_diff"],
