@@ -6,11 +6,13 @@ later plans as literals; only sums over the data are collected.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ from motorpool.operators import windows as W
 from motorpool.operators.quantiles import exact_percentiles
 from motorpool.operators.series import BROADCAST_ROWS, Series, run_count
 from motorpool.operators.validate import sensor_policy
-from motorpool.session import cut
+from motorpool.session import cut, stored
 
 SEQUENCE_LENGTH = 30
 TOP_RESIDUALS = 8
@@ -66,6 +68,16 @@ def even_out(df: DataFrame, rows: int) -> DataFrame:
     return df.repartition(parts, *df.columns).sortWithinPartitions(*df.columns)
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` on the executors' disks: a fit plans its input for every summary, and each plan would make the rows anew."""
+    df = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 # -- reconstruction error -----------------------------------------------------------------
 
 
@@ -258,19 +270,21 @@ def fit_code(df: DataFrame, code: str, features: list[str], target: str = "targe
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    edge = df.agg(F.count("*").alias("n"), *[F.min(f).alias(f"lo_{f}") for f in features], *[F.max(f).alias(f"hi_{f}") for f in features], F.min(target).alias("_lo"), F.max(target).alias("_hi")).first()
-    if not edge["n"] or any(edge[f"lo_{f}"] is None for f in features):
-        raise Untrainable(f"{code}: no rows with values in every feature")
-    if edge["_lo"] is None or edge["_hi"] <= 0 or edge["_lo"] >= 1:
-        raise Untrainable(f"{code}: targets of one class")
-    lo, hi = [float(edge[f"lo_{f}"]) for f in features], [float(edge[f"hi_{f}"]) for f in features]
-    unit = even_out(df.select(target, *features), edge["n"]).select(
-        F.col(target).alias("_y"), *[numeric.minmax_scale(F.col(f), F.lit(a), F.lit(b)).alias(f) for f, a, b in zip(features, lo, hi)]
-    )
-    both = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("_y").alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("_y")).alias("w"))))
-    rows = unit.select(*features, both.alias("b")).select(*features, "b.label", "b.w").filter("w > 0")
-    vec = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
-    fit = LogisticRegression(weightCol="w", maxIter=max_iter, standardization=False).fit(vec)
+    with ExitStack() as held:
+        with kept(df.select(target, *features)) as raw:
+            edge = raw.agg(F.count("*").alias("n"), *[F.min(f).alias(f"lo_{f}") for f in features], *[F.max(f).alias(f"hi_{f}") for f in features], F.min(target).alias("_lo"), F.max(target).alias("_hi")).first()
+            if not edge["n"] or any(edge[f"lo_{f}"] is None for f in features):
+                raise Untrainable(f"{code}: no rows with values in every feature")
+            if edge["_lo"] is None or edge["_hi"] <= 0 or edge["_lo"] >= 1:
+                raise Untrainable(f"{code}: targets of one class")
+            even = held.enter_context(kept(even_out(raw, edge["n"])))
+            even.count()
+        lo, hi = [float(edge[f"lo_{f}"]) for f in features], [float(edge[f"hi_{f}"]) for f in features]
+        unit = even.select(F.col(target).alias("_y"), *[numeric.minmax_scale(F.col(f), F.lit(a), F.lit(b)).alias(f) for f, a, b in zip(features, lo, hi)])
+        both = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("_y").alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("_y")).alias("w"))))
+        rows = unit.select(*features, both.alias("b")).select(*features, "b.label", "b.w").filter("w > 0")
+        vec = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
+        fit = LogisticRegression(weightCol="w", maxIter=max_iter, standardization=False).fit(vec)
     return {"code": code, "features": features, "lo": lo, "hi": hi, "coef": [float(c) for c in fit.coefficients], "intercept": float(fit.intercept)}
 
 
@@ -333,7 +347,7 @@ def augment(df: DataFrame, code: str, features: list[str], keys: list[str], targ
     """
     base = df.select(*keys, *features).withColumn("_h", hashing.hash_number(code, *keys))
     healthy = base.filter("_h % 2 = 0").withColumn("target", F.lit(0.0))
-    sick = base.filter("_h % 2 = 1")
+    sick = stored(base.filter("_h % 2 = 1"), "sick")
     stats = sick.agg(F.count("*").alias("n"), *[F.avg(f).alias(f) for f in features]).first()
     kw = {"target_rows": target_rows} if target_rows else {}
     s = Series(sick.withColumn("_all", F.lit(0)), ["_all"], ["_h", *keys], **kw).running(_i=run_count())
