@@ -119,9 +119,10 @@ class Series:
             F.pmod(F.xxhash64(*self.order), F.greatest(F.floor(F.col("_n") / (m * _PER_CHUNK)), F.lit(1))) == 0
         ).select(*self.keys, m.alias("_m"), F.struct(*self.order).alias("_o"))
         w = Window.partitionBy(*self.keys)
-        share = lambda r: F.floor(r * F.col("_m") / F.col("_all"))
-        placed = some.withColumns({"_all": F.count("*").over(w), "_r": F.row_number().over(w.orderBy("_o"))})
-        points = placed.filter((share(F.col("_r") - 1) != share(F.col("_r"))) & (F.col("_r") < F.col("_all")))
+        # Columns of its own, so that no key of the caller's is replaced by one of them.
+        share = lambda r: F.floor(r * F.col("_m") / F.col("_in_sample"))
+        placed = some.withColumns({"_in_sample": F.count("*").over(w), "_sample_row": F.row_number().over(w.orderBy("_o"))})
+        points = placed.filter((share(F.col("_sample_row") - 1) != share(F.col("_sample_row"))) & (F.col("_sample_row") < F.col("_in_sample")))
         cuts = cut(
             points.groupBy(*self.keys).agg(F.sort_array(F.collect_set("_o")).alias("_cuts"))
             .withColumn("_coarse", F.filter("_cuts", lambda _, i: i % _STEP == 0))

@@ -26,3 +26,20 @@ def test_a_code_is_trained_on_rows_made_once(spark):
     model = M.fit_code(df, "P0001", ["qty", "disc"])
     assert model["coef"][0] > 1 and made.value == 400
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_faulty_rows_are_ranked_in_chunks(spark, monkeypatch):
+    """The constant key of the one series over all faulty rows once had the name of a helper column, and no cut point held."""
+    seen, plain = [], M.Series
+
+    def series(df, keys, order, **options):
+        seen.append(plain(df, keys, order, **options))
+        return seen[-1]
+
+    monkeypatch.setattr(M, "Series", series)
+    df = spark.range(4000).select("id", F.col("id").cast("double").alias("value"))
+    whole = M.augment(df, "P0217", ["value"], ["id"])
+    parts = M.augment(df, "P0217", ["value"], ["id"], target_rows=200)
+    sizes = [r["count"] for r in seen[-1].df.groupBy("_chunk").count().collect()]
+    assert not seen[0].hot and seen[1].hot and len(sizes) > 5 and max(sizes) < 800
+    assert sorted(whole.collect()) == sorted(parts.collect())
