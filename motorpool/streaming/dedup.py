@@ -54,39 +54,47 @@ def _folders(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
     return [(int(p.getParent().getName()[1:]), int(p.getName()[7:]), p.toString()) for p in at]
 
 
-def outcomes(df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int = 3600) -> DataFrame:
+def outcomes(df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int = 3600, buckets: int = 1024) -> DataFrame:
     """Every row with ``accepted`` true or false; a key is fresh again ``ttl_seconds`` after it was accepted.
 
-    Exact expiry inside a micro-batch costs a Python call per key; `dedup` with ``within`` set to
-    the TTL stays in the JVM and is the choice where only the accepted rows are wanted.
+    Exact expiry inside a micro-batch needs Python; it is called once per hash bucket of keys, whose state holds the
+    bucket's keys with the time each was accepted. Expired ones go when the watermark has passed them. ``buckets`` stays
+    the same for a checkpoint. `dedup` with ``within`` set to the TTL stays in the JVM and is the choice where only the
+    accepted rows are wanted.
 
-    Keys are row hashes, so one key is only ever as large as its own repeats.
+    Keys are row hashes, so one key is only ever as large as its own repeats. A row without a time is accepted if its
+    key is not known, and leaves no time.
     """
     import pandas as pd
 
-    def judge(_key, batches, state):
-        if state.hasTimedOut:
+    ttl = ttl_seconds * 1_000_000
+
+    def judge(_bucket, batches, state):
+        since = dict(zip(*state.get, strict=True)) if state.exists else {}
+        if not state.hasTimedOut:
+            for_key, parts = since.get, list(batches)
+            rows = (parts[0] if len(parts) == 1 else pd.concat(parts)).sort_values(["_at", order])
+            flags = []
+            for k, at, timed in zip(rows[key].tolist(), rows["_at"].tolist(), rows["_at"].notna().tolist()):
+                last = for_key(k)
+                fresh = last is None or (timed and at - last > ttl)
+                if fresh and timed:
+                    since[k] = int(at)
+                flags.append(fresh)
+            yield pd.DataFrame({key: rows[key], order: rows[order], "accepted": flags})
+        mark = state.getCurrentWatermarkMs()
+        since = {k: at for k, at in since.items() if at + ttl > mark * 1000}
+        if since:
+            state.update((list(since), list(since.values())))
+            state.setTimeoutTimestamp(-(-(min(since.values()) + ttl) // 1000))
+        elif state.exists:
             state.remove()
-            return
-        parts = list(batches)
-        rows = parts[0] if len(parts) == 1 else pd.concat(parts)
-        rows = rows if len(rows) == 1 else rows.sort_values([ts, order])
-        since = state.get[0] if state.exists else None
-        flags = []
-        for at in rows[ts]:
-            fresh = since is None or (at - since).total_seconds() > ttl_seconds
-            since = at if fresh else since
-            flags.append(fresh)
-        state.update((since,))
-        expiry = int(since.timestamp() * 1000) + ttl_seconds * 1000
-        if expiry > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(expiry)
-        yield pd.DataFrame({key: rows[key], order: rows[order], "accepted": flags})
-
-    slim = df.select(key, ts, order).withWatermark(ts, f"{ttl_seconds} seconds")
-    kinds = {c: df.schema[c].dataType.simpleString() for c in (key, ts, order)}
-    return slim.groupBy(key).applyInPandasWithState(
-        judge, f"{key} {kinds[key]}, {order} {kinds[order]}, accepted boolean", "since timestamp", "append", "EventTimeTimeout"
+
+    kinds = {c: df.schema[c].dataType.simpleString() for c in (key, order)}
+    bucket = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(key), F.lit(buckets))).cast("int")
+    slim = df.select(key, ts, order, F.unix_micros(ts).alias("_at"), bucket.alias("_bucket")).withWatermark(ts, f"{ttl_seconds} seconds")
+    return slim.groupBy("_bucket").applyInPandasWithState(
+        judge, f"{key} {kinds[key]}, {order} {kinds[order]}, accepted boolean", f"keys array<{kinds[key]}>, since array<bigint>", "append", "EventTimeTimeout"
     )
 
 

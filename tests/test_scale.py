@@ -4,6 +4,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from motorpool.plans import models as M
+from motorpool.sources.streams import append_sink
+from motorpool.streaming import dedup as DD
+from motorpool.streaming import run as R
 
 
 def counted_rows(spark, df, column):
@@ -43,3 +46,24 @@ def test_faulty_rows_are_ranked_in_chunks(spark, monkeypatch):
     sizes = [r["count"] for r in seen[-1].df.groupBy("_chunk").count().collect()]
     assert not seen[0].hot and seen[1].hot and len(sizes) > 5 and max(sizes) < 800
     assert sorted(whole.collect()) == sorted(parts.collect())
+
+
+def test_repeats_are_judged_bucket_by_bucket(spark, tmp_path):
+    """3 000 keys in two micro-batches; the state has a row per bucket, and all rows get what a plain loop says."""
+    rng = np.random.default_rng(5)
+    rows = [(f"h{k}", int(1_700_000_000 + t), i) for i, (k, t) in enumerate(zip(rng.integers(0, 3000, 9000), rng.integers(0, 9000, 9000)))]
+    rows += [(None, 1_700_000_000 + t, 9000 + t) for t in (5, 10, 7000)]
+    rows.sort(key=lambda r: r[1])
+    parts = [spark.createDataFrame(x, "k string, s long, i long").select("k", F.timestamp_seconds("s").alias("ts"), "i").coalesce(2) for x in (rows[:5000], rows[5000:])]
+    seen, since, wanted = [], {}, {}
+
+    def start(src):
+        seen.append(append_sink(DD.outcomes(src, "k", "ts", "i", 1800), f"{tmp_path}/out", f"{tmp_path}/state", f"buckets{len(seen)}", trigger={"availableNow": True}))
+        return seen[-1]
+
+    R.in_steps(spark, parts, f"{tmp_path}/in", start)
+    for k, s, i in sorted(rows, key=lambda r: (r[1], r[2])):
+        wanted[i] = k not in since or s - since[k] > 1800
+        since[k] = s if wanted[i] else since[k]
+    assert {r.i: r.accepted for r in spark.read.parquet(f"{tmp_path}/out").collect()} == wanted
+    assert max(o["numRowsTotal"] for q in seen for p in q.recentProgress for o in p["stateOperators"]) <= 1025
