@@ -222,7 +222,7 @@ def _(t: Tables):
         LEFT JOIN pd ON pd.lon = v_log.lon AND pd.lat = v_log.lat AND abs(pd.d - near.d) < 1e-12 GROUP BY event_id, speed) GROUP BY road_type""",
 )
 def _(t: Tables):
-    near = T.nearest_road(t.log, _roads(t), ["event_id"]).groupBy("event_id").agg(F.min("road_type").alias("road_type"))
+    near = T.nearest_road_type(t.log, _roads(t), ["event_id"]).groupBy("event_id").agg(F.min("road_type").alias("road_type"))
     df = t.log.select("event_id", F.col("speed").cast("double").alias("speed")).join(near, "event_id")
     q = exact_percentiles(df, ["road_type"], "speed", {"lowest": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "highest": 1.0})
     return q.join(df.groupBy("road_type").agg(r6(F.avg("speed")).alias("mean")), "road_type")
@@ -232,7 +232,7 @@ def road_aware_events(t: Tables):
     s = T.yaw_rate(T.heading(T.grade(T.with_distance(T.segments(T.level(t.trip_series()))))))
     s = T.trip_deltas(s, ("trip", "segment"), dv=("speed", None))
     s = s.with_df(s.df.withColumn("ax_true", F.col("ax_cal") + F.sin("grade")))
-    near = T.nearest_road(t.log, _roads(t), ["event_id"]).groupBy("event_id").agg(F.min("road_type").alias("road_type"))
+    near = T.nearest_road_type(t.log, _roads(t), ["event_id"]).groupBy("event_id").agg(F.min("road_type").alias("road_type"))
     s = s.with_df(s.df.join(near, "event_id", "left"))
     return s.with_df(s.df.withColumns(T.harsh_events(F.coalesce("road_type", F.lit("unknown")))))
 

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from motorpool.plans import models as M
+from motorpool.plans import trips as T
 from motorpool.sources.streams import append_sink
 from motorpool.streaming import dedup as DD
 from motorpool.streaming import run as R
@@ -67,3 +68,23 @@ def test_repeats_are_judged_bucket_by_bucket(spark, tmp_path):
         since[k] = s if wanted[i] else since[k]
     assert {r.i: r.accepted for r in spark.read.parquet(f"{tmp_path}/out").collect()} == wanted
     assert max(o["numRowsTotal"] for q in seen for p in q.recentProgress for o in p["stateOperators"]) <= 1025
+
+
+def test_roads_in_cells_stay_off_the_driver_and_ties_off_the_points(spark, monkeypatch):
+    """300 roads lie on one another: a point gets one type, and nothing behind an explode is broadcast, however small it seems."""
+    plans, plain = [], T.cut
+
+    def keep(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df)
+
+    monkeypatch.setattr(T, "cut", keep)
+    kinds = ("service", "primary", None)
+    roads = spark.createDataFrame([(r, kinds[r % 3], k, 0.5 * k, 0.001 * (r // 299)) for r in range(300) for k in (0, 1)], "road_id int, fclass string, seq int, lon double, lat double")
+    points = spark.createDataFrame([(i, 0.01 * (i % 40), 0.0005) for i in range(50)] + [(50, None, 1.0)], "id int, lon double, lat double")
+    got = T.nearest_road_type(points, roads, ["id"])
+    every = T.nearest_road(points, roads, ["id"])
+    wanted = every.groupBy("id").agg(F.min("road_type").alias("road_type"))
+    assert every.count() > 5000 and sorted(got.collect()) == sorted(wanted.collect())
+    made = [p for p in plans if "explode(sequence" in p]
+    assert len(made) >= 2 and not any("BroadcastExchange" in p for p in made)
