@@ -7,6 +7,7 @@ from motorpool.plans import models as M
 from motorpool.plans import trips as T
 from motorpool.sources.streams import append_sink
 from motorpool.streaming import dedup as DD
+from motorpool.streaming import processors as P
 from motorpool.streaming import run as R
 
 
@@ -88,3 +89,28 @@ def test_roads_in_cells_stay_off_the_driver_and_ties_off_the_points(spark, monke
     assert every.count() > 5000 and sorted(got.collect()) == sorted(wanted.collect())
     made = [p for p in plans if "explode(sequence" in p]
     assert len(made) >= 2 and not any("BroadcastExchange" in p for p in made)
+
+
+def test_stores_hold_buckets_of_keys(spark, tmp_path):
+    """2 000 vehicles with two modules each: a store has a row for each bucket at most, and every row its error and card."""
+    rows = spark.range(8000).select(
+        F.concat(F.lit("v"), F.col("id") % 2000).alias("source_id"), F.concat(F.lit("m"), F.floor(F.col("id") / 2000) % 2).alias("module"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id")).alias("ts"), F.col("id").alias("event_id"), F.when(F.col("id") % 3 > 0, F.col("id") % 11).cast("double").alias("a"),
+    )
+    seen = []
+
+    def start(name, out, mode):
+        q = out.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True).start()
+        seen.append(q)
+        return q
+
+    rows.coalesce(4).write.parquet(f"{tmp_path}/in")
+    src = lambda: spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    with P.state_store(spark):
+        start("bucket_errors", P.window_errors(src(), ["a"], [4.0], [(5.0, 3.0)], [[0.0]]), "append").awaitTermination()
+        good = src().select("source_id", "module", "ts", "event_id", F.col("a").alias("latency"), F.lit("x").alias("payload"))
+        start("bucket_cards", P.observer_cards(good.where("event_id % 5 > 0"), good.where("event_id % 5 = 0"), keep=1), "update").awaitTermination()
+    assert max(o["numRowsTotal"] for q in seen for p in q.recentProgress for o in p["stateOperators"]) <= P.BUCKETS
+    assert spark.table("bucket_errors").count() == 8000
+    cards = spark.table("bucket_cards").agg(F.count("*"), F.sum("accepted"), F.sum("rejected"), F.max(F.size("history"))).first()
+    assert list(cards) == [2000, 6400, 1600, 2]
