@@ -114,3 +114,18 @@ def test_stores_hold_buckets_of_keys(spark, tmp_path):
     assert spark.table("bucket_errors").count() == 8000
     cards = spark.table("bucket_cards").agg(F.count("*"), F.sum("accepted"), F.sum("rejected"), F.max(F.size("history"))).first()
     assert list(cards) == [2000, 6400, 1600, 2]
+
+
+def test_a_mixture_is_fitted_as_sparks_own_in_few_passes_over_rows(spark):
+    from pyspark.ml.clustering import GaussianMixture
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(m, s, (300, 2)) for m, s in ((0, 1), (6, 0.5), (-5, 2))])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "z_p double, z_q double").coalesce(3)
+    own = GaussianMixture(k=3, seed=42).fit(VectorAssembler(inputCols=["z_p", "z_q"], outputCol="features").transform(df))
+    rows, made = counted_rows(spark, df, "z_p")
+    mix = M.fit_mixture(rows, ["p", "q"])
+    assert np.allclose(mix.weights, own.weights, atol=1e-7) and made.value == 900
+    for r, m, c in zip(own.gaussiansDF.collect(), mix.means, mix.covariances):
+        assert np.allclose(r["mean"].toArray(), m, atol=1e-7) and np.allclose(r["cov"].toArray(), c, atol=1e-7)
