@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +24,8 @@ CHUNK = "_chunk"
 TARGET_ROWS = 500_000
 # Tables of measured size up to this many rows are broadcast, larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
-# Sampled rows per chunk that the cut points are taken from, and points looked through at once.
-_PER_CHUNK, _STEP = 64, 32
+# Sampled rows per chunk that the cut points are taken from.
+_PER_CHUNK = 64
 _BEFORE = (Window.unboundedPreceding, -1)
 _AFTER = (1, Window.unboundedFollowing)
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
@@ -110,7 +111,9 @@ class Series:
         heavy = stats.collect()
         if not heavy:
             return df, False, 0
-        n = sum(-(-r["_n"] // self.target_rows) for r in heavy)
+        chunks = [-(-r["_n"] // self.target_rows) for r in heavy]
+        # Points are looked through in two steps: the first of each group, then a group of about the root of their number.
+        n, step = sum(chunks), isqrt(max(chunks)) + 1
         heavy_df = df.sparkSession.createDataFrame(heavy, stats.schema)
         # Cut points at measured quantiles of the full order: a clock that jumps, or many rows at one
         # instant, do not matter. They come from a hash sample of some dozens of rows per chunk.
@@ -125,13 +128,13 @@ class Series:
         points = placed.filter((share(F.col("_sample_row") - 1) != share(F.col("_sample_row"))) & (F.col("_sample_row") < F.col("_in_sample")))
         cuts = cut(
             points.groupBy(*self.keys).agg(F.sort_array(F.collect_set("_o")).alias("_cuts"))
-            .withColumn("_coarse", F.filter("_cuts", lambda _, i: i % _STEP == 0))
+            .withColumn("_coarse", F.filter("_cuts", lambda _, i: i % step == 0))
         )
         out = self._attach(df.withColumn("_o", F.struct(*self.order)), cuts, self.keys, n)
         below = lambda points: F.size(F.filter(points, lambda c: c < F.col("_o")))
         group = F.greatest(below(F.col("_coarse")) - 1, F.lit(0))
         out = out.withColumn("_g", group).withColumn(
-            CHUNK, F.coalesce(F.col("_g") * _STEP + below(F.slice("_cuts", F.col("_g") * _STEP + 1, F.lit(_STEP))), F.lit(0)).cast("long")
+            CHUNK, F.coalesce(F.col("_g") * step + below(F.slice("_cuts", F.col("_g") * step + 1, F.lit(step))), F.lit(0)).cast("long")
         )
         return out.drop("_o", "_g", "_cuts", "_coarse"), True, n
 
